@@ -11,10 +11,18 @@ DAYS_PER_YEAR = 365.25
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def _parse(c: Column, fmt: str) -> Column:
+    parsed = F.try_to_timestamp(c, F.lit(fmt))
+    if "yy" not in fmt or "yyyy" in fmt:
+        return parsed
+    # Two-digit years 69-99 belong to the 1900s; the formatter puts all into the 2000s.
+    return F.when(F.year(parsed) >= 2069, parsed - F.expr("INTERVAL 100 YEAR")).otherwise(parsed)
+
+
 def parse_first(c: Column | str, *formats: str) -> Column:
     """First format that parses."""
     c = as_col(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[_parse(c, fmt) for fmt in formats])
 
 
 def parse_day(c: Column | str, *formats: str) -> Column:

@@ -157,7 +157,7 @@ def pairs_with_default(
     numbered = numbered.filter(F.col("pair").isNotNull())
     found = subjects.join(numbered, F.col(subject_key) == F.col("_fk")).drop("_fk")
     masks = numbered.groupBy("_fk").agg(
-        F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.col("pair"))).alias("_mask")
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("pair"))).alias("_mask")
     )
     everything = F.array(*[F.lit(i) for i in range(n_pairs)])
     bits = F.coalesce(F.col("_mask"), F.lit(0).cast("bigint"))
