@@ -39,12 +39,19 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     return tune(spark)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors share: ``spark.checkpoint.dir``; a new local one only on one machine."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="strandmart-ckpt-"))
+        shared = tempfile.mkdtemp(prefix="strandmart-")
+    return shared
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from strandmart.functions.json_text import is_json, repair_quotes
 from strandmart.operators.shape import union_by_name
 
 ROW_ORDER = "_row_order"
@@ -104,12 +105,9 @@ def date_of_file(df: DataFrame) -> DataFrame:
 
 def flatten_records(df: DataFrame, column: str, ddl: str, prefix: str = "") -> DataFrame:
     """Nested record text to columns ``<prefix><field>``; Python-literal text is accepted."""
-    from strandmart.functions.json_text import repair_quotes
-
-    parsed = F.coalesce(F.from_json(column, ddl), F.from_json(repair_quotes(column), ddl))
-    fields = T.StructType.fromDDL(ddl).names if not ddl.startswith("struct") else []
-    out = df.withColumn("_rec", parsed)
-    names = fields or out.schema["_rec"].dataType.names
+    text = F.when(is_json(column), F.col(column)).otherwise(repair_quotes(column))
+    out = df.withColumn("_rec", F.from_json(text, ddl))
+    names = out.schema["_rec"].dataType.names
     return out.select(*df.columns, *[F.col(f"_rec.`{n}`").alias(f"{prefix}{n}") for n in names])
 
 

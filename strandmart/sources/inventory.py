@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,20 +167,21 @@ def sheet_lanes(sheets: DataFrame) -> DataFrame:
 
 def qc_sync_plan(source: DataFrame, existing: DataFrame, ds, buckets: Buckets = Buckets()) -> DataFrame:
     """Copy plan of new QC files: (source bucket and key, target bucket and key)."""
-    name = part("key", "/", -1)
+    name = F.col("_name")
 
     def wanted(patterns):
-        return reduce(or_, [name.rlike(f"^{p}") for p in patterns])
+        return name.rlike("^(?:" + "|".join(patterns) + ")")
 
-    dragen = (F.col("bucket") == buckets.illumina) & wanted(DRAGEN_QC_FILES)
-    citus = (F.col("bucket") == buckets.citus) & wanted(CITUS_QC_FILES)
+    dragen, citus = F.col("bucket") == buckets.illumina, F.col("bucket") == buckets.citus
+    fits = (dragen & wanted(DRAGEN_QC_FILES)) | (citus & wanted(CITUS_QC_FILES))
     folder, sample = part("key", "/", 3), part("key", "/", 4)
     target_key = F.when(dragen, F.concat_ws("/", folder, sample, name)).when(
         citus, F.concat_ws("/", part("key", "/", 1), name)
     )
     known_shape = ~dragen | sample.isNotNull()
     recent = F.col("last_modified").cast("date") >= F.lit(ds).cast("date")
-    plan = source.filter(recent & (dragen | citus) & known_shape).select(
+    named = source.filter(recent & (dragen | citus)).withColumn("_name", part("key", "/", -1))
+    plan = named.filter(fits & known_shape).select(
         F.col("bucket").alias("source_bucket"), F.col("key").alias("source_key"),
         F.when(dragen, buckets.dragen_qc).otherwise(buckets.citus_qc).alias("target_bucket"),
         target_key.alias("target_key"),
@@ -247,8 +245,10 @@ def pgx_status(
     out = left_on(out, versions, {"_ind_key": "key"}, {"version": "pipeline_version"})
     out = override(out, id_fixes.select("id_repository", "new_repository").distinct(),
                    "id_repository", "id_repository", "new_repository")
-    aliases = survey_aliases.select("new_origin_code_repository", "code_repository").distinct()
-    out = override(out, aliases, "new_origin_code_repository", "id_repository", "code_repository")
+    aliases = survey_aliases.select(
+        F.col("new_origin_code_repository").alias("id_repository"), F.col("code_repository").alias("new_repository")
+    ).distinct()
+    out = override(out, aliases, "id_repository", "id_repository", "new_repository")
     return out.select(
         "file_name", "bam", "input_creation_date", "id_repository", "hub_name", "run_name",
         "report_path_ind", "ind_report_creation_date", "report_path_eng", "eng_report_creation_date",

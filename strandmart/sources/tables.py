@@ -22,7 +22,7 @@ def replace_table(df: DataFrame, table: str) -> None:
 
 
 class SwappedTable:
-    """Versions side by side under one root; ``_CURRENT`` names the readable one.
+    """Versions side by side under one root; ``CURRENT`` names the readable one.
 
     A new version is written aside and becomes visible when the pointer file is
     renamed over the old one, so readers see the old or the new table, never a
@@ -36,10 +36,10 @@ class SwappedTable:
         self._fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def current(self) -> str | None:
-        pointer = self._path("_CURRENT")
+        pointer = self._path("CURRENT")
         if not self._fs.exists(pointer):
             return None
-        return self.spark.read.text(f"{self.root}/_CURRENT").first()[0]
+        return self.spark.read.text(f"{self.root}/CURRENT").first()[0]
 
     def exists(self) -> bool:
         return self.current() is not None
@@ -57,7 +57,7 @@ class SwappedTable:
         self._point_to(version)
 
     def _point_to(self, version: str) -> None:
-        aside = self._path(f"_CURRENT.{version}")
+        aside = self._path(f"_next.{version}")
         stream = self._fs.create(aside, True)
         stream.write(bytearray(version.encode()))
         stream.close()
@@ -69,7 +69,7 @@ class SwappedTable:
             self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1
         )
         options[0] = option
-        context.rename(aside, self._path("_CURRENT"), options)
+        context.rename(aside, self._path("CURRENT"), options)
 
     def upsert(self, source: DataFrame, version: str, keys, keep=(), order=(), stamp=None) -> None:
         """Merge a batch into the current version and swap."""
