@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,15 +24,17 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tune(spark), folder
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames[name]
 
     def sql(self, text: str) -> DataFrame:
         """SQL that both engines read the same way; used to derive inputs."""
-        for name in TABLES:
-            if name in text:
-                self[name].createOrReplaceTempView(name)
+        for name in set(re.findall(r"(?:FROM|JOIN)\s+(\w+)", text)) & set(TABLES):
+            self[name].createOrReplaceTempView(name)
         return self.spark.sql(text)
 
 

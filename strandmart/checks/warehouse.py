@@ -184,9 +184,12 @@ class DerivedTables(Mapping[str, DataFrame]):
 
     def __init__(self, inputs):
         self._inputs = inputs
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._inputs.sql(WAREHOUSE[name])
+        if name not in self._frames:
+            self._frames[name] = self._inputs.sql(WAREHOUSE[name])
+        return self._frames[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(WAREHOUSE)

@@ -15,49 +15,32 @@ def count_by(df: DataFrame, keys: Sequence[str | Column], name: str = "ct") -> D
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def concat_distinct(
-    df: DataFrame, keys: Sequence[str], columns: Mapping[str, str] | Sequence[str], sep: str
-) -> DataFrame:
-    """Distinct values of each column per key, sorted, joined with ``sep``.
+def distinct_text(c: Column | str, sep: str) -> Column:
+    """Aggregate: sorted distinct values as one text, null when there are none.
 
-    One column is done with ``listagg`` inside the group.  Several distinct
-    lists at once would expand every row per list, so the values are first
-    deduplicated in long form and aggregated once.
+    Sets combine map-side, and several lists per key need no row expansion.
     """
-    names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
-    if len(names) == 1:
-        (source, target), = names.items()
-        ordered = _within_group(source, sep, True)
-        return df.groupBy(*keys).agg(ordered.alias(target))
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.col(source).cast("string").alias("v"))
-            for i, source in enumerate(names)
-        ]
-    )
-    long = df.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.i", "_e.v").distinct()
-    lists = [
-        F.expr(
-            f"listagg(CASE WHEN i = {i} THEN v END, {_quote(sep)}) WITHIN GROUP (ORDER BY v)"
-        ).alias(target)
-        for i, target in enumerate(names.values())
-    ]
-    return long.groupBy(*keys).agg(*lists)
+    values = F.collect_set((F.col(c) if isinstance(c, str) else c).cast("string"))
+    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), sep))
 
 
-def concat_sorted(df: DataFrame, keys: Sequence[str], column: str, sep: str, name: str) -> DataFrame:
-    """All values (duplicates kept), sorted, joined with ``sep``."""
-    return df.groupBy(*keys).agg(_within_group(column, sep, False).alias(name))
+def sorted_text(c: Column | str, sep: str) -> Column:
+    """Aggregate: all values (duplicates kept), sorted, as one text."""
+    values = F.collect_list((F.col(c) if isinstance(c, str) else c).cast("string"))
+    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), sep))
 
 
-def _quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def concat_distinct(
+    df: DataFrame, keys: Sequence[str], columns: Mapping[str, str] | Sequence[str], sep: str
+) -> DataFrame:
+    """Distinct values of each column per key, sorted, joined with ``sep``."""
+    names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
+    return df.groupBy(*keys).agg(*[distinct_text(source, sep).alias(target) for source, target in names.items()])
 
 
-def _within_group(column: str, sep: str, distinct: bool) -> Column:
-    value = f"CAST(`{column}` AS STRING)"
-    word = "DISTINCT " if distinct else ""
-    return F.expr(f"listagg({word}{value}, {_quote(sep)}) WITHIN GROUP (ORDER BY {value})")
+def concat_sorted(df: DataFrame, keys: Sequence[str], column: str, sep: str, name: str) -> DataFrame:
+    """All values (duplicates kept), sorted, joined with ``sep``."""
+    return df.groupBy(*keys).agg(sorted_text(column, sep).alias(name))
 
 
 def flag_counts(

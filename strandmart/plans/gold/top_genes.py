@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from strandmart.functions.rules import dose_text
-from strandmart.functions.text import first_rule
 from strandmart.operators.joins import left_on, lookup, pairs_with_default
 from strandmart.operators.ranking import latest_by
 
@@ -45,13 +44,13 @@ UNKNOWN = " Tidak Dapat Ditentukan"
 
 
 def pair_number():
-    """Number of a detail row's pair; the pairs are distinct, so a row has at most one."""
-    gene, drug, kind = F.upper("gene_symbol"), F.lower("drug_name"), F.lower("drug_classification")
-    rules = []
-    for i, (g, d, c) in enumerate(PAIRS):
-        fits = (gene == g.upper()) & (drug == d.lower())
-        rules.append((fits & (kind == c.lower()) if c else fits, F.lit(i)))
-    return first_rule(rules)
+    """Number of a detail row's pair, null outside the list; one literal map lookup."""
+    numbers = [F.lit(x) for i, (g, d, _) in enumerate(PAIRS) for x in (f"{g}|{d}".lower(), i)]
+    name = F.lower(F.concat("gene_symbol", F.lit("|"), "drug_name"))
+    classes = [F.lit(x) for i, (_, _, c) in enumerate(PAIRS) if c for x in (i, c.lower())]
+    number = F.try_element_at(F.create_map(*numbers), name)
+    wanted = F.try_element_at(F.create_map(*classes), number)
+    return F.when(wanted.isNull() | (wanted == F.lower("drug_classification")), number)
 
 
 def subjects(tables):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from strandmart.functions.rules import visit_category
 from strandmart.functions.text import strip_quotes
+from strandmart.operators.aggregates import distinct_text
 from strandmart.operators.joins import left_on, lookup
 from strandmart.operators.ranking import latest_by
 
@@ -25,7 +26,7 @@ def run(tables):
     ).withColumn("biobank_nama", F.trim("biobank_nama"))
     # A code can have several rows; ungrouped values come from the row with the smallest id.
     samples = named.groupBy("id_patient", "code_repository").agg(
-        F.expr("listagg(DISTINCT biobank_nama, ';') WITHIN GROUP (ORDER BY biobank_nama)").alias("_sample_biobank"),
+        distinct_text("biobank_nama", ";").alias("_sample_biobank"),
         F.min(F.struct("id", "origin_code_repository")).alias("_row"),
     )
     patients = lookup(tables["simbiox_patients"], biobanks, {"id_biobank": "id_biobank"}, {"biobank_nama": "_patient_biobank"})

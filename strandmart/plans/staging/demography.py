@@ -12,7 +12,7 @@ from strandmart.functions import rules
 from strandmart.functions.clearance import normalise_clearance, title_group
 from strandmart.functions.dates import age_years, fix_birth_century
 from strandmart.functions.text import regexp_or_null, unquote
-from strandmart.operators.aggregates import concat_distinct, flag_counts
+from strandmart.operators.aggregates import concat_distinct, distinct_text, flag_counts, sorted_text
 from strandmart.operators.joins import anti_null_safe, anti_on, left_on, lookup
 from strandmart.operators.ranking import latest_by
 from strandmart.operators.shape import union_padded
@@ -166,9 +166,7 @@ def same_name_and_id(people: DataFrame) -> DataFrame:
     known = people.filter(F.col("full_name").isNotNull() & F.col("nik").isNotNull())
     groups = known.groupBy("full_name", "nik").agg(
         F.count(F.lit(1)).alias("ct"),
-        F.expr(
-            "listagg(phenovar_id_subject, ',') WITHIN GROUP (ORDER BY phenovar_id_subject)"
-        ).alias("duplicate_name_nik_id_subject"),
+        sorted_text("phenovar_id_subject", ",").alias("duplicate_name_nik_id_subject"),
     )
     return groups.filter("ct > 1").drop("ct")
 
@@ -217,10 +215,8 @@ def subjects(tables) -> DataFrame:
     return people.groupBy(*keys).agg(
         F.min("exclusion_reason").alias("exclusion_reason"),
         F.min("duplicate_name_nik_id_subject").alias("duplicate_name_nik_id_subject"),
-        F.expr("listagg(DISTINCT nomor_ec, '; ') WITHIN GROUP (ORDER BY nomor_ec)").alias("nomor_ec"),
-        F.expr(
-            "listagg(DISTINCT judul_penelitian, '; ') WITHIN GROUP (ORDER BY judul_penelitian)"
-        ).alias("judul_penelitian"),
+        distinct_text("nomor_ec", "; ").alias("nomor_ec"),
+        distinct_text("judul_penelitian", "; ").alias("judul_penelitian"),
     ).withColumnRenamed("participant_type", "registry_participant_type")
 
 
