@@ -455,13 +455,11 @@ LEFT JOIN (SELECT DISTINCT o_custkey, o_orderpriority, o_orderstatus FROM orders
   ON c_custkey = o_custkey AND o_orderpriority = p.priority
 """)
 def _pairs(t):
-    number = None
-    for i, p in enumerate(PRIORITIES):
-        fits = F.col("o_orderpriority") == p
-        number = F.when(fits, i) if number is None else number.when(fits, i)
+    numbers = F.create_map(*[F.lit(x) for i, p in enumerate(PRIORITIES) for x in (p, i)])
     facts = t["orders"].select("o_custkey", "o_orderpriority", "o_orderstatus").distinct()
+    facts = facts.withColumn("pair", F.try_element_at(numbers, F.col("o_orderpriority"))).filter("pair IS NOT NULL")
     rows = pairs_with_default(
-        t["customer"].select("c_custkey"), facts, "c_custkey", "o_custkey", number, len(PRIORITIES), ["o_orderstatus"]
+        t["customer"].select("c_custkey"), facts, "c_custkey", "o_custkey", len(PRIORITIES), ["o_orderstatus"]
     )
     name = F.element_at(F.array(*[F.lit(p) for p in PRIORITIES]), F.col("pair") + 1)
     return rows.select("c_custkey", name.alias("priority"), F.coalesce("o_orderstatus", F.lit("none")).alias("status"))

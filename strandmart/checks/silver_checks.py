@@ -159,13 +159,13 @@ def _ont_analysis(t):
 
 
 @check("silver_ont_qc", """
-SELECT 'C' || CAST(o_orderkey AS VARCHAR) AS id_repository, CAST(o_custkey AS VARCHAR) AS n50, round(o_totalprice * 1000 / 3200000000 * 100, 6) AS at_least_10x FROM orders
+SELECT 'C' || CAST(o_orderkey AS VARCHAR) AS id_repository, CAST(o_custkey AS VARCHAR) AS n50, round(floor(o_totalprice) / 10000, 6) AS at_least_10x FROM orders
 """)
 def _ont_qc(t):
     plain = {raw: F.lit("0") for raw in silver.ONT_QC} | {
         "id_repository": F.concat(F.lit("C"), text("o_orderkey")), "run_name": F.lit("r"), "N50": text("o_custkey"),
     }
-    folds = {f"Bases with >={n}-fold coverage": (F.col("o_totalprice") * 1000).cast("string") for n in silver.ONT_FOLDS}
+    folds = {f"Bases with >={n}-fold coverage": (F.floor("o_totalprice") * 3200).cast("string") for n in silver.ONT_FOLDS}
     rows = t["orders"].select(*[c.alias(n) for n, c in (plain | folds).items()])
     return clean(rows, "ont_qc").select("id_repository", "n50", F.round("at_least_10x", 6).alias("at_least_10x"))
 

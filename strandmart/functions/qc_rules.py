@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -139,32 +141,86 @@ def ont_yield_status(sequencer, bases) -> Column:
     return F.when(as_col(sequencer) == "ONT", label).otherwise("")
 
 
-def _verdicts(coverage_cat, batch_cat, pair_cat) -> tuple[Column, Column]:
-    cov, batch, pair = as_col(coverage_cat), as_col(batch_cat), as_col(pair_cat)
-    bad = (pair == MISMATCH) | (batch == FAIL) | (cov == FAIL)
-    good = (cov == PASS) & (batch == PASS) & (pair == MATCH)
-    return bad, good
+# --- labels that depend on the state only ---------------------------------
+#
+# A sample's state is one of 216: coverage, batch and pair verdict, and three
+# missing flags.  A label is a literal array indexed by the state number, so the
+# executors do one lookup instead of a long chain of text comparisons.
 
+COVERAGES, BATCHES, PAIRINGS = (PASS, FAIL, NO_DATA), (PASS, FAIL, INCOMPLETE), (MATCH, MISMATCH, NO_DATA)
+STATES = list(product(COVERAGES, BATCHES, PAIRINGS, (False, True), (False, True), (False, True)))
 
-def strict_status(coverage_cat, batch_cat, pair_cat) -> Column:
-    bad, good = _verdicts(coverage_cat, batch_cat, pair_cat)
-    return first_rule([(bad, FAIL), (good, PASS)], F.lit(INCOMPLETE))
 
+def qc_state(coverage_cat, batch_cat, pair_cat, no_coverage, no_sex, no_ploidy) -> Column:
+    """Number of the state, in the order of ``STATES``."""
+    number = F.lit(0)
+    for c, values in ((coverage_cat, COVERAGES), (batch_cat, BATCHES), (pair_cat, PAIRINGS)):
+        place = F.when(as_col(c) == values[0], 0).when(as_col(c) == values[1], 1).otherwise(2)
+        number = number * 3 + place
+    for c in (no_coverage, no_sex, no_ploidy):
+        number = number * 2 + as_col(c).cast("int")
+    return number
 
-def strict_progress(coverage_cat, batch_cat, pair_cat, no_coverage, no_sex, no_ploidy) -> Column:
-    bad, good = _verdicts(coverage_cat, batch_cat, pair_cat)
-    no_analysis = as_col(no_coverage) | as_col(no_ploidy)
-    no_sex = as_col(no_sex)
-    return first_rule(
-        [
-            (bad, FAIL),
-            (good, PASS),
-            (no_analysis & no_sex, "Stalled: Registry/Analysis"),
-            (no_analysis, "Stalled: Analysis"),
-            (no_sex, "Stalled: Registry"),
-        ],
-        F.lit("Stalled: Batch Analysis"),
-    )
+
+def _by_state(state, rule) -> Column:
+    return F.get(F.array(*[F.lit(rule(*s)) for s in STATES]), as_col(state))
+
+
+def _bad(cov, batch, pair) -> bool:
+    return pair == MISMATCH or FAIL in (batch, cov)
+
+
+def _good(cov, batch, pair) -> bool:
+    return (cov, batch, pair) == (PASS, PASS, MATCH)
+
+
+def strict_status(state) -> Column:
+    def rule(cov, batch, pair, *_):
+        return FAIL if _bad(cov, batch, pair) else PASS if _good(cov, batch, pair) else INCOMPLETE
+
+    return _by_state(state, rule)
+
+
+def strict_progress(state) -> Column:
+    def rule(cov, batch, pair, no_coverage, no_sex, no_ploidy):
+        if _bad(cov, batch, pair):
+            return FAIL
+        if _good(cov, batch, pair):
+            return PASS
+        lacking = [n for n, lacks in (("Registry", no_sex), ("Analysis", no_coverage or no_ploidy)) if lacks]
+        return "Stalled: " + ("/".join(lacking) or "Batch Analysis")
+
+    return _by_state(state, rule)
+
+
+def strict_reason(state) -> Column:
+    def rule(cov, batch, pair, _, no_sex, no_ploidy):
+        facts = (cov, batch, pair, no_sex, no_ploidy)
+        fits = (r for *wanted, r in REASONS if all(w in (ANY, f) for w, f in zip(wanted, facts)))
+        return next(fits, "Unidentified")
+
+    return _by_state(state, rule)
+
+
+def strict_diagnosis(state) -> Column:
+    def rule(cov, batch, pair, *missing):
+        if _good(cov, batch, pair):
+            return PASS
+        # Checks that failed; a failed batch counts beside a bad coverage only for a sample that matches.
+        sex = pair == MISMATCH
+        whole = batch == FAIL and not sex and not (cov == FAIL and pair == NO_DATA)
+        failed = {
+            (True, True, False): "Coverage and Sex Check",
+            (True, False, True): "Coverage and Batch Sex Check",
+            (True, False, False): "Coverage QC",
+            (False, True, False): "Sex Check",
+            (False, False, True): "Batch Sex Check",
+        }.get((cov == FAIL, sex, whole))
+        if failed:
+            return f"{FAIL} ({failed})"
+        return INCOMPLETE if cov == PASS or any(missing) else "Undefined"
+
+    return _by_state(state, rule)
 
 
 def strict_color(coverage_cat, batch_cat, pair_cat, yield_status, sequencer, coverage) -> Column:
@@ -186,37 +242,6 @@ def strict_color(coverage_cat, batch_cat, pair_cat, yield_status, sequencer, cov
     )
 
 
-def strict_reason(coverage_cat, batch_cat, pair_cat, no_sex, no_ploidy) -> Column:
-    columns = [as_col(c) for c in (coverage_cat, batch_cat, pair_cat, no_sex, no_ploidy)]
-    rules = []
-    for *wanted, reason in REASONS:
-        fits = F.lit(True)
-        for column, value in zip(columns, wanted):
-            if value != ANY:
-                fits = fits & (column == F.lit(value))
-        rules.append((fits, reason))
-    return first_rule(rules, F.lit("Unidentified"))
-
-
-def strict_diagnosis(coverage_cat, batch_cat, pair_cat, no_coverage, no_sex, no_ploidy) -> Column:
-    cov, batch, pair = as_col(coverage_cat), as_col(batch_cat), as_col(pair_cat)
-    mismatch, missing = pair == MISMATCH, as_col(no_coverage) | as_col(no_sex) | as_col(no_ploidy)
-    passed, failed = cov == PASS, cov == FAIL
-    only_coverage = (pair == NO_DATA) | (batch != FAIL)
-    return first_rule(
-        [
-            (passed & (batch == PASS) & (pair == MATCH), PASS),
-            (failed & mismatch, "Fail (Coverage and Sex Check)"),
-            (failed & only_coverage, "Fail (Coverage QC)"),
-            (failed, "Fail (Coverage and Batch Sex Check)"),
-            (mismatch, "Fail (Sex Check)"),
-            (batch == FAIL, "Fail (Batch Sex Check)"),
-            (passed | missing, INCOMPLETE),
-        ],
-        F.lit("Undefined"),
-    )
-
-
 def progress(sequencer, bases, run_name, coverage, breadth, batch_cat) -> Column:
     thin = (number_or_null(coverage) < MIN_COVERAGE) | (number_or_null(breadth) < PROGRESS_BREADTH)
     return first_rule(
@@ -259,18 +284,19 @@ def add_qc_labels(df):
         }
     )
     verdict = ("coverage_category", "batch_sex_category", "sex_ploidy_category")
-    missing = ("coverage_missing", "sex_missing", "ploidy_missing")
+    state = qc_state(*verdict, "coverage_missing", "sex_missing", "ploidy_missing")
+    df = df.withColumn("_state", state)
     return df.withColumns(
         {
-            "qc_strict_status": strict_status(*verdict),
-            "qc_strict_progress": strict_progress(*verdict, *missing),
+            "qc_strict_status": strict_status("_state"),
+            "qc_strict_progress": strict_progress("_state"),
             "qc_strict_color": strict_color(*verdict, "ont_yield_status", "sequencer", "coverage"),
-            "qc_strict_reason": strict_reason(*verdict, *missing[1:]),
-            "qc_strict_diagnosis": strict_diagnosis(*verdict, *missing),
+            "qc_strict_reason": strict_reason("_state"),
+            "qc_strict_diagnosis": strict_diagnosis("_state"),
             "progress": progress(
                 "sequencer", "sum_of_total_passed_bases", "run_name", "coverage",
                 "at_least_10x", "batch_sex_category",
             ),
             "qc_coverage_tier": coverage_tier(*verdict[1:], "coverage_class"),
         }
-    )
+    ).drop("_state")

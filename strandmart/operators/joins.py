@@ -143,18 +143,16 @@ def pairs_with_default(
     facts: DataFrame,
     subject_key: str,
     fact_key: str,
-    pair: Column,
     n_pairs: int,
     take: Sequence[str],
 ) -> DataFrame:
     """Every subject with every pair of a fixed list: matching facts, else one row of nulls.
 
-    ``pair`` numbers a fact's pair from 0 (null = not in the list).  Subjects are
-    not multiplied before the join: facts are joined once, and the pairs a
-    subject lacks come from one bit mask per key, a map-side combined aggregate.
+    ``facts.pair`` is the number of a fact's pair, from 0.  Subjects are not
+    multiplied before the join: facts are joined once, and the pairs a subject
+    lacks come from one bit mask per key, a map-side combined aggregate.
     """
-    numbered = facts.select(F.col(fact_key).alias("_fk"), pair.cast("int").alias("pair"), *take)
-    numbered = numbered.filter(F.col("pair").isNotNull())
+    numbered = facts.select(F.col(fact_key).alias("_fk"), F.col("pair").cast("int").alias("pair"), *take)
     found = subjects.join(numbered, F.col(subject_key) == F.col("_fk")).drop("_fk")
     masks = numbered.groupBy("_fk").agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("pair"))).alias("_mask")

@@ -43,14 +43,16 @@ PAIRS = [
 UNKNOWN = " Tidak Dapat Ditentukan"
 
 
-def pair_number():
-    """Number of a detail row's pair, null outside the list; one literal map lookup."""
-    numbers = [F.lit(x) for i, (g, d, _) in enumerate(PAIRS) for x in (f"{g}|{d}".lower(), i)]
-    name = F.lower(F.concat("gene_symbol", F.lit("|"), "drug_name"))
-    classes = [F.lit(x) for i, (_, _, c) in enumerate(PAIRS) if c for x in (i, c.lower())]
-    number = F.try_element_at(F.create_map(*numbers), name)
-    wanted = F.try_element_at(F.create_map(*classes), number)
-    return F.when(wanted.isNull() | (wanted == F.lower("drug_classification")), number)
+def numbered_pairs(details):
+    """Details of the listed pairs, with the number of the pair.
+
+    The list is a literal table of 30 rows, so its broadcast has a fixed size.
+    """
+    rows = [(i, g.lower(), d.lower(), c and c.lower()) for i, (g, d, c) in enumerate(PAIRS)]
+    pairs = details.sparkSession.createDataFrame(rows, "pair int, _gene string, _drug string, _class string")
+    same = (F.lower("gene_symbol") == F.col("_gene")) & (F.lower("drug_name") == F.col("_drug"))
+    allowed = F.col("_class").isNull() | (F.lower("drug_classification") == F.col("_class"))
+    return details.join(F.broadcast(pairs), same & allowed).drop("_gene", "_drug", "_class")
 
 
 def subjects(tables):
@@ -64,8 +66,8 @@ def subjects(tables):
 def run(tables):
     details = tables["gold_pgx_detail_report"].filter(F.col("phenotype_text").isNotNull())
     take = ["phenotype_text", "gene_symbol", "rec_category", "drug_name"]
-    details = details.select("order_id", "drug_classification", *take)
-    rows = pairs_with_default(subjects(tables), details, "file_name", "order_id", pair_number(), len(PAIRS), take)
+    details = numbered_pairs(details.select("order_id", "drug_classification", *take))
+    rows = pairs_with_default(subjects(tables), details, "file_name", "order_id", len(PAIRS), take)
     pair = F.col("pair") + 1
     gene = F.element_at(F.array(*[F.lit(g) for g, _, _ in PAIRS]), pair)
     drug = F.element_at(F.array(*[F.lit(d) for _, d, _ in PAIRS]), pair)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from strandmart.sources.tables import insert_ignore
+from strandmart.operators.ranking import latest_by
 
 
 def count_today(tables, run_ts):
@@ -12,4 +12,6 @@ def count_today(tables, run_ts):
 
 def run(tables, run_ts):
     """The metric table with today's row, unless the day has one already."""
-    return insert_ignore(tables["staging_report_fix_simbiox"], count_today(tables, run_ts), ["date_time"])
+    known = tables["staging_report_fix_simbiox"].withColumn("_new", F.lit(0))
+    both = known.unionByName(count_today(tables, run_ts).withColumn("_new", F.lit(1)))
+    return latest_by(both, ["date_time"], [F.asc("_new")]).drop("_new")

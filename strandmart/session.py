@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Methods above this bytecode size are not JIT-compiled; wide rule projections run split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A hot key is split even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Rank filters keep at most n rows per key in each map task before the shuffle.
