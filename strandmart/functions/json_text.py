@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from strandmart.functions.text import as_col
 
 
+# Python constants and their JSON form.
+CONSTANTS = (("None", "null"), ("True", "true"), ("False", "false"), ("nan", "null"))
+
+
 def repair_quotes(c: Column | str) -> Column:
-    """Python-literal text to JSON text: quotes and the three constants."""
-    c = F.replace(as_col(c), F.lit("'"), F.lit('"'))
-    for old, new in (("None", "null"), ("True", "true"), ("False", "false"), ("nan", "null")):
-        c = F.regexp_replace(c, rf"(?<=[\[\{{:,\s]){old}(?=[\]\}},\s])", new)
-    return c
+    """Python-literal text to JSON text: quotes and the constants."""
+    quoted = F.replace(as_col(c), F.lit("'"), F.lit('"'))
+    fixed = quoted
+    for old, new in CONSTANTS:
+        fixed = F.regexp_replace(fixed, rf"(?<=[\[\{{:,\s]){old}(?=[\]\}},\s])", new)
+    has_constant = as_col(c).rlike("|".join(old for old, _ in CONSTANTS))
+    return F.when(has_constant, fixed).otherwise(quoted)
 
 
 def is_json(c: Column | str) -> Column:

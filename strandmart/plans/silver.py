@@ -461,27 +461,42 @@ NEST_LEVELS = 6
 
 def _is_object(v: Column) -> Column:
     """A non-empty JSON object; other values are answers."""
-    return F.trim(v).rlike(r"(?s)^\{\s*\"")
+    return F.ltrim(v).startswith("{") & v.rlike(r'^\s*\{\s*"')
+
+
+def _entries(c: Column) -> Column:
+    return F.map_entries(F.from_json(c, "map<string,string>"))
+
+
+def _open(answers: Column) -> Column:
+    """One level: objects become their entries, with dotted paths."""
+
+    def inner(answer):
+        below = F.transform(
+            _entries(answer["value"]),
+            lambda e: F.struct(F.concat(answer["key"], F.lit("."), e["key"]).alias("key"), e["value"].alias("value")),
+        )
+        return F.when(_is_object(answer["value"]), below).otherwise(F.array(answer))
+
+    return F.flatten(F.transform(answers, inner))
 
 
 def _leaves(answers: DataFrame) -> DataFrame:
     """(…, path, value) for every answer, nested objects as dotted paths.
 
-    Levels are opened one after another; the deepest level that is still an
-    object is kept as JSON text, so nothing is lost.
+    Levels are opened inside the row, only while there is an object, and rows
+    are made once at the end; what is still an object at the deepest level is
+    kept as JSON text, so nothing is lost.
     """
-    entries = lambda c: F.explode(F.map_entries(F.from_json(c, "map<string,string>")))
     base = [c for c in answers.columns if c != "_json"]
-    rows = answers.select(*base, entries(F.col("_json")).alias("e")).select(
-        *base, F.col("e.key").alias("path"), F.col("e.value").alias("value")
-    )
-    for _ in range(NEST_LEVELS):
-        opened = F.when(_is_object(F.col("value")), F.map_entries(F.from_json("value", "map<string,string>")))
-        itself = F.array(F.struct(F.lit("").alias("key"), F.col("value").alias("value")))
-        rows = rows.withColumn("e", F.explode(F.coalesce(opened, itself)))
-        deeper = F.when(F.col("e.key") == "", F.col("path")).otherwise(F.concat("path", F.lit("."), "e.key"))
-        rows = rows.select(*base, deeper.alias("path"), F.col("e.value").alias("value"))
-    return rows
+
+    def level(entries, _):
+        nested = F.exists(entries, lambda e: _is_object(e["value"]))
+        return F.when(nested, _open(entries)).otherwise(entries)
+
+    opened = F.aggregate(F.sequence(F.lit(1), F.lit(NEST_LEVELS)), _entries(F.col("_json")), level)
+    rows = answers.select(*base, F.explode(opened).alias("e"))
+    return rows.select(*base, F.col("e.key").alias("path"), F.col("e.value").alias("value"))
 
 
 def flatten_documents(documents: DataFrame, variables: DataFrame) -> DataFrame:

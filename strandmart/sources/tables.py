@@ -115,7 +115,7 @@ def sample_table(df: DataFrame, rows: int, order: Sequence[str] = ()) -> DataFra
 def sample_catalog(spark: SparkSession, source: str, target: str, rows: int, exclude: str = SCRATCH_TABLES) -> list[str]:
     """Capped copies of all base tables of a schema, by name filter."""
     listed = spark.catalog.listTables(source)
-    names = spark.createDataFrame([(t.name,) for t in listed if t.tableType != "VIEW"] or [("",)], "name string")
+    names = spark.createDataFrame([(t.name,) for t in listed if not t.isTemporary and t.tableType != "VIEW"] or [("",)], "name string")
     kept = [r[0] for r in names.filter(~is_trial("name", exclude) & (F.col("name") != "")).collect()]
     for name in kept:
         replace_table(sample_table(spark.table(f"`{source}`.`{name}`"), rows), f"`{target}`.`{name}`")
