@@ -17,10 +17,7 @@ from strandmart.functions.text import capture_or_null, part
 
 def read_whole(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """(key, content) of every file that fits the glob."""
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).text(path)
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     key = F.regexp_replace(F.col("_metadata.file_path"), f"^.*?{path.rstrip('/')}/", "")
     return files.select(key.alias("key"), F.col("value").alias("content"))
 
