@@ -329,29 +329,24 @@ def _listing(t):
 
 
 @check("explode_reports", """
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id, o_orderpriority AS hubs, CAST(l_partkey AS VARCHAR) AS drug_name,
-  l_returnflag AS phenotype_text, CAST(l_linenumber AS SMALLINT) AS rec_category, o_orderstatus AS test_method, 'v1' AS version
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linestatus AS hubs, CAST(l_partkey + k AS VARCHAR) AS drug_name,
+  l_returnflag AS phenotype_text, CAST(l_linenumber AS SMALLINT) AS rec_category, l_linestatus AS test_method, 'v1' AS version
+FROM lineitem, (VALUES (0), (1)) v(k)
 """)
 def _reports(t):
-    """One JSON report per order with its lines as recommendations."""
-    recs = t["lineitem"].groupBy("l_orderkey").agg(
-        F.collect_list(
-            F.struct(
-                F.col("l_partkey").cast("string").alias("drug_name"), F.col("l_returnflag").alias("phenotype_text"),
-                F.col("l_linenumber").cast("string").alias("rec_category"),
-            )
-        ).alias("clinical_recommendations")
-    )
-    files = recs.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.to_json(
-            F.struct(
-                F.struct(F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderpriority").alias("ordered_by")).alias("order_details"),
-                F.struct(F.col("o_orderstatus").alias("test_method")).alias("sample_details"),
-                F.lit("v1").alias("version"), "clinical_recommendations",
-            )
-        ).alias("content")
+    """One JSON report per line with two recommendations."""
+    def rec(k):
+        return F.struct(
+            (F.col("l_partkey") + k).cast("string").alias("drug_name"), F.col("l_returnflag").alias("phenotype_text"),
+            F.col("l_linenumber").cast("string").alias("rec_category"),
+        )
+
+    report = F.struct(
+        F.struct(F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_linestatus").alias("ordered_by")).alias("order_details"),
+        F.struct(F.col("l_linestatus").alias("test_method")).alias("sample_details"),
+        F.lit("v1").alias("version"), F.array(rec(0), rec(1)).alias("clinical_recommendations"),
     )
+    files = t["lineitem"].select(F.to_json(report).alias("content"))
     return reports.explode_reports(files).select(
         "order_id", "hubs", "drug_name", "phenotype_text", "rec_category", "test_method", "version"
     )
@@ -395,15 +390,17 @@ SELECT 'LIB' || CAST(l_orderkey AS VARCHAR) AS id_library, 'C' || CAST(l_partkey
 FROM lineitem
 """)
 def _barcodes(t):
-    """Barcode rows of JSON embedded in one HTML report per order."""
+    """Barcode rows of JSON embedded in one HTML report per line."""
     entry = F.struct(
         F.concat(F.lit("C"), F.col("l_partkey").cast("string"), F.lit("_t")).alias("barcode"),
         F.col("l_extendedprice").cast("bigint").alias("total_bases"),
         F.round(F.col("l_discount") * 100).cast("bigint").alias("passed_bases_percent"),
     )
-    files = t["lineitem"].groupBy("l_orderkey").agg(F.collect_list(entry).alias("e")).select(
+    files = t["lineitem"].select(
         F.concat(F.lit("LIB"), F.col("l_orderkey").cast("string"), F.lit("/no_sample/a/report_x.html")).alias("key"),
-        F.concat(F.lit('<html><script>{"x": 1, "barcode_reads" : '), F.to_json("e"), F.lit(', "y": []}</script></html>')).alias("content"),
+        F.concat(
+            F.lit('<html><script>{"x": 1, "barcode_reads" : '), F.to_json(F.array(entry)), F.lit(', "y": []}</script></html>')
+        ).alias("content"),
     )
     out = reports.parse_html_reports(files)
     return out.select(
@@ -459,14 +456,13 @@ def _log(t):
 
 
 def _sessions(t):
-    """One session per order: its lines are run items."""
+    """One session per line, with one run item."""
     run = F.struct(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("Id"), F.col("l_returnflag").alias("Name"),
         F.struct(F.col("l_quantity").alias("YieldTotal"), F.col("l_tax").alias("PercentGtQ30")).alias("SequencingStats"),
     )
-    runs = t["lineitem"].groupBy("l_orderkey").agg(F.collect_list(run).alias("runs"))
-    rows = runs.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-    none = F.lit(None).cast(runs.schema["runs"].dataType)
+    rows = t["lineitem"].withColumn("runs", F.array(run)).join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    none = F.lit(None).cast(rows.schema["runs"].dataType)
 
     def item(name, content, items=none):
         return F.struct(F.lit(name).alias("Name"), content.alias("Content"), items.alias("RunItems"))

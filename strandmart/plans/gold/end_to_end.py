@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from strandmart.functions import rules
 from strandmart.functions.dates import calendar_years
 from strandmart.functions.text import regexp_or_null
-from strandmart.operators.aggregates import concat_sorted, flag_counts, flagged_keys
+from strandmart.operators.aggregates import flagged_keys, sorted_text
 from strandmart.operators.joins import left_on, lookup
 
 PEOPLE = {
@@ -31,11 +31,11 @@ def biobank_samples(tables):
     rows = lookup(rows, tables["master_specimen"], {"biosample_specimen": "id"}, ["specimen_type_name"])
     flags = {n: rules.specimen_flag("specimen_type_name", w) == 1 for n, w in rules.SPECIMENS.items()}
     keys = ["id_subject", "patient_categ"]
-    counts = flagged_keys(flag_counts(rows, keys, flags, "sum_"), list(flags), "sum_")
-    codes = concat_sorted(rows, keys, "code_repository", ",", "code_repository")
-    renamed = codes.withColumnsRenamed({"id_subject": "_s", "patient_categ": "_c"})
-    same = (F.col("id_subject") == F.col("_s")) & F.col("patient_categ").eqNullSafe(F.col("_c"))
-    return counts.join(renamed, same, "left").drop("_s", "_c")
+    counts = [F.count_if(flag).cast("bigint").alias(f"sum_{n}") for n, flag in flags.items()]
+    grouped = rows.groupBy("id_subject", "patient_categ").agg(
+        *counts, sorted_text("code_repository", ",").alias("code_repository")
+    )
+    return flagged_keys(grouped, list(flags), "sum_")
 
 
 def _registry_a(tables):

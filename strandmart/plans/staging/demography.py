@@ -12,8 +12,8 @@ from strandmart.functions import rules
 from strandmart.functions.clearance import normalise_clearance, title_group
 from strandmart.functions.dates import age_years, fix_birth_century
 from strandmart.functions.text import regexp_or_null, unquote
-from strandmart.operators.aggregates import concat_distinct, distinct_text, flag_counts, sorted_text
-from strandmart.operators.joins import anti_null_safe, anti_on, left_on, lookup
+from strandmart.operators.aggregates import concat_distinct, distinct_text, sorted_text
+from strandmart.operators.joins import anti_null_safe, anti_on, left_on, lookup, semi_on
 from strandmart.operators.ranking import latest_by
 from strandmart.operators.shape import union_padded
 from strandmart.settings import Settings
@@ -148,6 +148,12 @@ def registry_a_persons(tables) -> DataFrame:
     ).distinct()
 
 
+def moved_subjects(tables) -> DataFrame:
+    """Ids in the younger registry of subjects known to the older one."""
+    moved = tables["regina_migration"].filter(F.col("phenovar_id_subject").isNotNull())
+    return semi_on(moved, tables["decrypt_regina"], "id_subject_regina", "id_subject").select("phenovar_id_subject")
+
+
 def registry_b_persons(tables) -> DataFrame:
     people = left_on(
         tables["decrypted_phenovar_participants"], registry_b_clearances(tables), {"id_subject": "id_subject"},
@@ -183,7 +189,7 @@ def all_persons(tables) -> DataFrame:
     )
     merged = left_on(merged, registry_a_types(tables), {"regina_id_subject": "id_subject"}, ["participant_type"])
 
-    only_b = anti_on(b, a.filter(F.col("phenovar_id_subject").isNotNull()), "phenovar_id_subject", "phenovar_id_subject")
+    only_b = anti_on(b, moved_subjects(tables), "phenovar_id_subject", "phenovar_id_subject")
     only_b = left_on(only_b, registry_b_types(tables), {"phenovar_id_subject": "id_subject"}, ["participant_type"])
     only_b = left_on(
         only_b, same_name_and_id(only_b), {"nik": "nik", "full_name": "full_name"}, ["duplicate_name_nik_id_subject"]
@@ -238,9 +244,10 @@ def _flags():
 
 
 def specimen_counts(rows: DataFrame) -> DataFrame:
-    counts = flag_counts(rows, ["id_subject"], _flags())
-    codes = concat_distinct(rows, ["id_subject"], ["origin_code_repository"], "; ")
-    return left_on(counts, codes, {"id_subject": "id_subject"}, ["origin_code_repository"])
+    """Rows per specimen and all origin codes, in one aggregation."""
+    counts = [F.count_if(flag).cast("bigint").alias(f"count_{n}") for n, flag in _flags().items()]
+    codes = distinct_text("origin_code_repository", "; ").alias("origin_code_repository")
+    return rows.groupBy("id_subject").agg(*counts, codes)
 
 
 def tb_participants(rows: DataFrame) -> DataFrame:

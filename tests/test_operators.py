@@ -123,3 +123,16 @@ def test_upsert_specifications(spark, name):
     stamp = {RUN: "run", UNSET: "old-updated_at"}.get(spec.stamp, "new-updated_at")
     assert got["k2"]["updated_at"] == stamp
     assert got["k3"]["updated_at"] == "new-updated_at"
+
+
+def test_collect_parallel_splits_large_keys(hot):
+    from strandmart.operators import collect_parallel
+
+    whole = collect_parallel(hot, ["k"], ["v", "w"], ["v", "w"])
+    split = collect_parallel(hot, ["k"], ["v", "w"], ["v", "w"], max_items=100)
+    assert whole.filter("part <> 0").count() == 0
+    assert split.filter("k = 7").count() > 1 and split.filter("size(v) <> size(w)").count() == 0
+    unpacked = [
+        rows(d.select("k", F.explode(F.arrays_zip("v", "w")).alias("e")).select("k", "e.*")) for d in (whole, split)
+    ]
+    assert unpacked[0] == unpacked[1] == rows(hot)
