@@ -426,7 +426,7 @@ rows_ AS (SELECT t.*, b.code_repository, b.origin_code_repository, p.id_subject,
   LEFT JOIN {VISITS} v ON p.id_patient = v.px_id LEFT JOIN people d ON p.id_subject = d.id WHERE t.biobank_asal <> 'Biobank Pusat'),
 sent AS (SELECT biosample_id, id, origin_code_repository, dense_rank() OVER (PARTITION BY origin_code_repository ORDER BY tanggal_formulir NULLS FIRST) AS dr FROM rows_ WHERE is_to_central_seq = 1 AND status_transfer_name = 'Dikirim')
 SELECT r.biosample_id, r.id, strftime(r.tanggal_formulir, '%Y-%m-%d') AS tanggal_formulir, r.code_repository, r.origin_code_repository, r.id_subject, r.patient_biobank, r.patient_categ, r.registry_sex, r.age AS age_at_recruitment,
-  year(r.tanggal_formulir) AS year_formulir, monthname(r.tanggal_penerimaan) AS month_penerimaan, CASE WHEN s.dr = 1 THEN s.origin_code_repository END AS origin_code_repository_non_dup, r.is_to_central_seq
+  CAST(year(r.tanggal_formulir) AS INTEGER) AS year_formulir, monthname(r.tanggal_penerimaan) AS month_penerimaan, CASE WHEN s.dr = 1 THEN s.origin_code_repository END AS origin_code_repository_non_dup, r.is_to_central_seq
 FROM rows_ r LEFT JOIN sent s ON r.biosample_id = s.biosample_id AND r.id = s.id
 UNION ALL
 SELECT b.id, 'backdoor_form_id_1', '2025-05-19', b.code_repository, b.origin_code_repository, p.id_subject, m.biobank_nama, 'Control', d.sex, d.age, 2025, 'May', NULL, 0

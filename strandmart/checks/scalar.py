@@ -299,7 +299,7 @@ def _valid_json(t):
 
 
 @check("array_math", """
-SELECT vec_id, round(list_sum(embedding), 3) AS total, round(embedding[1], 4) AS first_value,
+SELECT vec_id, round(list_sum(embedding), 3) AS total, round(CAST(embedding[1] AS DOUBLE), 4) AS first_value,
        CAST(floor(label / 3) AS BIGINT) AS third, round(100.0 * label / nullif(label, 0), 2) AS percent
 FROM embeddings
 """)

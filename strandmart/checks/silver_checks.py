@@ -71,7 +71,7 @@ def _quality(t):
 @check("silver_demultiplex", """
 SELECT DISTINCT l_orderkey AS id_repository, l_linenumber AS lane, l_returnflag AS "index", l_partkey AS reads, l_suppkey AS perfect_index_reads,
   l_quantity AS one_mismatch_index_reads, 0 AS two_mismatch_index_reads, l_tax AS percent_reads, l_discount AS percent_perfect_index_reads,
-  0.5 AS percent_one_mismatch_index_reads, 0.25 AS percent_two_mismatch_index_reads, 'LP' AS id_library FROM lineitem
+  CAST(0.5 AS DOUBLE) AS percent_one_mismatch_index_reads, CAST(0.25 AS DOUBLE) AS percent_two_mismatch_index_reads, 'LP' AS id_library FROM lineitem
 """)
 def _demux(t):
     c = F.col

@@ -497,7 +497,7 @@ def _session_runs(t):
 
 
 @check("session_biosamples", """
-SELECT CAST(o_orderkey AS VARCHAR) AS session_id, l_returnflag AS run_name, 'B' || CAST(o_custkey AS VARCHAR) AS biosample_name, '5' AS biosample_id, 77 AS computed_yield_bps
+SELECT CAST(o_orderkey AS VARCHAR) AS session_id, l_returnflag AS run_name, 'B' || CAST(o_custkey AS VARCHAR) AS biosample_name, '5' AS biosample_id, CAST(77 AS BIGINT) AS computed_yield_bps
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' AND o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'
 """)
 def _session_samples(t):

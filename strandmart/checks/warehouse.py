@@ -123,8 +123,8 @@ WAREHOUSE = {
     "ztronpro_qc": f"""SELECT 'C' || {s('c_custkey * 10')} AS id_repository, 'C' || {s('c_custkey * 10')} || '_r' || {s('c_nationkey % 3')} AS run_name, 1.5 AS percent_dups, 90.0 AS at_least_10x, 80.0 AS at_least_20x,
         lower({SEX}) AS ploidy_estimation, 4.0 AS snp, 5.0 AS indel, 6.0 AS ts_tv, CAST(c_nationkey AS DOUBLE) AS depth FROM customer""",
     "wfhv_analysis": f"""SELECT {L_SAMPLE} AS id_repository, {L_RUN} AS run_name, {L_TIME} AS date_start, 'wf' AS pipeline_name, 'cram' || {s('l_partkey')} AS cram, l_partkey AS cram_size, 'vcf' || {s('l_partkey')} AS vcf, l_suppkey AS vcf_size FROM lineitem""",
-    "wfhv_qc": f"""SELECT 'C' || {O} || '_r' || {s('o_custkey % 3')} AS run_name, o_orderkey AS total_seqs, 30.5 AS total_depth, 0.5 AS contaminated, 91.0 AS at_least_10x, 82.0 AS at_least_20x, 'XY' AS ploidy_estimation,
-        o_custkey AS indel, 2.5 AS ts_tv, o_orderkey * 7 AS yield FROM orders""",
+    "wfhv_qc": f"""SELECT 'C' || {O} || '_r' || {s('o_custkey % 3')} AS run_name, o_orderkey AS total_seqs, CAST(30.5 AS DOUBLE) AS total_depth, CAST(0.5 AS DOUBLE) AS contaminated, CAST(91 AS DOUBLE) AS at_least_10x, CAST(82 AS DOUBLE) AS at_least_20x, 'XY' AS ploidy_estimation,
+        o_custkey AS indel, CAST(2.5 AS DOUBLE) AS ts_tv, o_orderkey * 7 AS yield FROM orders""",
     "zlims_samples": f"""SELECT 'C' || {TEN} AS id_repository, 'F' || {s('o_orderkey % 100')} AS id_flowcell, TIMESTAMP '2023-10-25 00:00:00' + o_orderkey * INTERVAL '100' SECOND AS date_create, o_orderkey % 90 AS id_index FROM orders""",
     "ztronpro_samples": f"""SELECT CASE CAST(o_orderkey % 9 AS INT) WHEN 0 THEN 'C' || {O} || '_hg38' WHEN 1 THEN 'AshkenazimTrio_hg38' WHEN 2 THEN 'Test' || {O} WHEN 3 THEN 'C' || {s('o_orderkey - 3')} ELSE 'C' || {TEN} || '_x' END AS original_sample_id,
         CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'LP1' ELSE 'LP' || {s('o_orderkey % 9')} END AS flow_cell_id, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE {s('o_orderkey % 70')} END AS barcode,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from strandmart.functions import rules
 from strandmart.functions.dates import iso_text, parse_any, parse_day
 from strandmart.functions.json_text import (
+    is_json,
     list_to_json,
     repair_quotes,
     sum_ignoring_blanks,
@@ -509,11 +510,16 @@ def flatten_documents(documents: DataFrame, variables: DataFrame) -> DataFrame:
     registry answers stay only in the recruitment group.  Answers stay rows: no
     column is made from data.
     """
-    text = F.trim("question_answer")
-    # Stored twice: JSON text of a Python-literal text.
-    unwrapped = F.coalesce(F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v"), text)
-    answer = F.when(F.try_parse_json(unwrapped).isNotNull(), unwrapped).otherwise(repair_quotes(unwrapped))
-    rows = documents.select(
+    rows = documents.select("*", F.trim("question_answer").alias("_text"))
+    # Some are stored twice: as JSON text of the text.
+    inner = F.get_json_object(F.concat(F.lit('{"v":'), "_text", F.lit("}")), "$.v")
+    rows = rows.withColumn("_text", F.when(F.col("_text").startswith('"'), inner).otherwise(F.col("_text")))
+    answer = (
+        F.when(F.col("_text").rlike(r"^\{\s*'"), repair_quotes("_text"))
+        .when(is_json("_text"), F.col("_text"))
+        .otherwise(repair_quotes("_text"))
+    )
+    rows = rows.select(
         form_group("document_type").alias("form_group"), F.col("participant_id").alias("id_subject"),
         F.col("institution_name").alias("biobank_nama"), "version", "created_at", answer.alias("_json"),
     ).filter("form_group IS NOT NULL")
