@@ -413,7 +413,7 @@ FROM people p CROSS JOIN pairs v LEFT JOIN gold_pgx_detail_report r ON p.file_na
 LEFT JOIN staging_demography d ON p.id_subject = d.id_subject LEFT JOIN provinsi n ON d.province = upper(n.name)
 """)
 def _m14(t):
-    return top_genes.run(DerivedTables(t)).distinct()
+    return top_genes.run(DerivedTables(t))
 
 
 @check("gold_transfer_report", f"""

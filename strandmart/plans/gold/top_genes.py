@@ -63,33 +63,36 @@ def subjects(tables):
     return latest_by(reported, ["id_subject"], ["ind_report_creation_date"]).drop("ind_report_creation_date")
 
 
-def run(tables):
-    details = tables["gold_pgx_detail_report"].filter(F.col("phenotype_text").isNotNull())
-    take = ["phenotype_text", "gene_symbol", "rec_category", "drug_name"]
-    details = numbered_pairs(details.select("order_id", "drug_classification", *take))
-    rows = pairs_with_default(subjects(tables), details, "file_name", "order_id", len(PAIRS), take)
-    pair = F.col("pair") + 1
-    gene = F.element_at(F.array(*[F.lit(g) for g, _, _ in PAIRS]), pair)
-    drug = F.element_at(F.array(*[F.lit(d) for _, d, _ in PAIRS]), pair)
-    rows = rows.withColumns(
-        {
-            "phenotype_text": F.coalesce("phenotype_text", F.concat(gene, F.lit(UNKNOWN))),
-            "gene_symbol": F.coalesce("gene_symbol", gene),
-            "drug_name": F.coalesce("drug_name", drug),
-            "recommendation": dose_text("rec_category"),
-        }
-    ).drop("rec_category", "file_name")
-    # Equal detail rows collapse before the subject's places fan out.
-    rows = rows.distinct()
+def places(tables):
+    """Subjects with their provinces and hospitals, each pair once."""
     people = tables["staging_demography"].select("id_subject", "province", "hospital_name")
-    places = people.select("id_subject", "province").distinct()
-    rows = left_on(rows, places, {"id_subject": "id_subject"}, ["province"])
-    names = tables["provinsi"].select(F.upper("name").alias("_name"), "iso_name")
-    rows = lookup(rows, names, {"province": "_name"}, ["iso_name"]).distinct()
-    rows = left_on(
-        rows, people.select("id_subject", "hospital_name").distinct(), {"id_subject": "id_subject"}, ["hospital_name"]
+    by_subject = {"id_subject": "id_subject"}
+    out = left_on(subjects(tables), people.select("id_subject", "province").distinct(), by_subject, ["province"])
+    out = left_on(out, people.select("id_subject", "hospital_name").distinct(), by_subject, ["hospital_name"])
+    names = tables["provinsi"].select(F.upper("name").alias("_name"), "iso_name").distinct()
+    return lookup(out, names, {"province": "_name"}, ["iso_name"])
+
+
+def findings(tables):
+    """Distinct findings per report and pair."""
+    details = tables["gold_pgx_detail_report"].filter(F.col("phenotype_text").isNotNull()).select(
+        "order_id", "drug_classification", "phenotype_text", "gene_symbol", "rec_category", "drug_name"
     )
+    return numbered_pairs(details).select(
+        "order_id", "pair", "phenotype_text", "gene_symbol", dose_text("rec_category").alias("recommendation"), "drug_name"
+    ).distinct()
+
+
+def run(tables):
+    """All joins are at subject or report level; the pairs are made last, without a further shuffle."""
+    take = ["phenotype_text", "gene_symbol", "recommendation", "drug_name"]
+    rows = pairs_with_default(places(tables), findings(tables), "file_name", "order_id", len(PAIRS), take)
+    pair = F.col("pair") + 1
+    gene = F.coalesce("gene_symbol", F.element_at(F.array(*[F.lit(g) for g, _, _ in PAIRS]), pair))
+    drug = F.coalesce("drug_name", F.element_at(F.array(*[F.lit(d) for _, d, _ in PAIRS]), pair))
     return rows.select(
-        "id_subject", "province", "iso_name", "phenotype_text", "gene_symbol", "recommendation", "drug_name",
-        F.concat("gene_symbol", F.lit(" - "), "drug_name").alias("gene_drug"), "hospital_name",
+        "id_subject", "province", "iso_name",
+        F.coalesce("phenotype_text", F.concat(gene, F.lit(UNKNOWN))).alias("phenotype_text"),
+        gene.alias("gene_symbol"), "recommendation", drug.alias("drug_name"),
+        F.concat(gene, F.lit(" - "), drug).alias("gene_drug"), "hospital_name",
     )
