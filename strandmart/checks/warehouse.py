@@ -170,10 +170,10 @@ WAREHOUSE = {
 def _details() -> str:
     from strandmart.plans.gold.top_genes import PAIRS
 
-    gene = " ".join(f"WHEN {i} THEN '{g}'" for i, (g, _, _) in enumerate(PAIRS))
-    drug = " ".join(f"WHEN {i} THEN '{d}'" for i, (_, d, _) in enumerate(PAIRS))
-    return f"""SELECT 'F' || {L} AS order_id, CASE CAST(l_partkey % 33 AS INT) {gene} ELSE 'OTHER' END AS gene_symbol, CASE CAST(l_partkey % 33 AS INT) {drug} ELSE 'Aspirin' END AS drug_name,
-        CASE WHEN l_suppkey % 2 = 0 THEN 'Antituberculosis' ELSE 'Other' END AS drug_classification, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE 'phenotype ' || l_returnflag END AS phenotype_text, CAST(l_linenumber AS INT) AS rec_category FROM lineitem"""
+    names = ", ".join(f"({i}, '{g}', '{d}')" for i, (g, d, _) in enumerate(PAIRS))
+    return f"""SELECT 'F' || {L} AS order_id, coalesce(gene, 'OTHER') AS gene_symbol, coalesce(drug, 'Aspirin') AS drug_name,
+        CASE WHEN l_suppkey % 2 = 0 THEN 'Antituberculosis' ELSE 'Other' END AS drug_classification, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE 'phenotype ' || l_returnflag END AS phenotype_text, CAST(l_linenumber AS INT) AS rec_category
+        FROM lineitem LEFT JOIN (SELECT * FROM (VALUES {names}) v(i, gene, drug)) names ON l_partkey % 33 = i"""
 
 
 WAREHOUSE["gold_pgx_detail_report"] = _details()

@@ -48,8 +48,14 @@ def numbered_pairs(details):
 
     The list is a literal table of 30 rows, so its broadcast has a fixed size.
     """
-    rows = [(i, g.lower(), d.lower(), c and c.lower()) for i, (g, d, c) in enumerate(PAIRS)]
-    pairs = details.sparkSession.createDataFrame(rows, "pair int, _gene string, _drug string, _class string")
+    entries = [
+        F.struct(
+            F.lit(i).alias("pair"), F.lit(g.lower()).alias("_gene"), F.lit(d.lower()).alias("_drug"),
+            F.lit(c and c.lower()).cast("string").alias("_class"),
+        )
+        for i, (g, d, c) in enumerate(PAIRS)
+    ]
+    pairs = details.sparkSession.range(1).select(F.inline(F.array(*entries)))
     same = (F.lower("gene_symbol") == F.col("_gene")) & (F.lower("drug_name") == F.col("_drug"))
     allowed = F.col("_class").isNull() | (F.lower("drug_classification") == F.col("_class"))
     return details.join(F.broadcast(pairs), same & allowed).drop("_gene", "_drug", "_class")
