@@ -4,21 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandmart.llm import quality
+from strandmart.llm import bpe, quality
 from strandmart.session import tune
 
+#: Texts travel to Python in batches of this size at most, so a worker's memory has a bound.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def settled(spark: SparkSession) -> SparkSession:
+    """The library's runtime settings, and those of the text operators."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return tune(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register a query under a name; the session gets the library's runtime settings first."""
 
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(tune(spark), sf_dir)
+            return function(settled(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:
@@ -69,3 +80,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op1_bpe_round_trip")
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's ids and of the text decoded from them."""
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
