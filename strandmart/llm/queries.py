@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandmart.llm import bpe, quality
+from strandmart.llm import bpe, quality, secret_scan, simhash, token_files
+from strandmart.llm.tables import new_folder
 from strandmart.session import tune
 
 #: Texts travel to Python in batches of this size at most, so a worker's memory has a bound.
@@ -86,3 +88,35 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each document's ids and of the text decoded from them."""
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids, read back from the files."""
+    folder = new_folder(spark, "tokens")
+    manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return token_files.read_tokens(manifest, folder, token_files.crc32).withColumnRenamed("value", "ids_crc32")
+
+
+@query("op4_simhash_near_duplicates")
+def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans of every document, and all spans."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = secret_scan.scanned(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    base = F.filter("spans", lambda s: s["kind"].isin(list(secret_scan.BASE_KINDS)))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
