@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmart.llm import bpe, quality, secret_scan, simhash, token_files
+from strandmart.llm import bpe, decontaminate, quality, secret_scan, simhash, token_files
 from strandmart.llm.tables import new_folder
 from strandmart.session import tune
 
@@ -120,3 +120,9 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(kind) for kind in secret_scan.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query("op7_benchmark_decontamination")
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the evidence."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
