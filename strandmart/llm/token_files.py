@@ -16,6 +16,7 @@ smallest integer; repeated rows are written one by one; an empty table gives an
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from array import array
 from functools import lru_cache
@@ -35,7 +36,8 @@ from strandmart.llm.bpe import groups, is_latin, latin_classes, unassigned
 from strandmart.llm.tables import written
 
 NULL_ID = -(2**63)
-KNOWN_PIECES = 200_000
+#: Pieces that a worker keeps; their ids are bytes, about 200 bytes a piece with its text.
+KNOWN_PIECES = 500_000
 
 # Fixed value: the pattern that byte-level vocabularies split texts with, for any text and for Latin-1 texts.
 PIECES = regex.compile(
@@ -47,6 +49,11 @@ LATIN_PIECES = re.compile(
 )
 
 
+def id_width(tokenizer: Tokenizer) -> int:
+    """Bytes of an id."""
+    return 2 if tokenizer.get_vocab_size() <= 2**16 else 4
+
+
 class Pieces:
     """A byte-level tokenizer that encodes each distinct piece of text once; a piece is encoded alike wherever it stands."""
 
@@ -56,7 +63,9 @@ class Pieces:
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.unknown = unassigned()
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.width = id_width(self.tokenizer)
+        self.code = "H" if self.width == 2 else "I"
 
     def split(self, text: str) -> list[str] | None:
         """The pieces; None for a text that the tokenizer must read whole (special tokens, very new characters)."""
@@ -66,20 +75,27 @@ class Pieces:
             return LATIN_PIECES.findall(text)
         return None if self.unknown.search(text) else PIECES.findall(text)
 
-    def encode_many(self, texts: list[str]) -> list[array]:
+    def _bytes(self, ids: list[int]) -> bytes:
+        values = array(self.code, ids)
+        if sys.byteorder == "big":
+            values.byteswap()
+        return values.tobytes()
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as they stand in the files."""
         split = [self.split(t) for t in texts]
-        wanted = {p for pieces in split if pieces for p in pieces}
-        new = [p for p in wanted if p not in self.known]
+        wanted = set(chain.from_iterable(filter(None, split)))
+        new = list(wanted.difference(self.known))
         if new and len(self.known) + len(new) > KNOWN_PIECES:
             self.known.clear()
             new = list(wanted)
         for k in range(0, len(new), 10_000):
             part = new[k : k + 10_000]
             found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update((p, e.ids) for p, e in zip(part, found, strict=True))
+            self.known.update((p, self._bytes(e.ids)) for p, e in zip(part, found, strict=True))
         get = self.known.__getitem__
         return [
-            array("I", self.tokenizer.encode(t, add_special_tokens=False).ids if p is None else chain.from_iterable(map(get, p)))
+            self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if p is None else b"".join(map(get, p))
             for t, p in zip(texts, split, strict=True)
         ]
 
@@ -104,7 +120,9 @@ def write_tokens(
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ordered = slim.repartitionByRange(shards, "id").sortWithinPartitions("id")
-    width = 2 if max(Tokenizer.from_file(path).get_vocab_size() - 1, end_id) < 2**16 else 4
+    if end_id >= 256 ** (width := id_width(Tokenizer.from_file(path))):
+        raise ValueError(f"the end id {end_id} doesn't fit the vocabulary's {width} bytes")
+    end = end_id.to_bytes(width, "little")
 
     def write(batches):
         store, root = _open(folder)
@@ -117,9 +135,9 @@ def write_tokens(
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             for a, b in groups(texts):
                 for found in model.encode_many(texts[a:b]):
-                    found.append(end_id)
-                    lengths.append(len(found))
-                    out.write(np.frombuffer(found, np.uint32).astype(f"<u{width}").tobytes())
+                    lengths.append(len(found) // width + 1)
+                    out.write(found)
+                    out.write(end)
         if out is None:
             return
         out.close()
