@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmart.llm import bpe, decontaminate, quality, secret_scan, simhash, token_files
+from strandmart.llm import bpe, chat, decontaminate, html_text, quality, secret_scan, simhash, token_files, url_filter
 from strandmart.llm.tables import new_folder
 from strandmart.session import tune
 
@@ -126,3 +126,54 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the evidence."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_html_main_text")
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+URL_RULES = tuple(
+    url_filter.Rule(*r.split()) for r in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+)
+
+
+@query("op9_url_filter")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+CHAT_SQL = r"""
+WITH extra AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM extra)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(14 + length(role) + length(text) + length(regexp_replace(role || text, '[^\\<>]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query("op10_chat_format", CHAT_SQL)
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text."""
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], told.schema)
+    made = chat.formatted(chat.numbered(told.unionByName(extra)))
+    read = made.select(
+        F.col("tree").alias("conv_id"), chat.read_back(F.col("text")).alias("turns"), chat.under_loss(F.col("text"), F.col("loss")).alias("loss"),
+        F.length("text").cast("long").alias("formatted_chars"),
+    )
+    said_all = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said_all, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
