@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmart.llm import bpe, chat, decontaminate, html_text, quality, secret_scan, simhash, token_files, url_filter
+from strandmart.llm import bpe, chat, decontaminate, html_text, pii, quality, secret_scan, simhash, token_files, url_filter
 from strandmart.llm.tables import new_folder
 from strandmart.session import tune
 
@@ -177,3 +177,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said_all, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
     )
+
+
+@query("op2_pii_pseudonyms")
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms for its personal data, and how many of each kind it had."""
+    made = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), key="example key")
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return made.select("doc_id", "text", *(count(kind) for kind in pii.KINDS))
