@@ -265,8 +265,13 @@ def decoded(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
     return slim.mapInArrow(decode, f"`{id_col}` {kind}, text string")
 
 
-def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Number and digest of each text's ids, and digest of the text decoded from them, in one pass over the texts."""
+def round_trip_digests(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """Number and digest of each text's ids, and digest of the text decoded from them, in one pass over the texts.
+
+    With ``with_ids``, the ids too, as an array of int.
+    """
     slim = docs.select(id_col, text_col)
     kind = slim.schema[id_col].dataType.simpleString()
 
@@ -274,15 +279,19 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
         bpe = vocabulary(path)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            counts, codes, backs = [], [], []
+            counts, codes, backs, kept = [], [], [], []
             for a, b in groups(texts):
                 for ids in bpe.encode_many(texts[a:b]):
                     counts.append(len(ids))
                     codes.append(hashlib.sha256(np.frombuffer(ids, np.uint32).astype("<u4").tobytes()).hexdigest())
                     backs.append(hashlib.sha256(bpe.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(codes, pa.string()), pa.array(backs, pa.string())],
-                [id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return slim.mapInArrow(digests, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                    if with_ids:
+                        kept.append(np.frombuffer(ids, np.uint32).astype(np.int32))
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(codes, pa.string()), pa.array(backs, pa.string())]
+            if with_ids:
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, [id_col, *names])
+
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
+    more = ", ids array<int>" if with_ids else ""
+    return slim.mapInArrow(digests, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

@@ -14,6 +14,7 @@ link to it.  That keeps reachability without a row for each pair.  Exact copies
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -39,20 +40,29 @@ NEAR = 65
 def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     """The 64-bit fingerprint of a text; zero without a word."""
     found = ("" if text is None else text).encode("utf-8", "surrogatepass").lower().split()
+    return _bits(_hashes(found, words, seed))
+
+
+def _hashes(found: list[bytes], words: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the shingles of a text's words; of all words where there are fewer."""
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(found)
     ends = list(accumulate(len(w) + 1 for w in found))
     starts = [0, *ends[:-1]]
     digest = xxhash.xxh64_intdigest
     n = max(1, len(found) - words + 1)
     spans = zip(starts[:n], ends[words - 1 :] if len(found) >= words else ends[-1:], strict=True)
-    hashes = np.fromiter((digest(joined[s : e - 1], seed) for s, e in spans), np.uint64, n)
+    return np.fromiter((digest(joined[s : e - 1], seed) for s, e in spans), np.uint64, n)
+
+
+def _bits(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of the hashes."""
     votes = np.zeros(64, np.int64)
-    for k in range(0, n, VOTES):
+    for k in range(0, len(hashes), VOTES):
         bits = np.unpackbits(hashes[k : k + VOTES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         votes += bits.sum(axis=0, dtype=np.uint16)
-    return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,7 +121,7 @@ def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[above], nodes[label[above]]
 
 
-def _meet(fps: np.ndarray, flip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _meet(fps: np.ndarray, flip: np.ndarray, stars: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links of the fingerprints that share a point."""
     points = fps ^ FLIPS[flip]
     order = np.argsort(points, kind="stable")
@@ -130,11 +140,21 @@ def _meet(fps: np.ndarray, flip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     linked = (centre < len(points)) & (centre != np.arange(len(points)))
     a, b = fps[linked], fps[centre[linked]]
     close = np.bitwise_count(a ^ b) <= RADIUS
-    return _roots(a[close], b[close])
+    a, b = a[close], b[close]
+    if not stars:
+        return _roots(a, b)
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)]
+    return a[fresh], b[fresh]
+
 
+def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp", stars: bool = False) -> DataFrame:
+    """Links ``a``, ``b`` that connect all distinct fingerprints at ``RADIUS`` bits or fewer, directly or through others.
 
-def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp") -> DataFrame:
-    """Links ``a``, ``b`` that connect all distinct fingerprints at ``RADIUS`` bits or fewer, directly or through others."""
+    With ``stars``, all links between fingerprints and the centres of their points, each at ``RADIUS`` bits or fewer.
+    """
     spark = distinct.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2 * parts, math.ceil(n_fingerprints * (len(FLIPS) + NEAR) / 2 / BUCKET_POINTS))
@@ -156,7 +176,7 @@ def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp") -> DataF
 
     def meet(table: pa.Table) -> pa.Table:
         read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        a, b = _meet(np.repeat(read("fps", np.uint64), read("counts", np.uint16)), read("flips", np.uint16))
+        a, b = _meet(np.repeat(read("fps", np.uint64), read("counts", np.uint16)), read("flips", np.uint16), stars)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     points = distinct.select(fp_col).mapInArrow(deal, "bucket long, fps binary, counts binary, flips binary")
@@ -180,3 +200,76 @@ def near_duplicates(
     lowest = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
     ids = rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id")
     return one.join(ids, "fp").select(id_col, "fp", "component_id")
+
+
+#: For whole documents in a pipeline: shingle of the search and its seeds, shingle of the check and its seeds, and most
+#: differing bits of the check (of 64 for each seed; texts at a shingle similarity of 0.8 differ in 15 % of the bits).
+SEARCH_WORDS, SEARCH_SEEDS, CHECK_WORDS, CHECK_SEEDS, CHECK_SHARE = 1, 3, 5, 4, 0.195
+
+
+def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes as if of another seed (a bijection of 64 bits)."""
+    if not seed:
+        return hashes
+    x = hashes + np.uint64((0x9E3779B97F4A7C15 * seed) & (2**64 - 1))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def signature(text: str | None) -> tuple[list[int], list[int]]:
+    """Fingerprints over single words for the search, and over shingles for the check."""
+    found = ("" if text is None else text).encode("utf-8", "surrogatepass").lower().split()
+    one, five = _hashes(found, SEARCH_WORDS), _hashes(found, CHECK_WORDS)
+    return [_bits(_mixed(one, k)) for k in range(SEARCH_SEEDS)], [_bits(_mixed(five, k)) for k in range(CHECK_SEEDS)]
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies: the one with the smallest id; all columns stay.
+
+    Candidates are documents whose single-word fingerprints, under any of ``SEARCH_SEEDS`` seeds, lie within ``RADIUS`` bits.  A link counts
+    when the fingerprints over five-word shingles agree as those of texts at a similarity of 0.8 do; groups are the components of
+    these links.  Repeated rows are copies of each other, null ids come after all others, and texts without a word
+    are copies of each other.
+    """
+    spark = docs.sparkSession
+    rows = written(docs.select("*", F.monotonically_increasing_id().alias("__row")), "rows")
+    slim = rows.select("__row", id_col, text_col)
+    kind = slim.schema[id_col].dataType.simpleString()
+
+    def sign(batches):
+        for batch in batches:
+            found = [signature(t.as_py()) for t in batch.column(2)]
+            search = np.array([f for f, _ in found], np.uint64).reshape(-1, SEARCH_SEEDS).view(np.int64)
+            check = [np.array(c, np.uint64).view(np.int64).tolist() for _, c in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(search[:, k]) for k in range(SEARCH_SEEDS)), pa.array(check, pa.list_(pa.int64()))],
+                ["__row", id_col, *(f"f{k}" for k in range(SEARCH_SEEDS)), "signature"],
+            )
+
+    fields = ", ".join(f"f{k} long" for k in range(SEARCH_SEEDS))
+    signed = written(slim.mapInArrow(sign, f"__row long, `{id_col}` {kind}, {fields}, signature array<long>"), "signatures")
+    # exact copies share a signature; from here on there is one node for each
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))).alias("first")
+    nodes = signed.groupBy("signature").agg(first, *(F.min(f"f{k}").alias(f"f{k}") for k in range(SEARCH_SEEDS)))
+    nodes = written(nodes.withColumn("node", F.col("first.row")), "nodes")
+    n = nodes.count()
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / 50_000))
+    pairs = []
+    for k in range(SEARCH_SEEDS):
+        fp = f"f{k}"
+        heads = nodes.groupBy(fp).agg(F.min(F.struct("node", "signature")).alias("head"))
+        heads = written(heads.select(F.col(fp).alias("fp"), F.col("head.node").alias("node"), F.col("head.signature").alias("signature")), "heads")
+        # nodes of one fingerprint link to its head, heads of near fingerprints to each other
+        own = nodes.join(heads.select(F.col("fp").alias(fp), F.col("node").alias("b"), F.col("signature").alias("sb")), fp)
+        pairs.append(own.where("node <> b").select(F.col("node").alias("a"), "b", F.col("signature").alias("sa"), "sb"))
+        near = links(heads.select("fp").repartition(tasks, "fp"), heads.count(), stars=True)
+        left = near.join(heads.select(F.col("fp").alias("a"), F.col("node").alias("na"), F.col("signature").alias("sa")), "a")
+        both = left.join(heads.select(F.col("fp").alias("b"), F.col("node").alias("nb"), F.col("signature").alias("sb")), "b")
+        pairs.append(both.select(F.col("na").alias("a"), F.col("nb").alias("b"), "sa", "sb"))
+    differing = F.aggregate(F.zip_with("sa", "sb", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, x: t + x)
+    checked = [p.where(differing <= int(64 * CHECK_SEEDS * CHECK_SHARE)).select("a", "b") for p in pairs]
+    found = written(reduce(DataFrame.unionAll, checked), "near-links")
+    roots = components(found)
+    firsts = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
+    return rows.join(firsts.select(F.col("first.row").alias("__row")), "__row", "left_semi").select(*docs.columns)
