@@ -103,15 +103,15 @@ def _swap(t):
 SELECT strftime(ts, '%Y-%m-%d') AS log_date, count(*) AS ct, count(DISTINCT user_id) AS users FROM events GROUP BY 1
 """)
 def _append(t):
-    """The same days twice, and a back-filled half: no row doubles."""
+    """Runs that share days, each sent twice: no row doubles, and none of another run is lost."""
     root = scratch(t)
     log = t["events"].select(
         F.col("user_id").alias("ehr_id"), F.col("ts").alias("logged_at"), F.col("event_type").alias("template_id"),
         F.lit("h").alias("hospital"), F.lit("c").alias("crud_type"), F.col("props").alias("composition"),
     )
-    early = log.filter(F.dayofmonth("logged_at") <= 15)
-    for part in (early, log, early):
-        append_log(part, root)
+    morning = F.hour("logged_at") < 12
+    for run, part in (("am", morning), ("pm", ~morning), ("am", morning)):
+        append_log(log.filter(part), root, run)
     written = t.spark.read.parquet(root)
     return written.groupBy(day("log_date").alias("log_date")).agg(
         F.count(F.lit(1)).alias("ct"), F.count_distinct("ehr_id").alias("users")
@@ -370,6 +370,22 @@ def _stats(t):
     return reports.flatten_stats(files, ["N50"], ["1000"], ["10", "20"])
 
 
+@check("stats_thresholds", """
+SELECT 'C' || CAST(o_orderkey AS VARCHAR) || '_r' AS run_name, 'fold' AS kind, CAST(unnest([10, 40]) AS VARCHAR) AS threshold,
+  CAST(o_custkey AS VARCHAR) AS value FROM orders
+UNION ALL SELECT 'C' || CAST(o_orderkey AS VARCHAR) || '_r', 'yield', '1000', CAST(o_custkey + 1 AS VARCHAR) FROM orders
+""")
+def _thresholds(t):
+    """Every threshold of both maps, listed or not."""
+    n = F.col("o_custkey")
+    folds = F.create_map(F.lit("10"), n, F.lit("40"), n)
+    content = F.to_json(F.struct(F.create_map(F.lit("1000"), n + 1).alias(reports.YIELD_MAP), folds.alias(reports.COVERAGE_MAP)))
+    files = t["orders"].select(
+        F.concat(F.lit("C"), F.col("o_orderkey").cast("string"), F.lit("_r/x.stats.json")).alias("key"), content.alias("content")
+    )
+    return reports.stats_thresholds(files).select("run_name", "kind", "threshold", "value")
+
+
 @check("html_extract", """
 SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
   CAST(len(regexp_extract_all(html, '<a href=')) AS BIGINT) AS links, regexp_extract(html, 'track\\(([0-9]+)\\)', 1) AS track

@@ -10,16 +10,32 @@ from strandmart.functions.text import as_col
 
 # Python constants and their JSON form.
 CONSTANTS = (("None", "null"), ("True", "true"), ("False", "false"), ("nan", "null"))
+# A quoted string with either quote, text between strings, or a quote that ends nowhere.
+TOKEN = r"""("[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|[^"']++|["'])"""
 
 
-def repair_quotes(c: Column | str) -> Column:
-    """Python-literal text to JSON text: quotes and the constants."""
-    quoted = F.replace(as_col(c), F.lit("'"), F.lit('"'))
-    fixed = quoted
+def _json_string(token: Column) -> Column:
+    """A Python string literal as a JSON string."""
+    inner = F.substring(token, F.lit(2), F.length(token) - 2)
+    inner = F.replace(inner, F.lit("\\'"), F.lit("'"))
+    # after an even number of backslashes: a bare quote, and the two-digit code point that JSON lacks
+    inner = F.regexp_replace(inner, r'(?<!\\)((?:\\\\)*+)"', r'$1\\"')
+    inner = F.regexp_replace(inner, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    return F.concat(F.lit('"'), inner, F.lit('"'))
+
+
+def _json_between(token: Column) -> Column:
+    """What stands between strings: constants renamed, tuples as lists, no comma before an end."""
     for old, new in CONSTANTS:
-        fixed = F.regexp_replace(fixed, rf"(?<=[\[\{{:,\s]){old}(?=[\]\}},\s])", new)
-    has_constant = as_col(c).rlike("|".join(old for old, _ in CONSTANTS))
-    return F.when(has_constant, fixed).otherwise(quoted)
+        token = F.regexp_replace(token, rf"\b{old}\b", new)
+    return F.regexp_replace(F.translate(token, "()", "[]"), r",\s*([\]\}])", "$1")
+
+
+def repair_quotes(c: Column | str) -> Column:
+    """Python-literal text to JSON text, token by token: what strings hold is never changed, only how it is written."""
+    tokens = F.regexp_extract_all(as_col(c), F.lit("(?s)" + TOKEN), F.lit(1))
+    is_string = lambda t: (F.length(t) > 1) & (t.startswith("'") | t.startswith('"'))
+    return F.array_join(F.transform(tokens, lambda t: F.when(is_string(t), _json_string(t)).otherwise(_json_between(t))), "")
 
 
 def is_json(c: Column | str) -> Column:
@@ -49,7 +65,7 @@ def json_fields(c: Column | str, ddl: str) -> Column:
 
 def text_list(c: Column | str) -> Column:
     """List stored as text, with either quote, to an array of text."""
-    return F.from_json(F.replace(as_col(c), F.lit("'"), F.lit('"')), "array<string>")
+    return F.from_json(repair_quotes(c), "array<string>")
 
 
 def newest_of_list(c: Column | str) -> Column:

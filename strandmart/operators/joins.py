@@ -150,20 +150,17 @@ def pairs_with_default(
 
     ``facts.pair`` is the number of a fact's pair, from 0.  Subjects are not
     multiplied before the join: facts are joined once, and the pairs a subject
-    lacks come from one bit mask per key, a map-side combined aggregate.
+    lacks come from the set of its pairs, combined map-side and never longer than the list.
     """
     numbered = facts.select(F.col(fact_key).alias("_fk"), F.col("pair").cast("int").alias("pair"), *take)
     found = subjects.join(numbered, F.col(subject_key) == F.col("_fk")).drop("_fk")
-    masks = numbered.groupBy("_fk").agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("pair"))).alias("_mask")
-    )
+    sets = numbered.groupBy("_fk").agg(F.collect_set("pair").alias("_has"))
     everything = F.array(*[F.lit(i) for i in range(n_pairs)])
-    bits = F.coalesce(F.col("_mask"), F.lit(0).cast("bigint"))
-    lacking = F.filter(everything, lambda i: F.getbit(bits, i) == 0)
+    lacking = F.array_except(everything, F.coalesce("_has", F.array().cast("array<int>")))
     missing = (
-        subjects.join(masks, F.col(subject_key) == F.col("_fk"), "left")
+        subjects.join(sets, F.col(subject_key) == F.col("_fk"), "left")
         .withColumn("pair", F.explode(lacking))
-        .drop("_fk", "_mask")
+        .drop("_fk", "_has")
     )
     kinds = dict(numbered.dtypes)
     missing = missing.withColumns({c: F.lit(None).cast(kinds[c]) for c in take})
@@ -171,12 +168,14 @@ def pairs_with_default(
 
 
 def prefix_join(ids: DataFrame, names: DataFrame, id_column: str, name_column: str) -> DataFrame:
-    """Names that start with an id, as an equi-join on every prefix of the name.
+    """Names that start with an id, as an equi-join on the prefixes of the lengths that ids have.
 
-    ``names`` should be distinct and short (folder names), so that prefixes stay
-    few; where the ids are few Spark broadcasts them and no prefix is shuffled.
+    The lengths (a few values) are a scalar subquery over the ids: a name makes
+    one row for each length that it reaches.
     """
+    lengths = ids.agg(F.collect_set(F.length(id_column))).scalar()
     length = F.length(name_column)
-    prefixed = names.filter(length > 0).withColumn("_n", F.explode(F.sequence(F.lit(1), length)))
-    prefixed = prefixed.withColumn("_prefix", F.substr(name_column, F.lit(1), F.col("_n"))).drop("_n")
+    reached = F.filter("_lengths", lambda n: (n > 0) & (n <= length))
+    prefixed = names.filter(length > 0).withColumn("_lengths", lengths).withColumn("_n", F.explode(reached))
+    prefixed = prefixed.withColumn("_prefix", F.substr(name_column, F.lit(1), F.col("_n"))).drop("_n", "_lengths")
     return ids.join(prefixed, F.col(id_column) == F.col("_prefix")).drop("_prefix")

@@ -305,7 +305,7 @@ def diseases(df: DataFrame, disease_ddl: str, hub_ddl: str) -> DataFrame:
     """Two nested objects side by side."""
 
     def obj(column, ddl):
-        return F.from_json(F.replace(F.col(column), F.lit("'"), F.lit('"')), ddl)
+        return F.from_json(repair_quotes(column), ddl)
 
     both = df.select(obj("diseases", disease_ddl).alias("d"), obj("hub", hub_ddl).alias("h"))
     return both.select("d.*", "h.*").distinct()
@@ -460,7 +460,8 @@ def group_table(group: Column | str) -> Column:
     return F.concat(F.lit("phenovar_docs_"), name)
 
 
-NEST_LEVELS = 6
+#: Path of an answer text that cannot be read; its value is the text.
+UNREAD = "_unread"
 
 
 def _is_object(v: Column) -> Column:
@@ -488,9 +489,9 @@ def _open(answers: Column) -> Column:
 def _leaves(answers: DataFrame) -> DataFrame:
     """(…, path, value) for every answer, nested objects as dotted paths.
 
-    Levels are opened inside the row, only while there is an object, and rows
-    are made once at the end; what is still an object at the deepest level is
-    kept as JSON text, so nothing is lost.
+    Levels are opened inside the row, only while there is an object, as often as
+    the text has opening braces, and rows are made once at the end.  A text that
+    is no object comes out whole under the path ``UNREAD``.
     """
     base = [c for c in answers.columns if c != "_json"]
 
@@ -498,8 +499,10 @@ def _leaves(answers: DataFrame) -> DataFrame:
         nested = F.exists(entries, lambda e: _is_object(e["value"]))
         return F.when(nested, _open(entries)).otherwise(entries)
 
-    opened = F.aggregate(F.sequence(F.lit(1), F.lit(NEST_LEVELS)), _entries(F.col("_json")), level)
-    rows = answers.select(*base, F.explode(opened).alias("e"))
+    depth = F.greatest(F.length("_json") - F.length(F.replace("_json", F.lit("{"), F.lit(""))), F.lit(1))
+    opened = F.aggregate(F.sequence(F.lit(1), depth), _entries(F.col("_json")), level)
+    unread = F.array(F.struct(F.lit(UNREAD).alias("key"), F.col("_json").alias("value")))
+    rows = answers.select(*base, F.explode(F.when(F.col("_json").isNotNull(), F.coalesce(opened, unread))).alias("e"))
     return rows.select(*base, F.col("e.key").alias("path"), F.col("e.value").alias("value"))
 
 

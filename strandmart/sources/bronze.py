@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -24,10 +25,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def _csv(spark: SparkSession):
+def _csv(spark: SparkSession, multi_line: bool = True):
+    """Reader of CSV with a header; without ``multi_line`` large files are split over tasks."""
     return (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
     )
@@ -43,22 +45,25 @@ def with_row_order(df: DataFrame) -> DataFrame:
     return df.select("*", place.alias(ROW_ORDER))
 
 
-def read_bronze(spark: SparkSession, path: str, ds: str, columns: Sequence[str]) -> DataFrame:
-    """The file of one date; an absent file is an empty frame."""
-    name = f"{path}/{ds}.csv"
-    if not _exists(spark, name):
-        return spark.createDataFrame([], text_schema(columns))
-    return _csv(spark).schema(text_schema(columns)).csv(name)
+def read_bronze(spark: SparkSession, path: str, ds: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """The file of one date, columns by name; an absent file is an empty frame."""
+    return _read_glob(spark, f"{path}/{ds}.csv", columns, multi_line)
 
 
 def _headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header line (files only, never rows)."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for name in files:
-        header = tuple(_csv(spark).csv(name).columns)
-        if header:
-            groups.setdefault(header, []).append(name)
-    return groups
+    """Files grouped by their header line, found in one distributed pass."""
+    lines = spark.read.text(list(files)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    heads = lines.filter("block = 0").groupBy("file").agg(F.min(F.struct("row", "value")).alias("first"))
+    by_header = heads.groupBy(F.ltrim(F.col("first.value"), F.lit("\ufeff")).alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files"))
+    found = {}
+    for row in sorted(by_header.collect(), key=lambda r: r["files"]):  # one row for each distinct header
+        names = tuple(next(csv.reader([row["header"]]), ()))
+        if names:
+            found.setdefault(names, []).extend(row["files"])
+    return found
 
 
 def _list(spark: SparkSession, pattern: str) -> list[str]:
@@ -69,32 +74,36 @@ def _list(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def read_bronze_multi(
-    spark: SparkSession, path: str, ds: str, columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, ds: str, columns: Sequence[str] | None = None, multi_line: bool = True
 ) -> DataFrame | None:
     """All files with the date in their name, concatenated by column name.
 
-    With ``columns`` every file has that header and one scan reads them all;
-    without, files are grouped by header (one scan per distinct header).
+    Files are grouped by header, one scan for each distinct one.  With ``columns``
+    only these come back, null in files that lack them.
     """
-    return _read_glob(spark, f"{path}/*{ds}*.csv", columns)
+    return _read_glob(spark, f"{path}/*{ds}*.csv", columns, multi_line)
 
 
-def read_bronze_all(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame | None:
+def read_bronze_all(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = True
+) -> DataFrame | None:
     """Every file of the folder as text; empty files are skipped."""
-    return _read_glob(spark, f"{path}/*.csv", columns)
+    return _read_glob(spark, f"{path}/*.csv", columns, multi_line)
 
 
-def _read_glob(spark: SparkSession, pattern: str, columns: Sequence[str] | None) -> DataFrame | None:
+def _read_glob(spark: SparkSession, pattern: str, columns: Sequence[str] | None, multi_line: bool) -> DataFrame | None:
     files = _list(spark, pattern)
-    if not files:
+    groups = _headers(spark, files) if files else {}
+    if not groups:
         return None if columns is None else spark.createDataFrame([], text_schema(columns))
-    if columns is not None:
-        return _csv(spark).schema(text_schema(columns)).csv(files)
-    frames = [
-        _csv(spark).schema(text_schema(header)).csv(names)
-        for header, names in _headers(spark, files).items()
-    ]
-    return union_by_name(frames) if frames else None
+    frames = []
+    for header, names in groups.items():
+        frame = _csv(spark, multi_line).schema(text_schema(header)).csv(names)
+        if columns is not None and tuple(columns) != header:
+            frame = frame.select(*(F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns))
+        # of several scans the file of a row must be a column of its own: a union has no file metadata
+        frames.append(frame if len(groups) == 1 else frame.select("*", "_metadata"))
+    return frames[0] if len(frames) == 1 else union_by_name(frames)
 
 
 def date_of_file(df: DataFrame) -> DataFrame:

@@ -84,6 +84,25 @@ def flatten_stats(files: DataFrame, fields: Sequence[str], yields: Sequence[str]
     )
 
 
+def stats_thresholds(files: DataFrame) -> DataFrame:
+    """All thresholds of the stats JSON as rows: run and file name, kind (yield or fold), threshold, value."""
+    every = F.from_json("content", "map<string,string>")
+
+    def entries(kind, name):
+        return F.transform(
+            F.map_entries(F.from_json(F.element_at("_all", name), "map<string,string>")),
+            lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("threshold"), e["value"].alias("value")),
+        )
+
+    maps = [entries("yield", YIELD_MAP), entries("fold", COVERAGE_MAP)]
+    none = F.array().cast("array<struct<kind:string,threshold:string,value:string>>")
+    rows = files.withColumn("_all", every).select("key", F.explode(F.concat(*(F.coalesce(m, none) for m in maps))).alias("t"))
+    run = part("key", "/", 1)
+    return rows.select(
+        run.alias("run_name"), part("key", "/", -1).alias("file_name"), F.split(run, "_")[0].alias("id_repository"), "t.*"
+    )
+
+
 BARCODE = "array<struct<barcode: string, total_bases: double, passed_bases_percent: double>>"
 
 

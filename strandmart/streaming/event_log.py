@@ -1,7 +1,7 @@
-"""Append-only event log, one partition per log day.
+"""Append-only event log, one partition per run.
 
-A day is written by overwriting its own partition, so a repeated or back-filled
-day never doubles rows.  The file-stream form loads landed files once each and
+A run overwrites its own partition only, so a repeated run never doubles rows,
+and late rows or those of another hospital never delete a day's others.  The file-stream form loads landed files once each and
 ends when none is left.
 """
 
@@ -22,12 +22,12 @@ def shape_log(df: DataFrame) -> DataFrame:
     return df.select(*others, logged.alias("logged_at"), F.to_date(logged).alias("log_date"))
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Write the days present in ``df``, leaving all other days alone."""
+def append_log(df: DataFrame, path: str, run: str) -> None:
+    """Write the rows of one run (its date or any other name of it), leaving all other runs alone."""
     (
-        shape_log(df).write.mode("overwrite")
+        shape_log(df).withColumn("run", F.lit(run)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("log_date").parquet(path)
+        .partitionBy("run").parquet(path)
     )
 
 

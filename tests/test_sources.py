@@ -68,9 +68,11 @@ def test_full_refresh_and_samples(spark, tmp_path):
 def test_event_log(spark, tmp_path):
     rows = [("e1", "2025-01-01 10:00:00", "t", "h", "c", "{}"), ("e2", "2025-01-02 10:00:00", "t", "h", "c", "{}")]
     log = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in LOG_COLUMNS))
-    append_log(log, str(tmp_path / "log"))
-    append_log(log.filter("ehr_id = 'e2'"), str(tmp_path / "log"))
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+    other = spark.createDataFrame([("e3", "2025-01-01 23:00:00", "t", "h2", "c", "{}")], log.schema)
+    append_log(log, str(tmp_path / "log"), "r1")
+    append_log(other, str(tmp_path / "log"), "r2")
+    append_log(log, str(tmp_path / "log"), "r1")
+    assert sorted(r["ehr_id"] for r in spark.read.parquet(str(tmp_path / "log")).collect()) == ["e1", "e2", "e3"]
 
 
 def test_landed_files_load_once(spark, tmp_path):
