@@ -31,6 +31,8 @@ from strandmart.llm.tables import written
 
 #: Items searched together, rank of the latent space, and terms whose sums travel together.
 BLOCK_ITEMS, RANK, TERM_BLOCK = 2000, 64, 256
+#: Terms in more than this share of the half windows are left out of the vectors, unless they are among an item's rarest.
+FREQUENT, RAREST = 0.02, 8
 #: Words of half a window; windows are two halves and start at each half.
 HALF = 16
 #: Least cosine of a candidate (for items shorter than a window, times the root of the share that they can fill),
@@ -98,12 +100,12 @@ def _halves(codes: list[np.ndarray], other: int) -> tuple[np.ndarray, np.ndarray
     return rows, np.repeat(np.arange(len(codes)), counts)
 
 
-def _projected(rows: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """Sum of the basis rows of each row's codes; the basis ends with a row of zeros for other words."""
+def _projected(rows: np.ndarray, basis: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Sum of the basis rows of each row's codes; only ``used`` codes have one."""
     out = np.empty((len(rows), basis.shape[1]), np.float32)
     for k in range(0, len(rows), CHUNK):
         part = rows[k : k + CHUNK]
-        known = part != len(basis) - 1
+        known = used[part]
         counts = known.sum(axis=1)
         taken = basis[part[known]]
         starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
@@ -174,21 +176,27 @@ class Search:
         found[sums["term"].to_numpy()] = sums["n"].to_numpy()
         weights = np.sqrt(max(found[size], 1) / np.maximum(found, 1)).astype(np.float32)
         weights[size] = 0
+        # Half of all words are a few dozen frequent ones that tell little; the common subsequence still counts them.
+        needed = np.zeros(size + 1, bool)
+        for c in self.items.codes:
+            distinct = np.unique(c)
+            needed[distinct[np.argsort(-weights[distinct], kind="stable")[:RAREST]]] = True
+        weights[(found > FREQUENT * max(found[size], 1)) & ~needed] = 0
         return weights
 
     def _product(self, basis: np.ndarray) -> np.ndarray:
         """``X' X basis`` over the TF-IDF half windows X of all documents; terms by rank."""
-        size, width, weights = self.size, self.width, self.weights
+        size, width, weights, used = self.size, self.width, self.weights, self.weights > 0
         shared = self.coded.sparkSession.sparkContext.broadcast(np.vstack((basis * weights[:-1, None], np.zeros((1, basis.shape[1])))).astype(np.float32))
 
         def multiply(batches):
             total = np.zeros((size, basis.shape[1]), np.float64)
             for _, codes in _groups(batches, width):
                 rows, _ = _halves(codes, size)
-                made = _projected(rows, shared.value)
-                flat = rows.ravel()
-                order = np.argsort(flat.astype(width), kind="stable")[: int((flat != size).sum())]
-                terms = flat[order]
+                made = _projected(rows, shared.value, used)
+                places = np.flatnonzero(used[rows.ravel()])
+                order = places[np.argsort(rows.ravel()[places].astype(width), kind="stable")]
+                terms = rows.ravel()[order]
                 starts = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1]))) if len(terms) else []
                 if len(terms):
                     total[terms[starts]] += np.add.reduceat(made[order // HALF], starts, axis=0)
@@ -223,7 +231,8 @@ class Search:
         id_col = self.id_col
         rows, owner = _halves(items.codes, size)
         a, b = _windows(owner)
-        halves = _projected(rows, basis)
+        used = weights > 0
+        halves = _projected(rows, basis, used)
         queries = np.where((a != b)[:, None], halves[a] + halves[b], halves[a])
         queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
         first = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(items.codes)))))
@@ -244,7 +253,7 @@ class Search:
             for ids, codes in _groups(batches, width):
                 rows, texts = _halves(codes, size)
                 a, b = _windows(texts)
-                halves = _projected(rows, basis)
+                halves = _projected(rows, basis, used)
                 begins = np.concatenate(([0], np.cumsum([-(-len(c) // HALF) for c in codes])))
                 best: dict[tuple[int, int], tuple] = {}
                 for k in range(0, len(a), CHUNK):
