@@ -153,9 +153,9 @@ def _two_orders(t):
 # --- aggregates -----------------------------------------------------------
 
 
-@check("global_count", "SELECT count(*) AS ct FROM orders WHERE o_orderstatus = 'F'")
+@check("global_count", "SELECT count(*) AS ct FROM orders")
 def _global(t):
-    return t["orders"].filter(F.col("o_orderstatus") == "F").agg(F.count(F.lit(1)).alias("ct"))
+    return t["orders"].agg(F.count(F.lit(1)).alias("ct"))
 
 
 @check("flag_window_sum", """
@@ -337,11 +337,10 @@ def _lookup(t):
 
 
 @check("inner_join", """
-SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'P'
+SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey
 """)
 def _inner(t):
-    pending = t["orders"].filter(F.col("o_orderstatus") == "P")
-    return pending.join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).select(
+    return t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "c_name", "c_mktsegment"
     )
 
@@ -418,13 +417,13 @@ FROM documents LEFT JOIN (
   SELECT k_doc, k_source, new_source FROM (
     SELECT d.doc_id AS k_doc, d.source AS k_source, d.source || '-' || CAST(l.quality AS VARCHAR) AS new_source,
            row_number() OVER (PARTITION BY d.doc_id, d.source ORDER BY l.toxic DESC, l.quality DESC) AS rn
-    FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE l.toxic = 0)
+    FROM labels l JOIN documents d ON d.doc_id = l.doc_id)
   WHERE rn = 1
 ) ON CAST(doc_id AS VARCHAR) = CAST(k_doc AS VARCHAR) AND trim(source) = trim(k_source)
 """)
 def _mapping(t):
     documents = t["documents"].select("doc_id", "source")
-    fixes = t["labels"].filter(F.col("toxic") == 0).join(documents, "doc_id").select(
+    fixes = t["labels"].join(documents, "doc_id").select(
         "doc_id", "source", F.concat("source", F.lit("-"), F.col("quality").cast("string")).alias("new_source"), "toxic"
     )
     return map_latest(documents, fixes, ["doc_id", "source"], "source", "new_source", ["toxic"])

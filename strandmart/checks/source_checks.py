@@ -94,8 +94,8 @@ def _swap(t):
     orders = t["orders"].select(F.col("o_orderkey").alias("id"), "o_orderdate")
     old = orders.filter(F.col("o_orderdate") < "1999-01-01").select("id", F.lit("old").alias("origin"), F.lit(1).alias("created"))
     new = orders.filter(F.col("o_orderdate") >= "1998-01-01").select("id", F.lit("new").alias("origin"), F.lit(2).alias("created"))
-    table.upsert(old, "v1", ["id"])
-    table.upsert(new, "v2", ["id"], ["created"])
+    table.upsert(old, "v1", ["id"], [], ["origin"])
+    table.upsert(new, "v2", ["id"], ["created"], ["origin"])
     return table.read()
 
 

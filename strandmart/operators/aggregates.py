@@ -104,32 +104,13 @@ def group_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column
     return _join_back(df, summary, keys, list(totals))
 
 
-# A longer list goes on in further rows of the same key.
-MAX_LIST = 100_000
+def collect_parallel(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Parallel lists, one row per key whatever its size, all in the same order, nulls kept.
 
-
-def collect_parallel(
-    df: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    order: Sequence[str],
-    max_items: int = MAX_LIST,
-) -> DataFrame:
-    """Parallel lists per key, all in the same order, nulls kept, with ``part``.
-
-    A key with at most ``max_items`` rows is one row (part 0).  A larger key is
-    dealt by hash into several parts, each a row of its own with sorted, aligned
-    lists, so that no task collects a whole hot key and no item is dropped.  The
-    large keys are found by a map-side combined count; they are few, at most
-    rows / max_items, and Spark may broadcast them after measuring.
+    The row is the result's form and as long as the key has rows; work over the
+    items themselves belongs on the long rows, before they are collected.
     """
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_items)
-    marked = _join_back(df, large, keys, ["_n"])
-    parts = F.ceil(F.col("_n") / max_items)
-    part = F.when(F.col("_n").isNotNull(), F.pmod(F.xxhash64(*order), parts)).otherwise(0).cast("int")
     rest = [c for c in columns if c not in order]
     row = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
-    grouped = marked.withColumn("part", part).groupBy(*keys, "part").agg(
-        F.sort_array(F.collect_list(row)).alias("_rows")
-    )
-    return grouped.select(*keys, "part", *[F.col(f"_rows.{c}").alias(c) for c in columns])
+    grouped = df.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    return grouped.select(*keys, *[F.col(f"_rows.{c}").alias(c) for c in columns])

@@ -26,8 +26,8 @@ def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
-    keep: Sequence[str] = (),
-    order: Sequence[str] = (),
+    keep: Sequence[str],
+    order: Sequence[str],
     stamp: tuple[str, Column] | None = None,
 ) -> DataFrame:
     """Target after the batch: matched rows take every source column except keys
@@ -36,10 +36,11 @@ def upsert(
     A small batch never moves the target: the target is left-joined to the
     batch, and new keys are found by an anti join against the target keys the
     batch touches, which are few.  Each time the batch is the side Spark may
-    broadcast after measuring it.  ``stamp`` is set on matched rows only.
+    broadcast after measuring it.  Of the batch's rows with one key the last in
+    ``order`` counts.  ``stamp`` is set on matched rows only.
     """
     columns = list(target.columns)
-    batch = last_per_key(source, keys, order) if order else latest_by(source, keys, [])
+    batch = last_per_key(source, keys, order)
     missing = [c for c in columns if c not in batch.columns]
     kinds = dict(target.dtypes)
     batch = batch.withColumns({c: F.lit(None).cast(kinds[c]) for c in missing})

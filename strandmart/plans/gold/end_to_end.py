@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from strandmart.functions import rules
 from strandmart.functions.dates import calendar_years
 from strandmart.functions.text import regexp_or_null
-from strandmart.operators.aggregates import flagged_keys, sorted_text
+from strandmart.operators.aggregates import flagged_keys
 from strandmart.operators.joins import left_on, lookup
 
 PEOPLE = {
@@ -33,7 +33,7 @@ def biobank_samples(tables):
     keys = ["id_subject", "patient_categ"]
     counts = [F.count_if(flag).cast("bigint").alias(f"sum_{n}") for n, flag in flags.items()]
     grouped = rows.groupBy("id_subject", "patient_categ").agg(
-        *counts, sorted_text("code_repository", ",").alias("code_repository")
+        *counts, F.max("code_repository").alias("code_repository")
     )
     return flagged_keys(grouped, list(flags), "sum_")
 

@@ -337,9 +337,6 @@ ONT_TIMES = ("date_upload", "started_at", "acquisition_stopped", "processing_sto
 def ont_samples(df: DataFrame, library_fixes: DataFrame, id_fixes: DataFrame, run_ts: Column) -> DataFrame:
     """One row per sample with parallel JSON lists of its run folders.
 
-    A sample with more folders than one list holds goes on in rows of higher
-    ``part``; the sums are those of the row's own lists.
-
     Corrections: (id_repository, id_library, new_library, time_requested) and
     (id_repository, new_repository, time_requested), ONT rows only.
     """

@@ -67,8 +67,7 @@ SPECS = {
     "U39": _spec("staging_pgx_report_status", "file_name", "created_at"),
     "U40": _spec("wfhv_analysis", "id_repository run_name", "created_at"),
     "U41": _spec("wfhv_qc", "id_repository run_name", "created_at"),
-    # ``part`` is 0 for every sample whose lists fit one row.
-    "U42": _spec("wfhv_samples", "id_repository part", "created_at"),
+    "U42": _spec("wfhv_samples", "id_repository", "created_at"),
     "U43": _spec("zlims_samples", "id_repository id_flowcell id_pool id_dnb id_index", "created_at"),
     "U44": _spec("ztronpro_analysis", "id_repository run_name", "created_at", INCOMING),
     "U45": _spec("ztronpro_qc", "id_repository run_name", "created_at", INCOMING),
@@ -79,7 +78,7 @@ SPECS = {
 
 
 def apply_upsert(
-    spec: UpsertSpec, target: DataFrame, source: DataFrame, run_ts: Column, order: tuple[str, ...] = ()
+    spec: UpsertSpec, target: DataFrame, source: DataFrame, run_ts: Column, order: tuple[str, ...]
 ) -> DataFrame:
     """The target after one batch, by its specification."""
     has_stamp = "updated_at" in target.columns

@@ -1,10 +1,10 @@
-"""Session helpers: runtime SQL settings the jobs rely on, and checkpointing."""
+"""Session helpers: runtime SQL settings the jobs rely on, and the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings only; sizes such as shuffle.partitions stay with the cluster.
 RUNTIME_CONF = {
@@ -49,11 +49,3 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="strandmart-")
     return shared
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmart.functions.text import is_trial
 from strandmart.operators.merge import insert_absent, upsert
 from strandmart.operators.ranking import latest_by
 
@@ -71,7 +71,7 @@ class SwappedTable:
         options[0] = option
         context.rename(aside, self._path("CURRENT"), options)
 
-    def upsert(self, source: DataFrame, version: str, keys, keep=(), order=(), stamp=None) -> None:
+    def upsert(self, source: DataFrame, version: str, keys, keep, order, stamp=None) -> None:
         """Merge a batch into the current version and swap."""
         if self.exists():
             merged = upsert(self.read(), source, keys, keep, order, stamp)
@@ -115,8 +115,7 @@ def sample_table(df: DataFrame, rows: int, order: Sequence[str] = ()) -> DataFra
 def sample_catalog(spark: SparkSession, source: str, target: str, rows: int, exclude: str = SCRATCH_TABLES) -> list[str]:
     """Capped copies of all base tables of a schema, by name filter."""
     listed = spark.catalog.listTables(source)
-    names = spark.createDataFrame([(t.name,) for t in listed if not t.isTemporary and t.tableType != "VIEW"] or [("",)], "name string")
-    kept = [r[0] for r in names.filter(~is_trial("name", exclude) & (F.col("name") != "")).collect()]
+    kept = [t.name for t in listed if not t.isTemporary and t.tableType != "VIEW" and not re.search(exclude, t.name)]
     for name in kept:
         replace_table(sample_table(spark.table(f"`{source}`.`{name}`"), rows), f"`{target}`.`{name}`")
     return kept
