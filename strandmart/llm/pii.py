@@ -23,7 +23,10 @@ KINDS = ("email", "card", "ssn", "phone", "ipv4", "date")
 
 # The formats.  The order decides where two begin at one place.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-CARD = r"(?<![0-9A-Za-z])[2-6](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+CARD = (
+    r"(?<![0-9A-Za-z])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}(?: [0-9]{4}){3}|[2-6][0-9]{3}(?:-[0-9]{4}){3}"
+    r"|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
+)
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
