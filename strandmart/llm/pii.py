@@ -208,7 +208,7 @@ def pseudonym(found: Column, key: str) -> Column:
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found_col: str = "pii") -> DataFrame:
     """``docs`` with pseudonyms in the text column, and ``found_col``: an array of (kind, value, pseudonym) in text order.
 
-    The values are for audits; drop the column before the texts leave.
+    The values are for audits; drop the column before the texts leave.  A column of that name in ``docs`` gives way.
     """
     text = F.col(f"__row.{text_col}")
     whole = docs.select(F.struct("*").alias("__row"))
@@ -222,6 +222,6 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found_col:
     gaps = F.split(text, ANY)
     new = F.concat(F.transform("__found", lambda x: F.coalesce(x["pseudonym"], x["value"])), F.array(F.lit("")))
     joined = F.when(F.size("__found") > 0, F.array_join(F.zip_with(gaps, new, lambda g, x: F.concat(g, x)), "")).otherwise(text)
-    columns = [joined.alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in docs.columns]
+    columns = [joined.alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c != found_col]
     valid = F.filter("__found", lambda x: x["pseudonym"].isNotNull())
     return made.select(*columns, valid.alias(found_col))

@@ -233,9 +233,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are copies of each other.
     """
     spark = docs.sparkSession
-    rows = written(docs.select("*", F.monotonically_increasing_id().alias("__row")), "rows")
-    slim = rows.select("__row", id_col, text_col)
-    kind = slim.schema[id_col].dataType.simpleString()
+    # whole rows lie in one column, so no name of theirs can clash, and a number tells repeated rows apart
+    rows = written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
+    slim = rows.select("row", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("text"))
+    kind = slim.schema["id"].dataType.simpleString()
 
     def sign(batches):
         for batch in batches:
@@ -244,13 +245,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             check = [np.array(c, np.uint64).view(np.int64).tolist() for _, c in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(search[:, k]) for k in range(SEARCH_SEEDS)), pa.array(check, pa.list_(pa.int64()))],
-                ["__row", id_col, *(f"f{k}" for k in range(SEARCH_SEEDS)), "signature"],
+                ["row", "id", *(f"f{k}" for k in range(SEARCH_SEEDS)), "signature"],
             )
 
     fields = ", ".join(f"f{k} long" for k in range(SEARCH_SEEDS))
-    signed = written(slim.mapInArrow(sign, f"__row long, `{id_col}` {kind}, {fields}, signature array<long>"), "signatures")
+    signed = written(slim.mapInArrow(sign, f"row long, id {kind}, {fields}, signature array<long>"), "signatures")
     # exact copies share a signature; from here on there is one node for each
-    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))).alias("first")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
     nodes = signed.groupBy("signature").agg(first, *(F.min(f"f{k}").alias(f"f{k}") for k in range(SEARCH_SEEDS)))
     nodes = written(nodes.withColumn("node", F.col("first.row")), "nodes")
     n = nodes.count()
@@ -272,4 +273,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = written(reduce(DataFrame.unionAll, checked), "near-links")
     roots = components(found)
     firsts = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
-    return rows.join(firsts.select(F.col("first.row").alias("__row")), "__row", "left_semi").select(*docs.columns)
+    return rows.join(firsts.select("first.row"), "row", "left_semi").select("doc.*")

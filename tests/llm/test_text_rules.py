@@ -84,7 +84,7 @@ def test_pseudonyms_keep_format_and_links(spark):
         "10.0.0.255 999.1.1.1 2024-02-29 2024-02-30 31.12.1999 12/25/2001 13/25/2001"
     )
     docs = documents(tune(spark), [*TEXTS, (60, text), (61, f"é{text}, {text}")])
-    made = pii.pseudonymised(docs.drop("pii"), "k")
+    made = pii.pseudonymised(docs, "k")
     rows = {r.doc_id: r for r in made.collect()}
     assert made.columns == [*docs.drop("pii").columns, "pii"]
     found = {x.value: x.pseudonym for x in rows[60].pii}
