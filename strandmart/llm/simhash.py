@@ -14,6 +14,7 @@ link to it.  That keeps reachability without a row for each pair.  Exact copies
 from __future__ import annotations
 
 import math
+from collections import Counter
 from functools import reduce
 from itertools import accumulate, combinations
 
@@ -56,6 +57,15 @@ def _hashes(found: list[bytes], words: int, seed: int = 42) -> np.ndarray:
     return np.fromiter((digest(joined[s : e - 1], seed) for s, e in spans), np.uint64, n)
 
 
+def _weighted_bits(hashes: np.ndarray, weights: np.ndarray) -> int:
+    """A bit is 1 if the hashes in which it is set have over half of the weight."""
+    votes = np.zeros(64)
+    for k in range(0, len(hashes), VOTES):
+        bits = np.unpackbits(hashes[k : k + VOTES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        votes += weights[k : k + VOTES] @ bits
+    return int(np.packbits(2 * votes > weights.sum(), bitorder="little").view(np.uint64)[0])
+
+
 def _bits(hashes: np.ndarray) -> int:
     """A bit is 1 if it is set in over half of the hashes."""
     votes = np.zeros(64, np.int64)
@@ -81,27 +91,57 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str =
     return slim.mapInArrow(run, f"`{id_col}` {kind}, fp long")
 
 
-def _bucket(points: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = (points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-    return ((mixed * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-
+def _bucket(points: np.ndarray, bits: int) -> np.ndarray:
+    """A bucket of ``bits`` bits, each the parity of a fixed choice of the point's bits.
 
-def _dealt(fps: np.ndarray, buckets: int):
-    """Points of some fingerprints by bucket: the fingerprints, how many points each has there, and the flips that give them."""
-    odd = (np.bitwise_count(fps) & 1).astype(bool)
-    even = fps[~odd]
-    points = np.concatenate(((even[:, None] ^ FLIPS).ravel(), (fps[odd][:, None] ^ FLIPS[1:NEAR]).ravel()))
-    owner = np.concatenate((np.repeat(even, len(FLIPS)), np.repeat(fps[odd], NEAR - 1)))
-    flip = np.concatenate((np.tile(np.arange(len(FLIPS)), len(even)), np.tile(np.arange(1, NEAR), int(odd.sum())))).astype(np.uint16)
-    place = _bucket(points, buckets)
-    order = np.argsort(place.astype(np.uint16 if buckets < 65536 else np.uint64), kind="stable")
-    place, owner, flip = place[order], owner[order], flip[order]
-    bounds = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1], [True])))
+    It is linear: the bucket of a flipped fingerprint is its own bucket flipped by that of the flip.
+    """
+    out = np.zeros(len(points), np.int64)
+    for k, choice in enumerate(np.random.default_rng(17).integers(1, 2**64, bits, dtype=np.uint64)):
+        out |= (np.bitwise_count(points & choice) & 1).astype(np.int64) << k
+    return out
+
+
+def _flips_by_bucket(bits: int, odd: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Flips in the order of their buckets, and where each bucket's begin and how many they are."""
+    flips = np.arange(1, NEAR) if odd else np.arange(len(FLIPS))
+    place = _bucket(FLIPS[flips], bits)
+    counts = np.bincount(place, minlength=2**bits)
+    return flips[np.argsort(place, kind="stable")], np.cumsum(counts) - counts, counts
+
+
+def _is_odd(fps: np.ndarray) -> np.ndarray:
+    return (np.bitwise_count(fps) & 1).astype(bool)
+
+
+def _dealt(fps: np.ndarray, bits: int):
+    """The fingerprints of each bucket in which they have a point; the points follow from the two."""
+    owners, places = [], []
+    for odd in (False, True):
+        mine = fps[_is_odd(fps) == odd]
+        reached = np.flatnonzero(_flips_by_bucket(bits, odd)[2])
+        owners.append(np.repeat(mine, len(reached)))
+        places.append((_bucket(mine, bits)[:, None] ^ reached).ravel())
+    owner, place = np.concatenate(owners), np.concatenate(places)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    bounds = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1], [True]))) if len(place) else [0]
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        mine = owner[a:b]
-        first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
-        counts = np.diff(np.append(first, b - a)).astype(np.uint16)
-        yield int(place[a]), mine[first].tobytes(), counts.tobytes(), flip[a:b].tobytes()
+        yield int(place[a]), owner[a:b].tobytes()
+
+
+def _points(fps: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each fingerprint as often as it has points in the bucket, and the flips that give them."""
+    owners, flips = [], []
+    for odd in (False, True):
+        mine = fps[_is_odd(fps) == odd]
+        ordered, starts, counts = _flips_by_bucket(bits, odd)
+        want = _bucket(mine, bits) ^ bucket
+        n = counts[want]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        owners.append(np.repeat(mine, n))
+        flips.append(ordered[np.repeat(starts[want], n) + within])
+    return np.concatenate(owners), np.concatenate(flips)
 
 
 def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,14 +197,15 @@ def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp", stars: b
     """
     spark = distinct.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2 * parts, math.ceil(n_fingerprints * (len(FLIPS) + NEAR) / 2 / BUCKET_POINTS))
+    least = max(parts, math.ceil(n_fingerprints * (len(FLIPS) + NEAR) / 2 / BUCKET_POINTS))
+    bits = (least - 1).bit_length()
 
     def deal(batches):
         rest = np.zeros(0, np.uint64)
-        schema = pa.schema([("bucket", pa.int64()), ("fps", pa.binary()), ("counts", pa.binary()), ("flips", pa.binary())])
+        schema = pa.schema([("bucket", pa.int64()), ("fps", pa.binary())])
 
         def rows(fps):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*_dealt(fps, buckets), strict=True), schema.types, strict=True)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*_dealt(fps, bits), strict=True), schema.types, strict=True)], schema=schema)
 
         for batch in batches:
             rest = np.concatenate((rest, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
@@ -175,11 +216,11 @@ def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp", stars: b
             yield rows(rest)
 
     def meet(table: pa.Table) -> pa.Table:
-        read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        a, b = _meet(np.repeat(read("fps", np.uint64), read("counts", np.uint16)), read("flips", np.uint16), stars)
+        fps = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64)
+        a, b = _meet(*_points(fps, table.column("bucket")[0].as_py(), bits), stars)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    points = distinct.select(fp_col).mapInArrow(deal, "bucket long, fps binary, counts binary, flips binary")
+    points = distinct.select(fp_col).mapInArrow(deal, "bucket long, fps binary")
     return points.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
@@ -202,9 +243,9 @@ def near_duplicates(
     return one.join(ids, "fp").select(id_col, "fp", "component_id")
 
 
-#: For whole documents in a pipeline: shingle of the search and its seeds, shingle of the check and its seeds, and most
+#: For whole documents in a pipeline: seeds of the search over single words, shingle of the check and its seeds, and most
 #: differing bits of the check (of 64 for each seed; texts at a shingle similarity of 0.8 differ in 15 % of the bits).
-SEARCH_WORDS, SEARCH_SEEDS, CHECK_WORDS, CHECK_SEEDS, CHECK_SHARE = 1, 3, 5, 4, 0.195
+SEARCH_SEEDS, CHECK_WORDS, CHECK_SEEDS, CHECK_SHARE = 4, 5, 4, 0.195
 
 
 def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
@@ -218,10 +259,15 @@ def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
 
 
 def signature(text: str | None) -> tuple[list[int], list[int]]:
-    """Fingerprints over single words for the search, and over shingles for the check."""
+    """Fingerprints over single words for the search, and over shingles for the check.
+
+    A word weighs one and the binary logarithm of its count; else a few frequent words would decide most bits of every text.
+    """
     found = ("" if text is None else text).encode("utf-8", "surrogatepass").lower().split()
-    one, five = _hashes(found, SEARCH_WORDS), _hashes(found, CHECK_WORDS)
-    return [_bits(_mixed(one, k)) for k in range(SEARCH_SEEDS)], [_bits(_mixed(five, k)) for k in range(CHECK_SEEDS)]
+    counts = Counter(found)
+    one, five = _hashes(list(counts), 1), _hashes(found, CHECK_WORDS)
+    weights = 1 + np.log2(np.fromiter(counts.values(), float, len(counts)))
+    return [_weighted_bits(_mixed(one, k), weights) for k in range(SEARCH_SEEDS)], [_bits(_mixed(five, k)) for k in range(CHECK_SEEDS)]
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
