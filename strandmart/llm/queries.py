@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmart.llm import bpe, chat, decontaminate, html_text, pii, quality, secret_scan, simhash, token_files, url_filter
-from strandmart.llm.tables import new_folder
+from strandmart.llm.tables import new_folder, shipped
 from strandmart.session import tune
 
 #: Texts travel to Python in batches of this size at most, so a worker's memory has a bound.
@@ -23,7 +23,7 @@ def settled(spark: SparkSession) -> SparkSession:
     """The library's runtime settings, and those of the text operators."""
     for key, value in BATCHES.items():
         spark.conf.set(key, value)
-    return tune(spark)
+    return tune(shipped(spark))
 
 
 def query(name: str, sql: str | None = None):
