@@ -418,10 +418,10 @@ def _m14(t):
 
 @check("gold_transfer_report", f"""
 WITH {ctes('staging_simbiox_transfer', 'simbiox_biosamples', 'simbiox_patients', 'master_biobank', 'simbiox_log_visit_biospc', 'decrypt_regina', 'decrypted_phenovar_participants')},
-people AS (SELECT id, sex, {AGE} AS age FROM (
+people AS MATERIALIZED (SELECT id, sex, {AGE} AS age FROM (
   SELECT id_subject AS id, CASE gender WHEN 'Perempuan' THEN 'FEMALE' WHEN 'Laki-laki' THEN 'MALE' END AS sex, CAST(birthdate AS DATE) AS birth, creationDate AS created FROM decrypt_regina
   UNION ALL SELECT id_subject, upper(sex), CAST(replace(birth_date, '0976-', '1976-') AS DATE), created_at FROM decrypted_phenovar_participants)),
-rows_ AS (SELECT t.*, b.code_repository, b.origin_code_repository, p.id_subject, m.biobank_nama AS patient_biobank, v.categ AS patient_categ, d.sex AS registry_sex, d.age
+rows_ AS MATERIALIZED (SELECT t.*, b.code_repository, b.origin_code_repository, p.id_subject, m.biobank_nama AS patient_biobank, v.categ AS patient_categ, d.sex AS registry_sex, d.age
   FROM staging_simbiox_transfer t LEFT JOIN simbiox_biosamples b ON t.biosample_id = b.id LEFT JOIN simbiox_patients p ON b.id_patient = p.id_patient LEFT JOIN master_biobank m ON p.id_biobank = m.id_biobank
   LEFT JOIN {VISITS} v ON p.id_patient = v.px_id LEFT JOIN people d ON p.id_subject = d.id WHERE t.biobank_asal <> 'Biobank Pusat'),
 sent AS (SELECT biosample_id, id, origin_code_repository, dense_rank() OVER (PARTITION BY origin_code_repository ORDER BY tanggal_formulir NULLS FIRST) AS dr FROM rows_ WHERE is_to_central_seq = 1 AND status_transfer_name = 'Dikirim')
