@@ -28,8 +28,9 @@ from strandmart.llm.components import components
 from strandmart.llm.tables import written
 
 RADIUS = 3
-#: Fingerprints whose points are dealt out together, points that a bucket should hold, hashes whose bits are counted together.
-CHUNK, BUCKET_POINTS, VOTES = 2048, 1_500_000, 32_768
+#: Fingerprints whose points are dealt out together, hashes whose bits are counted together, points that a bucket should
+#: hold, and least number of buckets.  A fingerprint travels once to each bucket it has points in, so fewer buckets move less.
+CHUNK, VOTES, BUCKET_POINTS, LEAST_BUCKETS = 2048, 32_768, 3_000_000, 64
 
 _ONE = [1 << i for i in range(64)]
 _TWO = [a | b for half in (_ONE[:32], _ONE[32:]) for a, b in combinations(half, 2)]
@@ -197,7 +198,7 @@ def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp", stars: b
     """
     spark = distinct.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    least = max(parts, math.ceil(n_fingerprints * (len(FLIPS) + NEAR) / 2 / BUCKET_POINTS))
+    least = max(LEAST_BUCKETS, parts, math.ceil(n_fingerprints * (len(FLIPS) + NEAR) / 2 / BUCKET_POINTS))
     bits = (least - 1).bit_length()
 
     def deal(batches):
@@ -216,7 +217,8 @@ def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp", stars: b
             yield rows(rest)
 
     def meet(table: pa.Table) -> pa.Table:
-        fps = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64)
+        # in order, so that points agree on a centre and most links of a group are the same few
+        fps = np.sort(np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64))
         a, b = _meet(*_points(fps, table.column("bucket")[0].as_py(), bits), stars)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
