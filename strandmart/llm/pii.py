@@ -211,6 +211,7 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found_col:
     The values are for audits; drop the column before the texts leave.  A column of that name in ``docs`` gives way.
     """
     text = F.col(f"__row.{text_col}")
+    docs = docs.drop(found_col)
     whole = docs.select(F.struct("*").alias("__row"))
     matches = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
     # one row of matches per text comes out of a generator, so no later filter is written into the search
@@ -222,6 +223,6 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found_col:
     gaps = F.split(text, ANY)
     new = F.concat(F.transform("__found", lambda x: F.coalesce(x["pseudonym"], x["value"])), F.array(F.lit("")))
     joined = F.when(F.size("__found") > 0, F.array_join(F.zip_with(gaps, new, lambda g, x: F.concat(g, x)), "")).otherwise(text)
-    columns = [joined.alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c != found_col]
+    columns = [joined.alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in docs.columns]
     valid = F.filter("__found", lambda x: x["pseudonym"].isNotNull())
     return made.select(*columns, valid.alias(found_col))
