@@ -93,3 +93,46 @@ def test_one_of_each(spark):
     assert got.columns == docs.columns
     assert sorted(r.doc_id for r in got.collect()) == [*clean, 900]
     assert simhash.one_of_each(docs.limit(0)).count() == 0
+
+
+def jaccard(a, b):
+    x, y = ({tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))} for t in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def kept_ids(spark, rows):
+    return sorted(r.doc_id for r in simhash.one_of_each(documents(spark, rows)).collect())
+
+
+def test_one_of_each_tests_pairs_that_fail_at_the_centre(spark):
+    rng = random.Random(6)
+    a = [f"w{rng.randint(0, 5000)}" for _ in range(200)]
+    b = [*a[:90], "changed", *a[91:]]
+    rows = []
+    for k in range(6):
+        rows.append((k, " ".join(rng.sample(a, len(a)))))  # the same bag of words in other orders, smaller ids
+    rows += [(10, " ".join(a)), (11, " ".join(b))]
+    assert kept_ids(spark, rows) == [*range(6), 10]
+
+
+def test_one_of_each_equals_brute_force_on_blocks_and_short_copies(spark):
+    rng = random.Random(7)
+    draw = lambda n: [f"w{min(int(rng.expovariate(0.002)), 4000)}" for _ in range(n)]
+    shared, rows = draw(25), []
+    for k in range(40):
+        text = draw(rng.choice([25, 60, 300]))
+        cut = len(text) * rng.choice([4, 10, 15, 20, 25, 30]) // 100
+        copies = [[*text, *draw(cut)], text[cut:], [*draw(cut), *text], [*text[:-1], "other"], [*text[: len(text) // 2], *draw(cut), *text[len(text) // 2 :]], [*text, *shared]]
+        for t in (text, *rng.sample(copies, 3)):
+            rows.append((len(rows), " ".join(t)))
+    links = lambda x, y: jaccard(rows[x][1], rows[y][1]) >= 0.8
+    root = brute_components(range(len(rows)), links)
+    assert len(set(root.values())) < len(rows) and kept_ids(spark, rows) == sorted(set(root.values()))
+
+
+def test_one_of_each_keeps_documents_below_the_limit(spark):
+    rng = random.Random(9)
+    text = [f"w{rng.randint(0, 5000)}" for _ in range(400)]
+    rows = [(0, " ".join(text)), (1, " ".join([*text[:346], *(f"x{k}" for k in range(54))])), (2, " ".join([*text[:366], *(f"y{k}" for k in range(34))]))]
+    assert 0.7 < jaccard(rows[0][1], rows[1][1]) < 0.8 <= jaccard(rows[0][1], rows[2][1])
+    assert kept_ids(spark, rows) == [0, 1]
