@@ -5,8 +5,8 @@
 3. A randomised SVD of the TF-IDF windows, distributed: each task multiplies its windows into a small random (then
    orthonormal) basis, the products are added by blocks of terms, and only matrices of terms by rank reach the driver.
 4. Every window of every document and every window of every benchmark item are projected; pairs at or above a cosine are candidates.
-5. A candidate region must hold most of the item's weight in rare terms; then the longest common subsequence of words and
-   the words of the answer decide.
+5. The longest common subsequence of words and the words of the answer decide; it is computed where the words that a candidate
+   region shares with the item, in any order, are enough for it.
 
 The benchmark is the query set: it is read in blocks of ``BLOCK_ITEMS`` items, so what each task gets has a bound.  All documents are
 searched whole, and no number of candidates is limited.
@@ -36,8 +36,8 @@ FREQUENT, RAREST = 0.02, 8
 #: Words of half a window; windows are two halves and start at each half.
 HALF = 16
 #: Least cosine of a candidate (for items shorter than a window, times the root of the share that they can fill),
-#: share of the item's weight in the region, and shares of the item's words in the common subsequence.
-COSINE, WEIGHT, WITHOUT_ANSWER, WITH_ANSWER, SHORT_WORDS, SHORT = 0.5, 0.6, 0.8, 0.65, 12, 0.9
+#: and shares of the item's words in the common subsequence.
+COSINE, WITHOUT_ANSWER, WITH_ANSWER, SHORT_WORDS, SHORT = 0.5, 0.8, 0.65, 12, 0.9
 #: Half windows projected together, and words of documents coded together.
 CHUNK, CODED = 8192, 400_000
 
@@ -237,19 +237,18 @@ class Search:
         queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
         first = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(items.codes)))))
         lengths = np.array([len(c) for c in items.codes])
-        has = np.zeros((len(items.codes), size + 1), np.float32)
+        has = np.zeros((len(items.codes), size + 1), np.uint16)
         for k, c in enumerate(items.codes):
-            has[k, c] = weights[c]
-        whole = has.sum(axis=1)
+            has[k] = np.minimum(np.bincount(c, minlength=size + 1), 2**16 - 1)
         least = COSINE * np.sqrt(np.minimum(1, lengths / (2 * HALF)))
         shared = self.coded.sparkSession.sparkContext.broadcast(
-            (basis, queries.T.copy(), owner[a], (a - first[owner[a]]) * HALF, least[owner[a]].astype(np.float32), has, whole, lengths, items)
+            (basis, queries.T.copy(), owner[a], (a - first[owner[a]]) * HALF, least[owner[a]].astype(np.float32), has, lengths, items)
         )
         key = self.coded.schema[id_col].dataType.simpleString()
         item_kind = "string" if items.ids and isinstance(items.ids[0], str) else "long"
 
         def search(batches):
-            basis, queries, item_of, offset, least, has, whole, lengths, items = shared.value
+            basis, queries, item_of, offset, least, has, lengths, items = shared.value
             for ids, codes in _groups(batches, width):
                 rows, texts = _halves(codes, size)
                 a, b = _windows(texts)
@@ -263,7 +262,7 @@ class Search:
                     cosine = made @ queries
                     w, q = np.nonzero(cosine >= least)
                     for p in range(0, len(w), CHUNK):
-                        _decide(x[w[p : p + CHUNK]], q[p : p + CHUNK], cosine[w[p : p + CHUNK], q[p : p + CHUNK]], rows.ravel(), texts, begins, codes, item_of, offset, has, whole, lengths, items, best)
+                        _decide(x[w[p : p + CHUNK]], q[p : p + CHUNK], cosine[w[p : p + CHUNK], q[p : p + CHUNK]], rows.ravel(), texts, begins, codes, item_of, offset, has, lengths, items, best)
                 if best:
                     pairs = sorted(best.items())
                     columns = [
@@ -276,8 +275,8 @@ class Search:
         return self.coded.mapInArrow(search, f"`{id_col}` {key}, item_id {item_kind}, cosine double, common double, answer boolean, start_word long")
 
 
-def _decide(half, query, cosine, flat, texts, begins, codes, item_of, offset, has, whole, lengths, items, best) -> None:
-    """Keep the candidates whose region holds the item's rare terms, its words in order, and its answer."""
+def _decide(half, query, cosine, flat, texts, begins, codes, item_of, offset, has, lengths, items, best) -> None:
+    """Keep the candidates whose region holds the item's words in order, and its answer."""
     item, text = item_of[query], texts[half]
     begin = begins[text] * HALF
     low = np.maximum(half * HALF - offset[query] - 2 * HALF, begin)
@@ -290,8 +289,13 @@ def _decide(half, query, cosine, flat, texts, begins, codes, item_of, offset, ha
     inside = places < high[:, None]
     regions = np.sort(np.where(inside, flat[np.minimum(places, len(flat) - 1)], has.shape[1] - 1), axis=1)
     fresh = np.concatenate((np.ones((len(regions), 1), bool), regions[:, 1:] != regions[:, :-1]), axis=1)
-    held = (has[item[:, None], regions] * fresh).sum(axis=1)
-    for k in np.flatnonzero(held >= WEIGHT * whole[item]):
+    # no common subsequence is longer than the words shared in any order, each as often as both have it
+    y, x = np.nonzero(fresh)
+    at = y * regions.shape[1] + x
+    times = np.minimum(np.diff(np.append(at, regions.size)), has[item[y], regions[y, x]])
+    held = np.bincount(y, weights=times, minlength=len(regions))
+    needed = np.where(lengths[item] <= SHORT_WORDS, SHORT, WITH_ANSWER)
+    for k in np.flatnonzero(held / lengths[item] >= needed):
         t, i, lo, b, c = text[k], item[k], low[k], begin[k], cosine[k]
         region = flat[lo : high[k]]
         common, last = common_words(items.codes[i], region)
