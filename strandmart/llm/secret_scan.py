@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, and a token-efficiency test for random strings.
 
 A tokenizer's vocabulary holds what text repeats, so words and names take few tokens, while random strings fall into one or two
-characters a token.  Long strings below a ratio of characters per token are reported, after digests of known lengths, UUIDs, numbers and
-names made of words have been set aside.
+characters a token.  Long strings at or below a ratio of characters per token are reported, after digests of known lengths, UUIDs, numbers and
+names whose parts encode as words have been set aside.  Shorter strings need a lower ratio, as a single long word can come near two.
 
 Defined results: a null text counts as an empty one and has no spans; repeated rows are scanned one by one; an empty table gives
 an empty one.  Offsets are code points, ends exclusive.
@@ -32,16 +32,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # A run is matched at its first character, so a search needs no other start.
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{%d,}" % HEX_CHARS)
 
-#: A random string: its least length, and the most characters that one token may stand for.
+#: A random string: its least length, and the most characters that one token may stand for; and both for shorter ones.
 RANDOM_CHARS, RANDOM_RATIO = 20, 2.0
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % RANDOM_CHARS)
+SHORT_CHARS, SHORT_RATIO = 12, 1.6
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % SHORT_CHARS)
 
 # Lengths of hexadecimal digests (MD5, SHA-1, SHA-2), and shapes that are no secrets.
 DIGEST_CHARS = frozenset((32, 40, 56, 64, 96, 128))
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-NAME = re.compile(r"[+/_=-]*(([A-Za-z]+|[0-9]+)([+/_=-]+|$))*")
-WORD_END_DIGITS = re.compile(r"[A-Za-z]+[0-9]{1,4}")
+SEPARATORS = re.compile(r"[+/_=-]+")
+PART = re.compile(r"([A-Za-z]*)[0-9]{0,4}|[0-9]+")
 
 
 class Span(NamedTuple):
@@ -70,13 +71,21 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def known(run: str) -> bool:
-    """Digests, UUIDs, numbers and names of words."""
+def is_word(letters: str, encoding: tiktoken.Encoding) -> bool:
+    """Whether letters, or those of a capital word in lower case, are one token, or take few."""
+    forms = {letters, letters.lower()} if letters.isupper() or letters.istitle() else {letters}
+    n = min(len(encoding.encode_ordinary(x)) for x in forms)
+    return n <= 1 or len(letters) > RANDOM_RATIO * n
+
+
+def known(run: str, encoding: tiktoken.Encoding) -> bool:
+    """Digests, UUIDs, numbers, and names of several parts that are words (with up to four digits) or numbers."""
     if len(run) in DIGEST_CHARS and DIGEST.fullmatch(run):
         return True
-    if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
+    if not any(c.isalpha() for c in run) or UUID.fullmatch(run):
         return True
-    return bool(UUID.fullmatch(run) or NAME.fullmatch(run) or all(WORD_END_DIGITS.fullmatch(p) or NAME.fullmatch(p) for p in re.split(r"[+/_=-]+", run)))
+    parts = [PART.fullmatch(p) for p in SEPARATORS.split(run) if p]
+    return all(parts) and all(is_word(m[1], encoding) for m in parts if m[1])
 
 
 def spans(text: str | None, encoding: tiktoken.Encoding, ratio: float = RANDOM_RATIO) -> list[Span]:
@@ -87,9 +96,10 @@ def spans(text: str | None, encoding: tiktoken.Encoding, ratio: float = RANDOM_R
     more = []
     for m in RUN.finditer(text):
         a, b = m.span()
-        if any(s.start < b and a < s.end for s in base) or known(m[0]):
+        if any(s.start < b and a < s.end for s in base) or known(m[0], encoding):
             continue
-        if b - a <= ratio * len(encoding.encode_ordinary(m[0])):
+        most = ratio if b - a >= RANDOM_CHARS else min(ratio, SHORT_RATIO)
+        if b - a <= most * len(encoding.encode_ordinary(m[0])):
             more.append(Span(a, b, "random"))
     return sorted(base + more, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 

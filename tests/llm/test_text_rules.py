@@ -63,6 +63,21 @@ def test_secret_spans():
     assert secret_scan.redacted("a token=abcdefghijklmnop b", secret_scan.spans("a token=abcdefghijklmnop b", encoding)) == "a [assign] b"
 
 
+def test_random_strings_of_any_letters():
+    encoding = secret_scan.ranks(RANKS, public_tokenizers.PATTERN)
+    kinds = lambda text: [(s.kind, text[s.start : s.end]) for s in secret_scan.spans(text, encoding)]
+    for run in ("QxZkVpLtRwNbHsGjMfYc", "QxZkVpLtRwNbHsGjMfYc42", "sk_XqZvKpWtRbNcLmGh_83920174", "qxzkvpltrwnbhsgjmfyc", "qX7vT9zLkP2mWb"):
+        assert kinds(f"see {run} now") == [("random", run)]
+    rng = random.Random(11)
+    # short runs of lower case alone can be words, so about half of these are found
+    for letters, short in (("abcdefghijklmnopqrstuvwxyz", 0.4), ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.85)):
+        for low, high, least in ((20, 64, 0.97), (12, 19, short)):
+            runs = ["".join(rng.choices(letters, k=rng.randint(low, high))) for _ in range(400)]
+            assert sum(kinds(r) == [("random", r)] for r in runs) >= least * len(runs)
+    for harmless in ("get_user_by_id_2024_01_02_a_b", "MAX_BUFFER_SIZE_LIMIT_2", "Donaudampfschifffahrtsgesellschaft", "getElementByIdFromDocument", "2024-01-01-12-30-45"):
+        assert kinds(harmless) == []
+
+
 def test_secret_columns(spark):
     docs = documents(spark, [*TEXTS, (50, "secret=abcdefghijklmno and deadbeefdeadbeef0")])
     got = {r.doc_id: r.spans for r in secret_scan.scanned(docs, RANKS, public_tokenizers.PATTERN).collect()}
@@ -150,3 +165,15 @@ def test_leaks_exact_and_changed(spark):
     assert {(r.doc_id, r.item_id) for r in got} == want and all(r.common >= 0.65 for r in got)
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_leak_without_its_rarest_word_at_two_corpus_sizes(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 7))) for _ in range(3000)]
+    draw = lambda n: [words[min(int(rng.expovariate(0.005)), 2999)] for _ in range(n)]
+    items = [draw(40) for _ in range(10)]
+    bench = spark.createDataFrame([(k, " ".join([*i[:20], f"unique{k}", *i[20:]])) for k, i in enumerate(items)], "item_id long, text string")
+    for n in (100, 3000):
+        rows = [(k, " ".join([*draw(60), *(items[k][:20] + ["other"] + items[k][20:] if k < 10 else []), *draw(60)])) for k in range(n)]
+        got = decontaminate.contaminated(documents(spark, rows), bench).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == {(k, k) for k in range(10)}
