@@ -142,7 +142,7 @@ URL_RULES = tuple(
 @query("op9_url_filter")
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's URL."""
-    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES, text_cols=("html",)).select("page_id", "host", "path", "rule", "verdict")
 
 
 CHAT_SQL = r"""

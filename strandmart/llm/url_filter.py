@@ -1,8 +1,9 @@
 """URL filter: rules by host and path, else a naive Bayes verdict over segmented names.
 
-Names in hosts and paths are split into words by a unigram Viterbi search: the lexicon's words cost their negative log share, where
-shares come from counts over all URLs of the table, and other letters cost more the longer they are.  A multinomial naive Bayes
-model, fitted on the labelled names below, scores the words.
+Names in hosts and paths are split into words by a unigram Viterbi search: the lexicon's words cost their negative log share, and other
+letters cost more the longer they are.  The lexicon is the labelled names below and every word of three or more letters that stands alone
+``LEAST_COUNT`` times or more in the URLs (and texts, where given) of the table; a word that more frequent words make up is left to be split.
+A multinomial naive Bayes model, fitted on the labelled names, scores the words.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, fits no rule and is judged on no words (allowed); repeated
 rows are judged one by one; an empty table gives an empty one; other columns are not read.
@@ -40,6 +41,9 @@ ALLOWED_NAMES = (
 #: Weight of a word seen once more in each class, log-odds that a URL with no known word starts from, and log cost of a strange letter.
 SMOOTHING, START, LETTER_COST, STRANGE_COST = 0.5, -1.5, 3.2, 4.0
 
+#: Letters and count from which a word of the table is one of the lexicon, and most of these (the most frequent ones).
+LEAST_LETTERS, LEAST_COUNT, MOST_WORDS = 3, 5, 100_000
+
 URL = re.compile(r"^.*?://([^/?#]*)([^?#]*)", re.DOTALL)
 ASCII_LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 NAME = re.compile(r"[a-z]+")
@@ -76,14 +80,28 @@ def examples() -> list[tuple[list[str], bool]]:
     return [(row.split(), blocked) for names, blocked in ((BLOCKED_NAMES, True), (ALLOWED_NAMES, False)) for row in names.split(", ")]
 
 
+def _made_up(word: str, counted: dict[str, int], labelled: dict[str, int]) -> bool:
+    """Whether a word is two or more words of the lexicon, each labelled or more frequent than itself."""
+    reached = [True] + [False] * len(word)
+    for end in range(LEAST_LETTERS, len(word) + 1):
+        for start in range(end - LEAST_LETTERS + 1):
+            part = word[start:end]
+            if reached[start] and part != word and (part in labelled or counted.get(part, 0) > counted[word]):
+                reached[end] = True
+                break
+    return reached[-1]
+
+
 class Model:
     """Word costs for the segmentation and log-odds of the words."""
 
     def __init__(self, counts: dict[str, int]) -> None:
         rows = examples()
         lexicon = Counter(w for words, _ in rows for w in words)
-        total = sum(counts.get(w, 0) + n for w, n in lexicon.items())
-        self.cost = {w: -math.log((counts.get(w, 0) + n) / total) for w, n in lexicon.items()}
+        counted = {w: counts.get(w, 0) + lexicon[w] for w in {*counts, *lexicon}}
+        counted = {w: n for w, n in counted.items() if w in lexicon or not _made_up(w, counted, lexicon)}
+        total = sum(counted.values())
+        self.cost = {w: -math.log(n / total) for w, n in counted.items()}
         self.longest = max(map(len, self.cost))
         seen = {k: Counter(w for words, b in rows if b is k for w in words) for k in (True, False)}
         size = {k: sum(c.values()) + SMOOTHING * len(lexicon) for k, c in seen.items()}
@@ -114,7 +132,7 @@ class Model:
     def _score_name(self, name: str) -> float:
         """Log-odds of a name's words; none of a name that is mostly strange letters, where a word is there by chance."""
         words = self.split(name)
-        if 2 * sum(len(w) for w in words if w in self.odds) <= len(name):
+        if 2 * sum(len(w) for w in words if w in self.cost) <= len(name):
             return 0.0
         return sum(self.odds.get(w, 0.0) for w in words)
 
@@ -123,19 +141,23 @@ class Model:
         return START + sum(map(self.score_name, NAME.findall(f"{host} {path}".translate(ASCII_LOWER))))
 
 
-def word_counts(urls: DataFrame, url_col: str = "url") -> dict[str, int]:
-    """How often each word of the lexicon stands alone in the URLs; at most one row for each word of the lexicon."""
-    lexicon = sorted({w for words, _ in examples() for w in words})
-    words: Column = F.explode(F.split(F.lower(F.coalesce(F.col(url_col), F.lit(""))), "[^a-z]+"))
-    rows = urls.select(words.alias("word")).where(F.col("word").isin(lexicon)).groupBy("word").count().collect()
+def word_counts(urls: DataFrame, url_col: str = "url", text_cols: tuple[str, ...] = ()) -> dict[str, int]:
+    """How often each word of the labelled names, and each other frequent word, stands alone in the URLs (and texts)."""
+    labelled = sorted({w for words, _ in examples() for w in words})
+    both: Column = F.lower(F.concat_ws(" ", F.col(url_col), *text_cols))
+    words = urls.select(F.explode(F.split(both, r"[\P{L}]+")).alias("word")).where(F.col("word").rlike("^[a-z]+$"))
+    often = (F.length("word") >= LEAST_LETTERS) & (F.col("count") >= LEAST_COUNT)
+    kept = words.groupBy("word").count().where(F.col("word").isin(labelled) | often)
+    rows = kept.orderBy(~F.col("word").isin(labelled), F.desc("count"), "word").limit(MOST_WORDS).collect()
     return {r["word"]: r["count"] for r in rows}
 
 
 def judged(
-    urls: DataFrame, rules: tuple[Rule, ...] = (), id_col: str = "page_id", url_col: str = "url", counts: dict[str, int] | None = None
+    urls: DataFrame, rules: tuple[Rule, ...] = (), id_col: str = "page_id", url_col: str = "url", counts: dict[str, int] | None = None,
+    text_cols: tuple[str, ...] = (),
 ) -> DataFrame:
     """``id_col``, host, path, rule (null without one), score (log-odds of blocking by the model) and verdict."""
-    counts = word_counts(urls, url_col) if counts is None else counts
+    counts = word_counts(urls, url_col, text_cols) if counts is None else counts
     slim = urls.select(id_col, url_col)
     kind = slim.schema[id_col].dataType.simpleString()
     hosts = by_host(rules)

@@ -115,3 +115,16 @@ def test_conversation_digests(spark, tmp_path):
         assert got[c].n_turns == len(turns)
         assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_url_words_of_the_table_are_in_the_lexicon(spark):
+    rows = [(k, f"https://site{k}.org/velvet/{'lantern' if k % 2 else 'hazel'}", "a lantern, a hazel") for k in range(12)]
+    rows += [(50 + k, "https://velvetlantern.com/", "") for k in range(5)] + [(99, "https://casinovelvet.com/", ""), (100, "https://hazelvelvetcasino.net/", "")]
+    urls = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts = url_filter.word_counts(urls)
+    assert counts["velvet"] == 12 and counts["lantern"] == 6
+    assert url_filter.word_counts(urls, text_cols=("html",))["lantern"] == 18
+    model = url_filter.Model(counts)
+    assert model.split("velvetlantern") == ["velvet", "lantern"] and model.split("hazelvelvetcasino") == ["hazel", "velvet", "casino"]
+    got = {r.page_id: r.score for r in url_filter.judged(urls).collect()}
+    assert got[100] > url_filter.START and got[99] > url_filter.START
