@@ -6,12 +6,30 @@ nothing moves.  A round is two map-side combined minima joined back; links live
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandmart.llm.tables import written
 
 
+def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links held by one task as one link from each node to the smallest it reaches there."""
+    nodes, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = flat[: len(a)], flat[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = label.copy()
+        np.minimum.at(low, x, label[y])
+        np.minimum.at(low, y, label[x])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    above = label != np.arange(len(nodes))
+    return nodes[above], nodes[label[above]]
+
+
 def _state(links: DataFrame) -> tuple:
     """Count and order-free checksums of the links."""
     mixed = F.xxhash64("a", "b")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandmart.llm.components import components
+from strandmart.llm.components import components, local_roots
 from strandmart.llm.tables import written
 
 RADIUS = 3
@@ -134,24 +134,7 @@ def _points(fps: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(owners), np.concatenate(flips)
 
 
-def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The links of a bucket as one link from each fingerprint to the smallest it reaches there."""
-    nodes, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
-    x, y = flat[: len(a)], flat[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = label.copy()
-        np.minimum.at(low, x, label[y])
-        np.minimum.at(low, y, label[x])
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    above = label != np.arange(len(nodes))
-    return nodes[above], nodes[label[above]]
-
-
-def _meet(fps: np.ndarray, flip: np.ndarray, stars: bool) -> tuple[np.ndarray, np.ndarray]:
+def _meet(fps: np.ndarray, flip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of the fingerprints that share a point."""
     points = fps ^ FLIPS[flip]
     order = np.argsort(points, kind="stable")
@@ -170,21 +153,11 @@ def _meet(fps: np.ndarray, flip: np.ndarray, stars: bool) -> tuple[np.ndarray, n
     linked = (centre < len(points)) & (centre != np.arange(len(points)))
     a, b = fps[linked], fps[centre[linked]]
     close = np.bitwise_count(a ^ b) <= RADIUS
-    a, b = a[close], b[close]
-    if not stars:
-        return _roots(a, b)
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    fresh = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)]
-    return a[fresh], b[fresh]
+    return local_roots(a[close], b[close])
 
 
-def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp", stars: bool = False) -> DataFrame:
-    """Links ``a``, ``b`` that connect all distinct fingerprints at ``RADIUS`` bits or fewer, directly or through others.
-
-    With ``stars``, all links between fingerprints and the centres of their points, each at ``RADIUS`` bits or fewer.
-    """
+def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp") -> DataFrame:
+    """Links ``a``, ``b`` that connect all distinct fingerprints at ``RADIUS`` bits or fewer, directly or through others."""
     spark = distinct.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = max(LEAST_BUCKETS, parts, math.ceil(n_fingerprints * (len(FLIPS) + NEAR) / 2 / BUCKET_POINTS))
@@ -208,7 +181,7 @@ def links(distinct: DataFrame, n_fingerprints: int, fp_col: str = "fp", stars: b
     def meet(table: pa.Table) -> pa.Table:
         # in order, so that points agree on a centre and most links of a group are the same few
         fps = np.sort(np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64))
-        a, b = _meet(*_points(fps, table.column("bucket")[0].as_py(), bits), stars)
+        a, b = _meet(*_points(fps, table.column("bucket")[0].as_py(), bits))
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     points = distinct.select(fp_col).mapInArrow(deal, "bucket long, fps binary")
@@ -234,182 +207,18 @@ def near_duplicates(
     return one.join(ids, "fp").select(id_col, "fp", "component_id")
 
 
-#: For whole documents in a pipeline: words of a shingle, documents of the sample that orders shingles, least count there of a
-#: shingle that counts as common and most of these, documents whose shingles are dealt out together, shingles that a bucket
-#: should hold, and rounds of stars before all pairs that are left.
-SHINGLE, SAMPLE, COMMON, MOST_COMMON, DEALT, BUCKET_SHINGLES, ROUNDS = 5, 50_000, 4, 200_000, 2048, 2_000_000, 2
-_MEMBER = np.dtype([("key", "<u4"), ("node", "<u8")])
-
-
-def _words(text: str | None) -> list[bytes]:
-    return ("" if text is None else text).encode("utf-8", "surrogatepass").lower().split()
-
-
-def shingles(text: str | None) -> np.ndarray:
-    """The distinct hashes of a text's five-word shingles, in order; of all words where there are fewer."""
-    return np.unique(_hashes(_words(text), SHINGLE))
-
-
-def alike(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets have a similarity (shared shingles by all shingles) of 0.8 or more."""
-    return 9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b))
-
+def one_of_each(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicates``: the one with the smallest id; all columns stay.
 
-def _prefix(found: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first fifth of a set and one more, rare shingles first.
-
-    Two sets at 0.8 or more share one of these under any order that is the same for all sets; the order decides only how many others do.
-    """
-    if not len(found):
-        return found
-    known, counts = common
-    seen = np.zeros(len(found), np.int64)
-    if len(known):
-        place = np.minimum(np.searchsorted(known, found), len(known) - 1)
-        seen = np.where(known[place] == found, counts[place], 0)
-    return found[np.lexsort((found, seen))[: len(found) // 5 + 1]]
-
-
-def _common(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that a sample of the documents repeats, and their counts there."""
-    sample = texts.where(F.pmod(F.xxhash64("row"), F.lit(max(1, n // SAMPLE))) == 0).select("text")
-
-    def run(batches):
-        for batch in batches:
-            for t in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(t.as_py()).view(np.int64))], ["key"])
-
-    counts = sample.mapInArrow(run, "key long").groupBy("key").count().where(F.col("count") >= COMMON)
-    top = counts.orderBy(F.desc("count"), "key").limit(MOST_COMMON).collect()  # MOST_COMMON rows at most
-    found = np.array([r["key"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(found)
-    return found[order], np.array([r["count"] for r in top], np.int64)[order]
-
-
-def _shared(signed: DataFrame, n_shingles: int) -> DataFrame:
-    """``key`` and ``node`` of the prefix shingles that two or more nodes have."""
-    parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = (max(LEAST_BUCKETS, parts, math.ceil(n_shingles / 5 / BUCKET_SHINGLES)) - 1).bit_length()
-
-    def rows(nodes, prefixes):
-        keys = np.concatenate(prefixes)
-        owner = np.repeat(np.array(nodes, np.int64).view(np.uint64), [len(p) for p in prefixes])
-        # a part of the hash is enough as a key: keys that agree by chance only bring a pair more to be checked
-        bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        members = np.empty(len(keys), _MEMBER)
-        members["key"], members["node"] = keys[order].astype(np.uint32), owner[order]
-        bucket = bucket[order]
-        bounds = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
-        made = [members[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[np.array(bounds[:-1], np.int64)]), pa.array(made, pa.binary())], ["bucket", "members"])
-
-    def deal(batches):
-        nodes, prefixes = [], []
-        for batch in batches:
-            for node, prefix in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                nodes.append(node)
-                prefixes.append(np.frombuffer(prefix.as_py(), np.uint64))
-                if len(nodes) == DEALT:
-                    yield rows(nodes, prefixes)
-                    nodes, prefixes = [], []
-        if nodes:
-            yield rows(nodes, prefixes)
-
-    def meet(table: pa.Table) -> pa.Table:
-        members = np.unique(np.frombuffer(b"".join(table.column("members").to_pylist()), _MEMBER))
-        same = members["key"][1:] == members["key"][:-1]
-        members = members[np.concatenate((same, [False])) | np.concatenate(([False], same))]
-        key = members["key"].astype(np.int64) | (table.column("bucket")[0].as_py() << 32)
-        return pa.table({"key": key, "node": np.ascontiguousarray(members["node"]).view(np.int64)})
-
-    return signed.select("node", "prefix").mapInArrow(deal, "bucket long, members binary").groupBy("bucket").applyInArrow(meet, "key long, node long")
-
-
-def _tested(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a``, ``b`` and ``linked``: whether their texts are alike."""
-
-    def test(batches):
-        last, sets = None, None
-        for batch in batches:
-            out = []
-            for x, s, t in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if x != last:
-                    last, sets = x, shingles(s.as_py())
-                out.append(alike(sets, shingles(t.as_py())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.bool_())], ["a", "b", "linked"])
-
-    both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(test, "a long, b long, linked boolean")
-
-
-def near_links(shared: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` at 0.8 or more that connect all nodes of ``shared`` that are so alike, directly or through others.
-
-    Every pair of nodes with a common key is linked, refuted by its texts or lengths, or already connected.  First each key's nodes are
-    tested against one of them, which settles groups of copies by a row for each node; then all pairs of a key that are
-    not connected yet.
-    """
-    sized = written(shared.join(nodes.select("node", "n"), "node"), "members")
-    done, roots = None, None
-    fits = lambda x, y: (5 * F.col(x) >= 4 * F.col(y)) & (5 * F.col(y) >= 4 * F.col(x))
-    for k in range(ROUNDS + 1):
-        now = sized.withColumn("root", F.col("node")) if roots is None else sized.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # keys whose nodes are all connected are settled
-        heads = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "root")).alias("c"))
-        open_keys = heads.where("low < high").select("key", "low", F.col("c.node").alias("cnode"), F.col("c.n").alias("cn"), F.col("c.root").alias("croot"))
-        left = written(now.join(open_keys, "key"), "open")
-        if k < ROUNDS:
-            met = left.where((F.col("root") != F.col("croot")) & fits("n", "cn")).select(F.least("node", "cnode").alias("a"), F.greatest("node", "cnode").alias("b"))
-        else:
-            # of two nodes that are not connected, one at least is not connected to the lowest root
-            one = left.where("root <> low").select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xroot"))
-            other = left.select("key", "node", "n", "root")
-            met = one.join(other, "key").where((F.col("root") != F.col("xroot")) & fits("n", "xn")).select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-        met = met.distinct()
-        pairs = written(met if done is None else met.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        mine = texts.join(nodes.join(wanted, "node", "left_semi").select("node", F.col("first.row").alias("row")), "row").select("node", "text")
-        tested = written(_tested(pairs, mine), "tested")
-        done = tested if done is None else done.unionAll(tested)
-        if k < ROUNDS:
-            roots = written(components(done.where("linked").select("a", "b")), "roots")
-    return done.where("linked").select("a", "b")
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies: the one with the smallest id; all columns stay.
-
-    Two documents are near copies when the sets of their five-word shingles have a similarity of 0.8 or more, computed from the texts;
-    groups are the components of these links.  Candidates come from an exact prefix filter: two such sets share one
-    of the first fifth (and one more) of their shingles under one order of all shingles.  Texts of the same words (by 64 bits of a hash)
-    are one node.  Repeated rows are copies of each other, null ids come after all others, and texts without a word are copies of each other.
+    Repeated rows are copies of each other and null ids come after all others.  Texts without a word, null ones too, share the fingerprint
+    zero and are linked like any others.  An empty table gives an empty one.
     """
     # whole rows lie in one column, so no name of theirs can clash, and a number tells repeated rows apart
     rows = written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
-    texts = rows.select("row", F.col(f"doc.`{text_col}`").alias("text"))
-    slim = rows.select("row", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("text"))
-    kind = slim.schema["id"].dataType.simpleString()
-    common = rows.sparkSession.sparkContext.broadcast(_common(texts, rows.count()))
-
-    def sign(batches):
-        for batch in batches:
-            node, n, prefix = [], [], []
-            for t in batch.column(2):
-                found = _words(t.as_py())
-                mine = np.unique(_hashes(found, SHINGLE))
-                node.append(xxhash.xxh3_64_intdigest(b" ".join(found)))
-                n.append(len(mine))
-                prefix.append(_prefix(mine, common.value).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(prefix, pa.binary())],
-                ["row", "id", "node", "n", "prefix"],
-            )
-
-    signed = written(slim.mapInArrow(sign, f"row long, id {kind}, node long, n long, prefix binary"), "signatures")
+    found = written(near_duplicates(rows.select("row", F.col(f"doc.`{text_col}`").alias("text")), words, seed, "row", "text").select("row", "component_id"), "groups")
+    ids = rows.select("row", F.col(f"doc.`{id_col}`").alias("id"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
-    nodes = written(signed.groupBy("node").agg(first, F.min("n").alias("n")), "nodes")
-    total = signed.agg(F.sum("n")).first()[0] or 0
-    roots = components(near_links(_shared(signed, total), nodes, texts))
-    firsts = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
-    return rows.join(firsts.select("first.row"), "row", "left_semi").select("doc.*")
+    firsts = found.join(ids, "row").groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
+    # what goes is the smaller side of the join with the texts
+    gone = written(found.join(firsts, "row", "left_anti").select("row"), "gone")
+    return rows.join(gone, "row", "left_anti").select("doc.*")

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 from tests.llm.cases import TEXTS, documents
+from tests.llm.test_simhash import copies_of
 
 
 def test_stages_take_effect(spark, tmp_path):
@@ -12,7 +13,7 @@ def test_stages_take_effect(spark, tmp_path):
     text = lambda: " ".join(f"the {w} of {v} and" for w, v in zip(rng.choices(words, k=60), rng.choices(words, k=60), strict=True))
     base, leak = [text() for _ in range(20)], " ".join(rng.choices(words, k=40))
     rows = [(100 + k, t) for k, t in enumerate(base)]
-    rows += [(200, base[0]), (201, base[1].replace(base[1].split()[50], "changed", 1)), (202, "### " * 50), (203, f"{text()} {leak} {text()}"), (204, f"{text()} token = 'abcdefghijklmnop1234' {text()}")]
+    rows += [(200, base[0]), (201, copies_of(rng, base[1], 2)), (202, "### " * 50), (203, f"{text()} {leak} {text()}"), (204, f"{text()} token = 'abcdefghijklmnop1234' {text()}")]
     docs = documents(spark, [*rows, *TEXTS[1:4]])
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(0, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
