@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmart.llm import bpe, chat, decontaminate, html_text, pii, quality, secret_scan, simhash, token_files, url_filter
+from strandmart.llm import (
+    bpe, chat, decontaminate, filter_audit, hard_negatives, html_text, pii, pstable, quality, secret_scan, simhash, token_files, url_filter
+)
 from strandmart.llm.tables import new_folder, shipped
 from strandmart.session import tune
 
@@ -188,3 +190,96 @@ def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return made.select("doc_id", "text", *(count(kind) for kind in pii.KINDS))
+
+
+GOOD_VECTORS = "label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+NEGATIVES_SQL = f"""
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE {GOOD_VECTORS}),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor's positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+VECTOR_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+         embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE a.usable AND b.usable AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (SELECT vec_id, vec_id AS node FROM vectors UNION SELECT vec_id, b FROM reached JOIN links ON node = a),
+lowest AS (SELECT vec_id, min(node) AS component_id FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM lowest LEFT JOIN counts USING (vec_id)
+"""
+
+
+@query("op12_embedding_near_duplicates", VECTOR_SQL)
+def op12_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, and whether it is its component's first."""
+    found = pstable.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS body, coalesce(lang, '') AS part,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS words
+  FROM documents),
+masks AS (
+  SELECT part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+                100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body), regexp_matches(body, '[#$%&*|]'),
+                coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false)] AS fails,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS bad
+  FROM texts),
+codes AS (SELECT part, fails, good, bad, count(*) AS n FROM masks GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step FROM orders),
+met AS (
+  SELECT part, filter_order, step, n, good, bad, substr(filter_order, step, 1) AS filter, fails[instr('ABCDE', substr(filter_order, step, 1))] AS failed,
+         len(list_filter(range(1, step), lambda k: fails[instr('ABCDE', substr(filter_order, CAST(k AS INTEGER), 1))])) > 0 AS gone,
+         len(list_filter(fails, lambda x: x)) = 1 AS once
+  FROM codes, steps),
+counted AS (
+  SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0) AS kept, coalesce(sum(n) FILTER (failed AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (failed AND gone), 0) AS redundant, coalesce(sum(n) FILTER (failed AND once), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (failed AND NOT gone AND good), 0) AS good_lost, coalesce(sum(n) FILTER (failed AND NOT gone AND bad), 0) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, filter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter does at each step of every order, by language."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
