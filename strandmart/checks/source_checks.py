@@ -99,20 +99,22 @@ def _swap(t):
     return table.read()
 
 
-@check("load_job", """
+LOADED = """
 SELECT CAST(o_orderkey AS VARCHAR) AS session_id, 'L' || CAST(o_custkey AS VARCHAR) AS id_library, 'R' || CAST(o_orderkey AS VARCHAR) AS id_repository,
   CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' THEN 'second' ELSE 'first' END AS status,
   CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN '2025-01-01' ELSE '2025-01-02' END AS created_at,
   CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' THEN '2025-01-02' ELSE '2025-01-01' END AS updated_at
 FROM orders
-""")
-def _load(t):
+"""
+
+
+def loaded(t, table):
     """Two days of files, columns in another order on the second and every row sent twice, upserted by specification."""
     from strandmart.plans.load import load
     from strandmart.plans.silver import SPECS as SILVER
     from strandmart.plans.upserts import SPECS as KEYS
 
-    landing, table = scratch(t), tables.SwappedTable(t.spark, scratch(t))
+    landing = scratch(t)
     rows = t["orders"].select(
         F.col("o_orderkey").cast("string").alias("session_id"), F.concat(F.lit("L"), F.col("o_custkey").cast("string")).alias("experiment_name"),
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("biosample_name"), "o_orderdate",
@@ -129,6 +131,11 @@ def _load(t):
     return table.read()
 
 
+@check("load_job", LOADED)
+def _load(t):
+    return loaded(t, tables.SwappedTable(t.spark, scratch(t)))
+
+
 @check("append_log", """
 SELECT strftime(ts, '%Y-%m-%d') AS log_date, count(*) AS ct, count(DISTINCT user_id) AS users FROM events GROUP BY 1
 """)

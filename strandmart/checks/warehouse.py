@@ -6,11 +6,14 @@ tables.  Every table grows with the test data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
 from strandmart.functions import rules
+from strandmart.plans.steps import Steps
+from strandmart.session import shared_folder
 
 
 def s(expr: str) -> str:
@@ -156,7 +159,7 @@ WAREHOUSE = {
     "staging_pgx_report_status": f"""SELECT 'F' || {L} || '-' || {s('l_linenumber')} AS file_name, 'C' || {L} AS id_repository, CASE WHEN l_linenumber = 7 THEN NULL ELSE {L_TIME} END AS input_creation_date, CASE WHEN l_partkey % 5 = 0 THEN 'nan' ELSE 'e' || {s('l_partkey')} END AS report_path_eng,
         CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_shipdate END AS eng_report_creation_date, 'i' || {s('l_partkey')} AS report_path_ind, CASE WHEN l_suppkey % 2 = 0 THEN NULL ELSE l_shipdate END AS ind_report_creation_date FROM lineitem""",
     "gold_pgx_report": f"""SELECT 'C' || {O} AS id_repository, 'AAA' || {C} AS id_subject, 'F' || {O} AS file_name, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE {O_TIME} END AS ind_report_creation_date, CASE WHEN o_orderkey % 6 < 2 THEN NULL ELSE o_orderdate END AS eng_report_creation_date FROM orders""",
-    "staging_simbiox_transfer": f"""SELECT 'S' || {L} AS biosample_id, 'F' || {s('l_partkey')} AS id, 'No' AS nomor_formulir, CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS tanggal_formulir, CASE WHEN l_suppkey % 5 = 0 THEN 'Biobank Pusat' ELSE 'Biobank X' END AS biobank_asal,
+    "staging_simbiox_transfer": f"""SELECT 'S' || {L} AS biosample_id, 'F' || {s('l_partkey')} || '.' || {s('l_linenumber')} AS id, 'No' AS nomor_formulir, CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS tanggal_formulir, CASE WHEN l_suppkey % 5 = 0 THEN 'Biobank Pusat' ELSE 'Biobank X' END AS biobank_asal,
         'Biobank Y' AS biobank_tujuan, CAST(l_shipdate AS DATE) AS tanggal_pengiriman, '08' AS waktu_pengiriman, '4' AS suhu_pengiriman, 'k' AS keterangan_pengiriman, 's' AS status_pengiriman, 'p' AS petugas_pengirim, CAST(l_shipdate AS DATE) AS tanggal_penerimaan, '09' AS waktu_penerimaan, '5' AS suhu_penerimaan,
         'r' AS keterangan_penerimaan, 'q' AS status_penerimaan, 'o' AS petugas_penerima, CASE WHEN l_returnflag = 'R' THEN 'Diterima' ELSE 'Dikirim' END AS status_transfer_name, CAST(l_linenumber % 2 AS INT) AS tujuan_is_biobank, 'n' AS non_biobank_nama, 't' AS triple_packaging, CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE 0 END AS is_to_central_seq FROM lineitem""",
     "gold_simbiox_transfer": f"""SELECT CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE 'S' || {L} END AS biosample_id, 'No' || {s('l_partkey')} AS nomor_formulir, CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE {L_TIME} END AS tanggal_formulir, 'st' AS status_transfer_name, 'a' AS biobank_asal, 'b' AS biobank_tujuan,
@@ -185,6 +188,7 @@ class DerivedTables(Mapping[str, DataFrame]):
     def __init__(self, inputs):
         self._inputs = inputs
         self._frames: dict[str, DataFrame] = {}
+        self.steps = Steps(inputs.spark, f"{shared_folder(inputs.spark)}/steps-{uuid.uuid4().hex}")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,34 +22,25 @@ def last_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return latest_by(source, keys, order)
 
 
-def upsert(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    keep: Sequence[str],
-    order: Sequence[str],
-    stamp: tuple[str, Column] | None = None,
-) -> DataFrame:
-    """Target after the batch: matched rows take every source column except keys
-    and ``keep``; unmatched source rows are added.
-
-    A small batch never moves the target: the target is left-joined to the
-    batch, and new keys are found by an anti join against the target keys the
-    batch touches, which are few.  Each time the batch is the side Spark may
-    broadcast after measuring it.  Of the batch's rows with one key the last in
-    ``order`` counts.  ``stamp`` is set on matched rows only.
-    """
-    columns = list(target.columns)
+def as_batch(
+    source: DataFrame, kinds: Mapping[str, str], keys: Sequence[str], order: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """The last row per key in the target's columns and types, and the columns that the source lacks (null there)."""
     batch = last_per_key(source, keys, order)
-    missing = [c for c in columns if c not in batch.columns]
-    kinds = dict(target.dtypes)
+    missing = [c for c in kinds if c not in batch.columns]
     batch = batch.withColumns({c: F.lit(None).cast(kinds[c]) for c in missing})
-    batch = batch.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in columns])
+    return batch.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in kinds.items()]), missing
+
+
+def merged(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], frozen: Collection[str], stamp: tuple[str, Column] | None = None
+) -> DataFrame:
+    """Target after a batch with one row per key: matched rows take all columns but ``frozen`` ones, the others are added."""
+    columns, kinds = list(target.columns), dict(target.dtypes)
     incoming = batch.withColumnsRenamed({c: f"_n_{c}" for c in columns}).withColumn("_hit", F.lit(True))
     new_keys = [f"_n_{k}" for k in keys]
 
     joined = target.join(incoming, _same(keys, new_keys), "left")
-    frozen = {*keys, *keep, *missing}
     hit = F.col("_hit").isNotNull()
     updated = []
     for c in columns:
@@ -70,6 +61,29 @@ def upsert(
     return joined.select(*updated).unionByName(fresh.select(*columns))
 
 
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    keep: Sequence[str],
+    order: Sequence[str],
+    stamp: tuple[str, Column] | None = None,
+) -> DataFrame:
+    """Target after the batch: matched rows take every source column except keys
+    and ``keep``; unmatched source rows are added.
+
+    A small batch never moves the target: the target is left-joined to the
+    batch, and new keys are found by an anti join against the target keys the
+    batch touches, which are few.  Each time the batch is the side Spark may
+    broadcast after measuring it.  Of the batch's rows with one key the last in
+    ``order`` counts.  ``stamp`` is set on matched rows only.
+
+    This plan reads and returns the whole target; ``IndexedTable`` rewrites only the parts that a batch touches.
+    """
+    batch, missing = as_batch(source, dict(target.dtypes), keys, order)
+    return merged(target, batch, keys, {*keys, *keep, *missing}, stamp)
+
+
 def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the source whose key the target lacks (first row per key)."""
     batch = latest_by(source, keys, [])

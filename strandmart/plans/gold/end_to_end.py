@@ -7,6 +7,7 @@ from strandmart.functions.dates import calendar_years
 from strandmart.functions.text import regexp_or_null
 from strandmart.operators.aggregates import flagged_keys
 from strandmart.operators.joins import left_on, lookup
+from strandmart.plans.steps import once
 
 PEOPLE = {
     "id_subject": "string", "age_at_recruitment": "bigint", "sex": "string", "hospital_name": "string",
@@ -69,9 +70,11 @@ def _registry_b(tables):
 
 
 def run(tables):
-    people = _registry_a(tables).unionByName(_registry_b(tables))
+    # Both sides are small beside what they are made of; written, their sizes are known to the joins below.
+    people = once(tables, "people", _registry_a(tables).unionByName(_registry_b(tables)))
     samples = ["code_repository", "patient_categ", "is_buffycoat", "is_plasma", "is_sputum", "is_whole_blood"]
-    out = left_on(people, biobank_samples(tables), {"id_subject": "id_subject"}, samples)
+    kept = once(tables, "samples", biobank_samples(tables).select("id_subject", *samples))
+    out = left_on(people, kept, {"id_subject": "id_subject"}, samples)
     analysed = tables["gold_qc"].filter(F.col("id_subject").isNotNull()).select(
         "id_subject", "sequencer",
         F.when(F.col("qc_strict_status") == "Pass", 1).otherwise(0).alias("is_qc_secondary_analysed"),

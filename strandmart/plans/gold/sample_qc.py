@@ -9,6 +9,7 @@ from strandmart.operators.aggregates import group_totals
 from strandmart.operators.joins import left_on
 from strandmart.operators.ranking import latest_by
 from strandmart.operators.shape import union_padded
+from strandmart.plans.steps import once
 
 PLATFORMS = (("MGI", "staging_mgi_sec"), ("Illumina", "staging_illumina_sec"), ("ONT", "staging_ont_sec"))
 SHARED = (
@@ -90,6 +91,8 @@ def with_batch_check(df):
 
 
 def run(tables, run_ts):
-    labelled = qc_rules.add_qc_labels(with_batch_check(unified(tables)))
+    # The batch check reads the samples twice: for the counts of a library, and for the rows that get them.
+    samples = once(tables, "qc_samples", unified(tables))
+    labelled = qc_rules.add_qc_labels(with_batch_check(samples))
     return labelled.select(*COLUMNS, F.lit(run_ts).cast("timestamp").alias("updated_at"))
 

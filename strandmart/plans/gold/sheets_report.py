@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from strandmart.functions.rules import registry_status
 from strandmart.operators.joins import left_on
-from strandmart.operators.ranking import first_flag
+from strandmart.plans.steps import numbered
 
 SHEET = (
     "platform extraction_status libprep_status sequencing_finish_date sequencing_status volume_remain "
@@ -26,15 +26,18 @@ def run(tables):
         rows = left_on(rows, tables[registry], {"id_subject": "id_subject"}, {"id_subject": f"_id{i}"})
     rows = rows.withColumn("registry_status", registry_status("_id0", "_id1")).drop("_id0", "_id1")
 
+    # The first row of a code is a map-side combined minimum, ties by all columns and then by the row's number.
+    columns = rows.columns
+    rows = numbered(tables, "sheet_rows", rows)
+    keys, order = ["platform", "origin_code_repository"], ["extraction_status", "extraction_date"]
     # Rows without an origin code are never duplicates, so they skip the ranking.
     coded = rows.filter(F.col("origin_code_repository").isNotNull())
-    plain = rows.filter(F.col("origin_code_repository").isNull())
-    flagged = first_flag(
-        coded, ["platform", "origin_code_repository"], ["extraction_status", "extraction_date"], "_first"
-    )
-    mark = F.when(~F.col("_first"), "Duplicate")
-    out = flagged.withColumn("duplicate_origin_code_repo_status", mark).drop("_first")
-    out = out.unionByName(plain.withColumn("duplicate_origin_code_repo_status", F.lit(None).cast("string")))
+    plain = rows.filter(F.col("origin_code_repository").isNull()).drop("_row")
+    place = F.struct(*order, *[c for c in columns if c not in (*keys, *order)], "_row")
+    firsts = coded.groupBy(*keys).agg(F.min(place).getField("_row").alias("_first")).select(F.col("_first"))
+    out = coded.join(firsts, F.col("_row") == F.col("_first"), "left")
+    out = out.withColumn("duplicate_origin_code_repo_status", F.when(F.col("_first").isNull(), "Duplicate"))
+    out = out.drop("_row", "_first").unionByName(plain.withColumn("duplicate_origin_code_repo_status", F.lit(None).cast("string")))
     return out.select(
         "platform", "code_repository", *SHEET[1:], "registry_status", "id_subject", "origin_code_repository",
         "duplicate_origin_code_repo_status",

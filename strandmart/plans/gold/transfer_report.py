@@ -6,6 +6,7 @@ from strandmart.functions import rules
 from strandmart.functions.dates import age_years, fix_birth_century, month_name
 from strandmart.operators.joins import left_on, lookup
 from strandmart.operators.shape import union_padded
+from strandmart.plans.steps import once
 from strandmart.plans.staging.biobank_samples import visit_categories
 from strandmart.plans.staging.transfers import COLUMNS
 
@@ -44,13 +45,17 @@ def people(tables):
     return both.select("id_subject", "registry_sex", age_years("birth_date", "creation_date").alias("age_at_recruitment"))
 
 
+def patients(tables):
+    """Patients with biobank and registry data: a step, as transfers and survey samples both read it."""
+    rows = tables["simbiox_patients"].select(F.col("id_patient").alias("_patient"), "id_subject", F.col("id_biobank").alias("_biobank"))
+    rows = lookup(rows, tables["master_biobank"], {"_biobank": "id_biobank"}, {"biobank_nama": "patient_biobank"})
+    rows = left_on(rows, people(tables), {"id_subject": "id_subject"}, ["registry_sex", "age_at_recruitment"])
+    return once(tables, "patients", rows.drop("_biobank"))
+
+
 def _subject(df, tables):
-    df = left_on(
-        df, tables["simbiox_patients"], {"id_patient": "id_patient"},
-        {"id_patient": "_patient", "id_subject": "id_subject", "id_biobank": "_biobank"},
-    )
-    df = lookup(df, tables["master_biobank"], {"_biobank": "id_biobank"}, {"biobank_nama": "patient_biobank"})
-    return left_on(df, people(tables), {"id_subject": "id_subject"}, ["registry_sex", "age_at_recruitment"])
+    taken = ["id_subject", "patient_biobank", "registry_sex", "age_at_recruitment"]
+    return left_on(df, patients(tables), {"id_patient": "_patient"}, {"_patient": "_patient", **{c: c for c in taken}})
 
 
 def transfers(tables):
@@ -64,7 +69,7 @@ def transfers(tables):
     return rows.withColumns(
         {f"year_{d}": F.year(f"tanggal_{d}") for d in DATES}
         | {f"month_{d}": month_name(f"tanggal_{d}") for d in DATES}
-    ).drop("_patient", "_biobank", "id_patient")
+    ).drop("_patient", "id_patient")
 
 
 def first_origin(rows):
@@ -89,7 +94,7 @@ def survey_rows(tables):
         F.col("origin_code_repository").ilike("SKI%") | F.col("code_repository").ilike("SKI%")
     )
     samples = samples.select(F.col("id").alias("biosample_id"), "id_patient", "code_repository", "origin_code_repository")
-    rows = _subject(samples, tables).drop("_patient", "_biobank", "id_patient")
+    rows = _subject(samples, tables).drop("_patient", "id_patient")
     day = F.lit(SURVEY_DAY).cast("date")
     return rows.withColumns(
         {c: F.lit(v) for c, v in SURVEY_FORM.items()}
@@ -101,7 +106,7 @@ def survey_rows(tables):
 
 
 def run(tables):
-    rows = transfers(tables)
+    rows = once(tables, "transfers", transfers(tables))
     rows = left_on(
         rows, first_origin(rows), {"biosample_id": "biosample_id", "id": "id"}, ["origin_code_repository_non_dup"]
     )

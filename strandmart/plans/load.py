@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from strandmart.plans.silver import SilverSpec, silver
-from strandmart.plans.upserts import UpsertSpec, apply_upsert
+from strandmart.plans.upserts import UpsertSpec, match_rules
 from strandmart.sources.bronze import ROW_ORDER, read_bronze_multi, with_row_order
 from strandmart.sources.tables import SwappedTable
 
@@ -33,12 +33,13 @@ def load(
 ) -> bool:
     """Bring the files of one date into the current table; False where the date has no file.
 
-    Of rows with one key the last one in the files counts, as if they had been sent one by one.
+    Of rows with one key the last one in the files counts, as if they had been sent one by one.  With an ``IndexedTable`` only the
+    files that hold keys of the batch are written again.
     """
     raw = read_bronze_multi(spark, landing, ds, columns)
     if raw.isEmpty():
         return False
     batch = silver_batch(raw, spec, run_ts)
-    old = target.read() if target.exists() else batch.drop(ROW_ORDER).limit(0)
-    target.write(apply_upsert(keys, old, batch, run_ts, (ROW_ORDER,)), version)
+    keep, stamp = match_rules(keys, batch.columns, run_ts)
+    target.upsert(batch, version, keys.keys, keep, (ROW_ORDER,), stamp)
     return True

@@ -27,6 +27,7 @@ from strandmart.plans.staging import (
     survey_alias,
     transfers,
 )
+from strandmart.plans.steps import Steps
 from strandmart.settings import Settings
 from strandmart.sources.tables import SwappedTable
 
@@ -41,6 +42,7 @@ class Warehouse(MutableMapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, root: str, given: Mapping[str, DataFrame], version: str):
         self.spark, self.root, self.version = spark, root, version
         self._frames = dict(given)
+        self.steps = Steps(spark, f"{root}/_steps/{version}")
 
     def _table(self, name: str) -> SwappedTable:
         return SwappedTable(self.spark, f"{self.root}/{name}")
@@ -57,6 +59,8 @@ class Warehouse(MutableMapping[str, DataFrame]):
         table = self._table(name)
         table.write(df, self.version)
         self._frames[name] = table.read()
+        # the model's output stands in files now; nothing reads its steps any more
+        self.steps.drop()
 
     def __delitem__(self, name: str) -> None:
         del self._frames[name]

@@ -483,12 +483,27 @@ def _open(answers: Column) -> Column:
     return F.flatten(F.transform(answers, inner))
 
 
+def nesting(text: Column | str) -> Column:
+    """How deep the braces of a JSON text go: a running count over the braces outside its strings, in one pass."""
+    bare = F.regexp_replace(text, r"(?s)\\.", "")
+    braces = F.regexp_replace(F.regexp_replace(bare, r'"[^"]*+"', ""), r"[^{}]+", "")
+
+    def step(seen, brace):
+        now = seen["now"] + F.when(brace == "{", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
+
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    chars = F.when(F.length(braces) > 0, F.split(braces, "")).otherwise(F.array().cast("array<string>"))
+    return F.aggregate(chars, start, step, lambda seen: seen["most"])
+
+
 def _leaves(answers: DataFrame) -> DataFrame:
     """(…, path, value) for every answer, nested objects as dotted paths.
 
-    Levels are opened inside the row, only while there is an object, as often as
-    the text has opening braces, and rows are made once at the end.  A text that
-    is no object comes out whole under the path ``UNREAD``.
+    Levels are opened inside the row, as many as the braces outside strings are deep, and rows are made once at the end: time grows with the
+    text's length times its depth, not with the number of its objects.  A text that is no object, or is nested deeper than the JSON parser
+    goes (1,000 levels), comes out whole under the path ``UNREAD``.  Dots in names stay as they are, so two answers may
+    have one path (``{"a.b": {"c": 1}, "a": {"b.c": 2}}`` gives two rows of ``a.b.c``).
     """
     base = [c for c in answers.columns if c != "_json"]
 
@@ -496,8 +511,8 @@ def _leaves(answers: DataFrame) -> DataFrame:
         nested = F.exists(entries, lambda e: _is_object(e["value"]))
         return F.when(nested, _open(entries)).otherwise(entries)
 
-    depth = F.greatest(F.length("_json") - F.length(F.replace("_json", F.lit("{"), F.lit(""))), F.lit(1))
-    opened = F.aggregate(F.sequence(F.lit(1), depth), _entries(F.col("_json")), level)
+    entries, depth = _entries(F.col("_json")), nesting("_json")
+    opened = F.when(depth > 1, F.aggregate(F.sequence(F.lit(2), depth), entries, level)).otherwise(entries)
     unread = F.array(F.struct(F.lit(UNREAD).alias("key"), F.col("_json").alias("value")))
     rows = answers.select(*base, F.explode(F.when(F.col("_json").isNotNull(), F.coalesce(opened, unread))).alias("e"))
     return rows.select(*base, F.col("e.key").alias("path"), F.col("e.value").alias("value"))

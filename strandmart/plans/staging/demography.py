@@ -16,6 +16,7 @@ from strandmart.operators.aggregates import concat_distinct, distinct_text, sort
 from strandmart.operators.joins import anti_null_safe, anti_on, left_on, lookup, semi_on
 from strandmart.operators.ranking import latest_by
 from strandmart.operators.shape import union_padded
+from strandmart.plans.steps import once
 from strandmart.settings import Settings
 
 # Form names and answer paths.
@@ -179,7 +180,7 @@ def same_name_and_id(people: DataFrame) -> DataFrame:
 
 def all_persons(tables) -> DataFrame:
     """Both registries; a subject that moved counts once, under the older registry."""
-    a, b = registry_a_persons(tables), registry_b_persons(tables)
+    a, b = registry_a_persons(tables), once(tables, "registry_b", registry_b_persons(tables))
     merged = left_on(
         a, b, {"phenovar_id_subject": "phenovar_id_subject"},
         {"nomor_ec": "_ec", "judul_penelitian": "_title"},
@@ -191,6 +192,7 @@ def all_persons(tables) -> DataFrame:
 
     only_b = anti_on(b, moved_subjects(tables), "phenovar_id_subject", "phenovar_id_subject")
     only_b = left_on(only_b, registry_b_types(tables), {"phenovar_id_subject": "id_subject"}, ["participant_type"])
+    only_b = once(tables, "only_registry_b", only_b)
     only_b = left_on(
         only_b, same_name_and_id(only_b), {"nik": "nik", "full_name": "full_name"}, ["duplicate_name_nik_id_subject"]
     )
@@ -201,7 +203,7 @@ def subjects(tables) -> DataFrame:
     """Subjects with age, exclusion and all their clearances as one text."""
     people = all_persons(tables)
     # An exclusion may name either id: two joins on unique keys instead of a join with OR.
-    reasons = tables["demography_exclusion"].groupBy("id_subject").agg(F.min("reason").alias("reason"))
+    reasons = once(tables, "exclusions", tables["demography_exclusion"].groupBy("id_subject").agg(F.min("reason").alias("reason")))
     for i, column in enumerate(("regina_id_subject", "phenovar_id_subject")):
         people = left_on(
             people, reasons, {column: "id_subject"}, {"id_subject": f"_hit{i}", "reason": f"_reason{i}"}
@@ -243,26 +245,25 @@ def _flags():
     return {n: rules.specimen_flag("specimen_type_name", w) == 1 for n, w in rules.SPECIMENS.items()}
 
 
-def specimen_counts(rows: DataFrame) -> DataFrame:
-    """Rows per specimen and all origin codes, in one aggregation."""
-    counts = [F.count_if(flag).cast("bigint").alias(f"count_{n}") for n, flag in _flags().items()]
-    codes = distinct_text("origin_code_repository", "; ").alias("origin_code_repository")
-    return rows.groupBy("id_subject").agg(*counts, codes)
+def biobank_subjects(rows: DataFrame) -> DataFrame:
+    """Rows per specimen, all origin codes, and whether the subject takes part at one of the two tuberculosis biobanks, in one aggregation.
 
-
-def tb_participants(rows: DataFrame) -> DataFrame:
-    """Subjects of the two tuberculosis biobanks with a usable specimen, and their site."""
-    tb = rows.filter(F.col("biobank_nama").isin(*rules.TB_BIOBANKS) & (F.col("id_subject") != OTHER_SITE_SUBJECT))
+    Such a subject has a usable specimen there; ``tb_site`` is the hospital.
+    """
     flags = _flags()
+    tb = F.col("biobank_nama").isin(*rules.TB_BIOBANKS) & (F.col("id_subject") != OTHER_SITE_SUBJECT)
     usable = flags["plasma"] | flags["whole_blood"] | flags["buffycoat"]
-    chosen = tb.groupBy("id_subject").agg(F.min("biobank_nama").alias("biobank_nama"), F.count_if(usable).alias("n"))
-    return chosen.filter("n > 0").select(
-        "id_subject", rules.first_biobank_site("biobank_nama").alias("hospital_name")
+    grouped = rows.groupBy("id_subject").agg(
+        *[F.count_if(flag).cast("bigint").alias(f"count_{n}") for n, flag in flags.items()],
+        distinct_text("origin_code_repository", "; ").alias("origin_code_repository"),
+        F.min(F.when(tb, F.col("biobank_nama"))).alias("_biobank"), (F.count_if(tb & usable) > 0).alias("is_tb"),
     )
+    return grouped.withColumn("tb_site", F.when(F.col("is_tb"), rules.first_biobank_site("_biobank"))).drop("_biobank")
 
 
-def sites(tables, tb: DataFrame) -> DataFrame:
+def sites(tables, biobank: DataFrame) -> DataFrame:
     """Hospital, consent and site exclusion per subject, from three disjoint sources."""
+    tb = biobank.filter("is_tb").select("id_subject", F.col("tb_site").alias("hospital_name"))
     log = tables["regina_log"].filter(F.col("template_id") == DEMOGRAPHY_FORM).select("ehr_id", "logged_at", "hospital")
     log = anti_null_safe(log, tb, "ehr_id", "id_subject")
     first = latest_by(log, ["ehr_id"], [F.asc_nulls_first("logged_at")])
@@ -271,17 +272,15 @@ def sites(tables, tb: DataFrame) -> DataFrame:
         F.lit(False).alias("has_tiered_digital_consent"),
         F.coalesce(F.col("hospital").isin(*rules.TB_CODES), F.lit(False)).alias("is_excluded"),
     )
-    consents = tables["phenovar_digital_consent"]
-    from_tb = left_on(tb, consents, {"id_subject": "id_subject"}, {"id_subject": "_consent"}).select(
-        "id_subject", "hospital_name", F.lit(False).alias("has_tiered_digital_consent"), F.lit(False).alias("is_excluded")
-    )
     others = tables["phenovar_participants"].select("id_subject", "hospital_name")
     others = anti_null_safe(others, tb, "id_subject", "id_subject")
-    from_registry = left_on(others, consents, {"id_subject": "id_subject"}, {"id_subject": "_consent"}).select(
-        "id_subject", "hospital_name", F.col("_consent").isNotNull().alias("has_tiered_digital_consent"),
-        F.coalesce(F.col("hospital_name").isin(*rules.TB_HOSPITALS), F.lit(False)).alias("is_excluded"),
+    # both sources have a row for each consent of the subject
+    asked = others.withColumn("_tb", F.lit(False)).unionByName(tb.withColumn("_tb", F.lit(True)))
+    asked = left_on(asked, tables["phenovar_digital_consent"], {"id_subject": "id_subject"}, {"id_subject": "_consent"}).select(
+        "id_subject", "hospital_name", (F.col("_consent").isNotNull() & ~F.col("_tb")).alias("has_tiered_digital_consent"),
+        (F.coalesce(F.col("hospital_name").isin(*rules.TB_HOSPITALS), F.lit(False)) & ~F.col("_tb")).alias("is_excluded"),
     )
-    return from_log.unionByName(from_tb).unionByName(from_registry)
+    return from_log.unionByName(asked)
 
 
 def biobank_types(tables) -> DataFrame:
@@ -311,17 +310,16 @@ def with_target(df: DataFrame, central_site: str) -> DataFrame:
 
 def run(tables, settings: Settings) -> DataFrame:
     """``tables['gold_qc']`` is the snapshot of the previous run."""
-    rows = specimens(tables)
-    tb = tb_participants(rows)
+    biobank = once(tables, "biobank_subjects", biobank_subjects(specimens(tables)))
     by_subject = {"id_subject": "id_subject"}
     out = left_on(
-        subjects(tables), sites(tables, tb), by_subject,
+        subjects(tables), sites(tables, biobank), by_subject,
         {"hospital_name": "hospital_name", "has_tiered_digital_consent": "has_tiered_digital_consent",
          "is_excluded": "_site_excluded"},
     )
     out = left_on(out, biobank_types(tables), by_subject, {"participant_type": "biobank_participant_type"})
     counts = [f"count_{n}" for n in ("buffycoat", "plasma", "whole_blood", "serum", "sputum")]
-    out = left_on(out, specimen_counts(rows), by_subject, [*counts, "origin_code_repository"])
+    out = left_on(out, biobank, by_subject, [*counts, "origin_code_repository"])
     states = ["is_wgs_sequenced", "is_wgs_secondary_analysed"]
     out = left_on(out, sequencing_states(tables["gold_qc"]), by_subject, states)
     out = with_target(out, settings.central_site)

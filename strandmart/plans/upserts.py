@@ -3,6 +3,7 @@ overwrite, and how ``updated_at`` behaves (run time, incoming value or untouched
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +31,7 @@ SPECS = {
     "U02": _spec("dynamodb_fix_analysis", "id", "", INCOMING),
     "U03": _spec("dynamodb_fix_samples", "id", "", INCOMING),
     "U04": _spec("ica_analysis", "id", "time_created"),
-    "U05": _spec("ica_samples", "id", "time_created created_at updated_at", UNSET),
+    "U05": _spec("ica_samples", "id", "time_created created_at"),
     "U06": _spec("illumina_bssh_biosamples", "session_id id_library id_repository", "created_at"),
     "U07": _spec("illumina_bssh_runs", "session_id", "created_at"),
     "U08": _spec("illumina_demux", "id_repository lane id_library reads", "created_at"),
@@ -77,11 +78,17 @@ SPECS = {
 }
 
 
+def match_rules(spec: UpsertSpec, columns: Collection[str], run_ts: Column) -> tuple[tuple[str, ...], tuple[str, Column] | None]:
+    """What a match must not overwrite, and the stamp it sets, for a table of these columns."""
+    has_stamp = "updated_at" in columns
+    stamp = ("updated_at", run_ts) if spec.stamp == RUN and has_stamp else None
+    keep = (*spec.keep, "updated_at") if spec.stamp == UNSET and has_stamp else spec.keep
+    return keep, stamp
+
+
 def apply_upsert(
     spec: UpsertSpec, target: DataFrame, source: DataFrame, run_ts: Column, order: tuple[str, ...]
 ) -> DataFrame:
     """The target after one batch, by its specification."""
-    has_stamp = "updated_at" in target.columns
-    stamp = ("updated_at", run_ts) if spec.stamp == RUN and has_stamp else None
-    keep = (*spec.keep, "updated_at") if spec.stamp == UNSET and has_stamp else spec.keep
+    keep, stamp = match_rules(spec, target.columns, run_ts)
     return upsert(target, source, spec.keys, keep, order, stamp)

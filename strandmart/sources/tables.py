@@ -57,9 +57,13 @@ class SwappedTable:
         self._point_to(version)
 
     def _point_to(self, version: str) -> None:
-        aside = self._path(f"_next.{version}")
+        self._put("CURRENT", version)
+
+    def _put(self, name: str, text: str) -> None:
+        """A small file, written aside and renamed over the old one."""
+        aside = self._path(f"_next.{name}")
         stream = self._fs.create(aside, True)
-        stream.write(bytearray(version.encode()))
+        stream.write(bytearray(text.encode()))
         stream.close()
         context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             self._path("").toUri(), self.spark._jsc.hadoopConfiguration()
@@ -69,7 +73,7 @@ class SwappedTable:
             self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1
         )
         options[0] = option
-        context.rename(aside, self._path("CURRENT"), options)
+        context.rename(aside, self._path(name), options)
 
     def upsert(self, source: DataFrame, version: str, keys, keep, order, stamp=None) -> None:
         """Merge a batch into the current version and swap."""

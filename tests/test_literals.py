@@ -1,13 +1,14 @@
 """Python-literal text and raw files as they come: quotes, constants, depth, header orders."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from strandmart.functions.json_text import repair_quotes, text_list, to_valid_json
 from strandmart.operators.joins import pairs_with_default, prefix_join
-from strandmart.plans.silver import UNREAD, flatten_documents
+from strandmart.plans.silver import UNREAD, flatten_documents, nesting
 from strandmart.sources import bronze
 
 VALUES = [
@@ -44,6 +45,41 @@ def test_documents_of_any_depth_and_unread_ones(spark):
     assert got == {("p1", ".".join(f"k{k}" for k in range(8, -1, -1))): "leaf O'B", ("p3", "a"): "x", ("p3", "b"): "it's"}
 
 
+def test_nesting_counts_braces_outside_strings(spark):
+    texts = {"{}": 1, '{"a": {}}': 2, '{"a": "{{{", "b": "\\"{"}': 1, '{"a": {"b": {"c": 1}}, "d": {"e": 2}}': 3, "[]": 0, "": 0, "x": 0, '{"a": "line\\n{", "{": {"b": 1}}': 2}
+    df = spark.createDataFrame([(t, n) for t, n in texts.items()], "t string, n int")
+    assert [(r.t, r.n, r.got) for r in df.select("*", nesting("t").alias("got")).collect() if r.n != r.got] == []
+    assert df.limit(1).select(nesting(F.lit(None).cast("string")).alias("x")).first().x is None
+
+
+def _seconds(spark, text):
+    kind = "AAA1/12345678-1234-1234-1234-123456789abc/form-x|examination"
+    docs = spark.createDataFrame([(kind, "p", "b", "1", "2025-01-01", text)], "document_type string, participant_id string, institution_name string, version string, created_at string, question_answer string")
+    names = spark.createDataFrame([], "id string, name string")
+    start = time.perf_counter()
+    rows = flatten_documents(docs, names).collect()
+    return time.perf_counter() - start, {(r.path, r.value) for r in rows}
+
+
+def test_time_to_flatten_follows_the_length(spark):
+    def objects(n):
+        return json.dumps({f"k{k}": {"a": str(k)} for k in range(n)}), {(f"k{k}.a", str(k)) for k in range(n)}
+
+    def braces(n):
+        return json.dumps({f"k{k}": "{" for k in range(n)}), {(f"k{k}", "{") for k in range(n)}
+
+    for made in (objects, braces):
+        _seconds(spark, made(100)[0])
+        (text, want), (long, more) = made(2000), made(8000)
+        (short_s, got), (long_s, got_more) = _seconds(spark, text), _seconds(spark, long)
+        assert got == want and got_more == more
+        assert long_s < 6 * short_s + 1, (short_s, long_s)  # four times the text; sixteen times the time before
+
+
+def test_two_answers_may_have_one_path(spark):
+    assert _seconds(spark, '{"a.b": {"c": "1"}, "a": {"b.c": "2"}}')[1] == {("a.b.c", "1"), ("a.b.c", "2")}
+
+
 def test_files_by_column_name(spark, tmp_path):
     for name, text in (("a-2025-01-01", "id,note\n1,x\n"), ("b-2025-01-01", "note,id,more\ny,2,z\n"), ("c-2025-01-01", ""), ("d-2025-01-02", "id,note\n3,w\n")):
         (tmp_path / f"{name}.csv").write_text(text)
