@@ -10,25 +10,30 @@ from strandmart.functions.text import as_col
 
 # Python constants and their JSON form.
 CONSTANTS = (("None", "null"), ("True", "true"), ("False", "false"), ("nan", "null"))
+# What mostly stands between strings, and is JSON already.
+PLAIN = (": ", ", ", ":", ",", "{", "}", "[", "]", "{}", "[]", ": {", ": [", "}, ", "], ", "}}", "]}")
 # A quoted string with either quote, text between strings, or a quote that ends nowhere.
 TOKEN = r"""("[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|[^"']++|["'])"""
 
 
 def _json_string(token: Column) -> Column:
     """A Python string literal as a JSON string."""
-    inner = F.substring(token, F.lit(2), F.length(token) - 2)
-    inner = F.replace(inner, F.lit("\\'"), F.lit("'"))
+    plain = F.substring(token, F.lit(2), F.length(token) - 2)
+    inner = F.replace(plain, F.lit("\\'"), F.lit("'"))
     # after an even number of backslashes: a bare quote, and the two-digit code point that JSON lacks
     inner = F.regexp_replace(inner, r'(?<!\\)((?:\\\\)*+)"', r'$1\\"')
     inner = F.regexp_replace(inner, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
-    return F.concat(F.lit('"'), inner, F.lit('"'))
+    special = plain.contains("\\") | plain.contains('"')
+    return F.concat(F.lit('"'), F.when(special, inner).otherwise(plain), F.lit('"'))
 
 
 def _json_between(token: Column) -> Column:
     """What stands between strings: constants renamed, tuples as lists, no comma before an end."""
+    made = token
     for old, new in CONSTANTS:
-        token = F.regexp_replace(token, rf"\b{old}\b", new)
-    return F.regexp_replace(F.translate(token, "()", "[]"), r",\s*([\]\}])", "$1")
+        made = F.regexp_replace(made, rf"\b{old}\b", new)
+    made = F.regexp_replace(F.translate(made, "()", "[]"), r",\s*([\]\}])", "$1")
+    return F.when(token.isin(*PLAIN), token).otherwise(made)
 
 
 def repair_quotes(c: Column | str) -> Column:

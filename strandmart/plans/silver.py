@@ -462,8 +462,8 @@ UNREAD = "_unread"
 
 
 def _is_object(v: Column) -> Column:
-    """A non-empty JSON object; other values are answers."""
-    return F.ltrim(v).startswith("{") & v.rlike(r'^\s*\{\s*"')
+    """A non-empty JSON object; other values are answers, and most hold no brace."""
+    return v.contains("{") & F.ltrim(v).startswith("{") & v.rlike(r'^\s*\{\s*"')
 
 
 def _entries(c: Column) -> Column:
@@ -497,6 +497,10 @@ def nesting(text: Column | str) -> Column:
     return F.aggregate(chars, start, step, lambda seen: seen["most"])
 
 
+#: Up to so many braces, wherever they stand, it is cheaper to look for objects than to count.
+FEW_BRACES = 8
+
+
 def _leaves(answers: DataFrame) -> DataFrame:
     """(…, path, value) for every answer, nested objects as dotted paths.
 
@@ -511,7 +515,8 @@ def _leaves(answers: DataFrame) -> DataFrame:
         nested = F.exists(entries, lambda e: _is_object(e["value"]))
         return F.when(nested, _open(entries)).otherwise(entries)
 
-    entries, depth = _entries(F.col("_json")), nesting("_json")
+    braces = F.length("_json") - F.length(F.replace("_json", F.lit("{"), F.lit("")))
+    entries, depth = _entries(F.col("_json")), F.when(braces <= FEW_BRACES, braces).otherwise(nesting("_json"))
     opened = F.when(depth > 1, F.aggregate(F.sequence(F.lit(2), depth), entries, level)).otherwise(entries)
     unread = F.array(F.struct(F.lit(UNREAD).alias("key"), F.col("_json").alias("value")))
     rows = answers.select(*base, F.explode(F.when(F.col("_json").isNotNull(), F.coalesce(opened, unread))).alias("e"))
