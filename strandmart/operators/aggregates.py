@@ -15,32 +15,51 @@ def count_by(df: DataFrame, keys: Sequence[str | Column], name: str = "ct") -> D
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def _joined(values: Column, sep: str) -> Column:
+    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), sep))
+
+
 def distinct_text(c: Column | str, sep: str) -> Column:
     """Aggregate: sorted distinct values as one text, null when there are none.
 
     Sets combine map-side, and several lists per key need no row expansion.
     """
-    values = F.collect_set((F.col(c) if isinstance(c, str) else c).cast("string"))
-    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), sep))
+    return _joined(F.collect_set((F.col(c) if isinstance(c, str) else c).cast("string")), sep)
 
 
 def sorted_text(c: Column | str, sep: str) -> Column:
     """Aggregate: all values (duplicates kept), sorted, as one text."""
-    values = F.collect_list((F.col(c) if isinstance(c, str) else c).cast("string"))
-    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), sep))
+    return _joined(F.collect_list((F.col(c) if isinstance(c, str) else c).cast("string")), sep)
 
 
 def concat_distinct(
     df: DataFrame, keys: Sequence[str], columns: Mapping[str, str] | Sequence[str], sep: str
 ) -> DataFrame:
-    """Distinct values of each column per key, sorted, joined with ``sep``."""
+    """Distinct values of each column per key, sorted, joined with ``sep``.
+
+    Two levels: values are made distinct by (key, column, value), which spreads a hot key over all tasks, and only distinct values meet at
+    their key.
+    """
     names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
-    return df.groupBy(*keys).agg(*[distinct_text(source, sep).alias(target) for source, target in names.items()])
+    values = [F.struct(F.lit(i).alias("_i"), F.col(c).cast("string").alias("_v")) for i, c in enumerate(names)]
+    long = df.select(*keys, F.explode(F.array(*values)).alias("_e")) if len(values) > 1 else df.select(*keys, values[0].alias("_e"))
+    distinct = long.select(*keys, "_e._i", "_e._v").distinct()
+
+    def text(i):
+        return _joined(F.collect_list(F.when(F.col("_i") == i, F.col("_v"))), sep)
+
+    return distinct.groupBy(*keys).agg(*[text(i).alias(target) for i, target in enumerate(names.values())])
 
 
 def concat_sorted(df: DataFrame, keys: Sequence[str], column: str, sep: str, name: str) -> DataFrame:
-    """All values (duplicates kept), sorted, joined with ``sep``."""
-    return df.groupBy(*keys).agg(sorted_text(column, sep).alias(name))
+    """All values (duplicates kept), sorted, joined with ``sep``.
+
+    Two levels: values are counted by (key, value), which spreads a hot key over all tasks, and each comes to its key once.
+    """
+    counted = df.select(*keys, F.col(column).cast("string").alias("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    found = F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_v", "_n"))))
+    every = F.flatten(F.transform(found, lambda x: F.array_repeat(x["_v"], x["_n"])))
+    return counted.groupBy(*keys).agg(F.when(F.size(found) > 0, F.array_join(every, sep)).alias(name))
 
 
 def flag_counts(

@@ -9,11 +9,14 @@ map-side combined aggregates joined back on the key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandmart.session import shared_folder
+
 Order = Sequence[Column | str]
 
 
@@ -58,12 +61,27 @@ def richest_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dense_rank_by(df: DataFrame, keys: Sequence[str], order: str, name: str = "rank") -> DataFrame:
-    """Dense rank with every row kept.  The window sees only distinct
-    (key, order) pairs, deduplicated map-side; rows get the rank by a join."""
+    """Dense rank with every row kept; no task holds a key.
+
+    Distinct (key, order) pairs are dealt by ranges of both, so a hot key lies in many parts.  A pair's rank is its place within its part
+    and key, plus the pairs that the key has in the parts before.  The parts are written, since the two steps must see the same ones.
+    """
+    spark = df.sparkSession
     pairs = df.select(*keys, order).distinct()
-    ranked = pairs.withColumn(
-        name, F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first(order)))
-    )
+    place = [*[F.asc_nulls_first(k) for k in keys], F.asc_nulls_first(order)]
+    dealt = pairs.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *place)
+    folder = f"{shared_folder(spark)}/ranked-{uuid.uuid4().hex}"
+    dealt.withColumn("_part", F.spark_partition_id()).write.parquet(folder)
+    parts = spark.read.parquet(folder)
+    within = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(F.asc_nulls_first(order)))
+    counts = F.sort_array(F.collect_list(F.struct("_part", "_n")))
+    before = parts.groupBy(*keys, "_part").agg(F.count(F.lit(1)).cast("int").alias("_n")).groupBy(*keys).agg(counts.alias("_counts"))
+    spread = before.select(*keys, F.explode(F.transform("_counts", lambda x: F.struct(
+        x["_part"].alias("_part"),
+        F.aggregate(F.filter("_counts", lambda y: y["_part"] < x["_part"]), F.lit(0), lambda acc, y: acc + y["_n"]).alias("_before"),
+    ))).alias("_e")).select(*keys, "_e.*")
+    ranked = _join_back(parts.withColumn("_within", within), spread, [*keys, "_part"], ["_before"])
+    ranked = ranked.select(*keys, order, (F.col("_within") + F.col("_before")).alias(name))
     return _join_back(df, ranked, [*keys, order], [name])
 
 

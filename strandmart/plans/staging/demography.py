@@ -232,11 +232,11 @@ def subjects(tables) -> DataFrame:
 
 
 def specimens(tables) -> DataFrame:
-    """Samples with subject, biobank and specimen; samples without a subject match nobody."""
+    """Samples with subject, biobank and specimen; samples without a subject, or with a dash for one, match nobody."""
     out = left_on(
         tables["simbiox_biosamples"].select("id_patient", "id_biobank", "biosample_specimen", "origin_code_repository"),
         tables["simbiox_patients"], {"id_patient": "id_patient"}, ["id_subject"],
-    ).filter(F.col("id_subject").isNotNull())
+    ).filter(~rules.missing_or_dash("id_subject"))
     out = lookup(out, tables["master_biobank"], {"id_biobank": "id_biobank"}, ["biobank_nama"])
     return lookup(out, tables["master_specimen"], {"biosample_specimen": "id"}, ["specimen_type_name"])
 

@@ -233,26 +233,48 @@ def sessions_to_runs(sessions: DataFrame, ds) -> DataFrame:
 YIELD_LINE = r"Computed yield for biosample '([^']+)' \(Id: (\d+)\): (\d+)\s+Bps"
 
 
+#: Where a generated sample is reported: the text is cut there, so that a piece begins with the id that ends the piece before.
+GENERATED = r"Generated new Sample:\s+(?=\d)"
+#: Names of these characters only are found inside words of the text; others, which are rare, are looked up in the whole text.
+WORD = r"^[\w.-]+$"
+
+
+def _first_mentions(names: DataFrame, pieces: DataFrame, texts: DataFrame) -> DataFrame:
+    """``log``, ``name`` and ``piece``: the first piece of the log that holds the name, also inside longer words."""
+    plain = names.filter(F.col("name").rlike(WORD))
+    lengths = plain.groupBy("log").agg(F.collect_set(F.length("name")).alias("lengths"))
+    words = pieces.select("log", "piece", F.explode(F.array_distinct(F.split("text", r"[^\w.-]+"))).alias("word"))
+    words = words.filter(F.col("word") != "").groupBy("log", "word").agg(F.min("piece").alias("piece"))
+    # every part of a word that is as long as some name: as many rows as the distinct words have characters, for each length
+    parts = words.join(lengths, "log").withColumn("n", F.explode(F.filter("lengths", lambda n: n <= F.length("word"))))
+    parts = parts.select("log", "piece", "n", "word", F.explode(F.sequence(F.lit(1), F.length("word") - F.col("n") + 1)).alias("at"))
+    parts = parts.select("log", F.substr("word", "at", "n").alias("name"), "piece").groupBy("log", "name").agg(F.min("piece").alias("piece"))
+    found = parts.join(plain, ["log", "name"], "left_semi")
+    odd = names.filter(~F.col("name").rlike(WORD)).join(texts, "log")
+    before = F.expr("substr(content, 1, locate(name, content) - 1)")
+    return found.unionByName(odd.select("log", "name", (F.size(F.split(before, GENERATED)) - 1).alias("piece")))
+
+
 def parse_yield_log(logs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Biosample yield rows of session log text (``content``).
 
-    The generated sample is the first one reported after the first mention of
-    the biosample, anywhere later in the text.
+    The generated sample is the first one reported after the first mention of the biosample, anywhere later in the text.  A text is cut into
+    lines and into pieces between generated samples once; yields, first mentions and ids then meet in joins, so that
+    time follows the length of the log and no row carries the whole text.
     """
-    lines = logs.withColumn("line", F.explode(F.split("content", r"\r\n|\r|\n")))
-    lines = lines.filter(F.col("line").rlike(YIELD_LINE))
-    name = F.regexp_extract("line", YIELD_LINE, 1)
-    rows = lines.select(
-        *keep, "content",
-        name.alias("biosample_name"),
-        F.regexp_extract("line", YIELD_LINE, 2).alias("biosample_id"),
-        F.regexp_extract("line", YIELD_LINE, 3).try_cast("bigint").alias("computed_yield_bps"),
+    keyed = logs.filter(F.col("content").isNotNull()).withColumn("log", F.sha2("content", 256))
+    texts = keyed.select("log", "content").dropDuplicates(["log"])
+    lines = texts.select("log", F.explode(F.split("content", r"\r\n|\r|\n")).alias("line")).filter(F.col("line").rlike(YIELD_LINE))
+    found = [F.regexp_extract("line", YIELD_LINE, k) for k in (1, 2, 3)]
+    yields = lines.select("log", *[c.alias(n) for c, n in zip(found, ("name", "biosample_id", "bps"), strict=True)])
+    pieces = texts.select("log", F.posexplode(F.split("content", GENERATED)).alias("piece", "text"))
+    first = _first_mentions(yields.select("log", "name").distinct(), pieces, texts)
+    ids = pieces.filter("piece > 0").select(
+        "log", (F.col("piece") - 1).alias("piece"), F.regexp_extract("text", r"^\d+", 0).alias("generated_sample_id")
     )
-    rest = F.expr("substr(content, locate(biosample_name, content))")
-    generated = F.regexp_extract(rest, r"(?s)Generated new Sample:\s+(\d+)", 1)
-    return rows.select(
-        *keep, "biosample_name", "biosample_id", "computed_yield_bps",
-        F.nullif(generated, F.lit("")).alias("generated_sample_id"),
+    parsed = yields.join(first, ["log", "name"], "left").join(ids, ["log", "piece"], "left")
+    return keyed.drop("content").join(parsed, "log").select(
+        *keep, F.col("name").alias("biosample_name"), "biosample_id", F.col("bps").try_cast("bigint").alias("computed_yield_bps"), "generated_sample_id"
     )
 
 
