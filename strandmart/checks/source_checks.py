@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from strandmart.checks.registry import cents, check, day, flag, stamp
 from strandmart.session import shared_folder
 from strandmart.settings import Buckets
-from strandmart.sources import bronze, inventory, reports, sheets, tables
-from strandmart.streaming.event_log import append_log
+from strandmart.plans import report_chain
+from strandmart.sources import big_csv, bronze, inventory, reports, sheets, tables
+from strandmart.streaming.event_log import append_log, load_landed
 
 B = Buckets()
 
@@ -41,6 +42,60 @@ def _bronze(t):
     return rows.select(*ORDER_TEXT, F.coalesce("in_day", F.lit(0)).alias("in_day"), "file")
 
 
+def _csv_files(t, texts, root):
+    """Texts (``file``, ``value``) as files ``*.csv``, one folder each."""
+    texts.repartition(1).write.partitionBy("file").option("lineSep", "\n").text(root)
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path(f"{root}/file=*/*.txt")):
+        files.rename(found.getPath(), path(str(found.getPath()).replace(".txt", ".csv")))
+
+
+@check("bronze_headers", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS note,
+  CASE WHEN o_orderstatus = 'O' THEN o_orderstatus END AS note_1, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority || chr(10) || 'x' END AS two_lines,
+  CASE WHEN o_orderstatus = 'F' THEN o_orderstatus END AS unnamed
+FROM orders
+""")
+def _headers(t):
+    """A header with a repeated name, one with a line break inside a name and an empty name, and a plain one."""
+    status, key = F.col("o_orderstatus"), F.col("o_orderkey").cast("string")
+    header = F.when(status == "O", "o_orderkey,note,note").when(status == "F", 'o_orderkey,"two\nlines",').otherwise("o_orderkey,note")
+    line = F.when(status == "O", F.concat_ws(",", key, "o_orderpriority", status)).when(
+        status == "F", F.concat(key, F.lit(',"'), "o_orderpriority", F.lit('\nx",'), status)
+    ).otherwise(F.concat_ws(",", key, "o_orderpriority"))
+    texts = t["orders"].groupBy(status.alias("file"), header.alias("head")).agg(F.array_join(F.collect_list(line), "\n").alias("lines"))
+    root = scratch(t)
+    _csv_files(t, texts.select("file", F.concat_ws("\n", "head", "lines").alias("value")), root)
+    names = ["o_orderkey", "note", "note.1", "two\nlines", "Unnamed: 2"]
+    rows = bronze.read_bronze_all(t.spark, f"{root}/file=*", names)
+    return rows.toDF("o_orderkey", "note", "note_1", "two_lines", "unnamed", *rows.columns[5:]).select("o_orderkey", "note", "note_1", "two_lines", "unnamed")
+
+
+@check("split_files", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority || chr(10) || 'a "word", ' || repeat(chr(10), CAST(o_orderkey % 4 AS INTEGER)) || o_orderstatus AS note,
+  CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 1 ELSE 0 END AS is_last
+FROM orders
+""")
+def _split(t):
+    """One file with line breaks, quotes and commas in its fields, read in blocks of 8,000 bytes; the rows keep their order."""
+    root = scratch(t)
+    note = F.concat("o_orderpriority", F.lit('\na "word", '), F.repeat(F.lit("\n"), (F.col("o_orderkey") % 4).cast("int")), "o_orderstatus")
+    rows = t["orders"].select(F.col("o_orderkey").cast("string").alias("id"), note.alias("note"), "o_orderkey").repartitionByRange(1, "o_orderkey")
+    rows.sortWithinPartitions("o_orderkey").select("id", "note").write.option("header", True).option("escape", '"').csv(root)
+    size = t.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", max(8_000, t["orders"].count() // 4))
+    try:
+        read = big_csv.read_bronze_large(t.spark, root, "", ["id", "note"])
+        # written while the setting holds
+        read.write.parquet(f"{root}-read")
+    finally:
+        t.spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    read = t.spark.read.parquet(f"{root}-read")
+    last = read.agg(F.max(bronze.ROW_ORDER)).first()[0]
+    return read.select("id", "note", (F.col(bronze.ROW_ORDER) == F.struct(*[F.lit(x).alias(n) for n, x in last.asDict().items()])).cast("int").alias("is_last"))
+
+
 @check("row_order", """
 SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1
 """)
@@ -155,6 +210,27 @@ def _append(t):
     )
 
 
+@check("landed_log", """
+SELECT CASE WHEN hour(ts) < 12 THEN 'landed-0' ELSE 'landed-1' END AS run, strftime(ts, '%Y-%m-%d') AS log_date, count(*) AS ct, count(DISTINCT user_id) AS users
+FROM events GROUP BY 1, 2
+""")
+def _landed(t):
+    """Files land twice; the second batch is forgotten and tried again, and replaces itself."""
+    landing, log, checkpoint = (scratch(t) for _ in range(3))
+    rows = t["events"].select(
+        F.col("user_id").alias("ehr_id"), stamp("ts").alias("logged_at"), F.col("event_type").alias("template_id"),
+        F.lit("h").alias("hospital"), F.lit("c").alias("crud_type"), F.col("props").alias("composition"),
+    )
+    morning = F.hour(F.col("logged_at").cast("timestamp")) < 12
+    for part in (morning, ~morning):
+        rows.filter(part).write.mode("append").option("header", True).option("escape", '"').csv(landing)
+        load_landed(t.spark, landing, log, checkpoint)
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    path(checkpoint).getFileSystem(t.spark._jsc.hadoopConfiguration()).delete(path(f"{checkpoint}/commits/1"), False)
+    load_landed(t.spark, landing, log, checkpoint)
+    return t.spark.read.parquet(log).groupBy("run", day("log_date").alias("log_date")).agg(F.count(F.lit(1)).alias("ct"), F.count_distinct("ehr_id").alias("users"))
+
+
 @check("sample_table", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 750")
 def _sample(t):
     """Capped copy with a total order; the cap is the feature."""
@@ -602,3 +678,55 @@ def _sheets(t):
 def _any(t):
     objects = t["events"].select(F.col("event_type").alias("key"), F.col("ts").alias("last_modified"))
     return inventory.any_recent(objects, "2024-01-20").select(flag(F.col("key").isNotNull()).alias("found"))
+
+
+# --- the report chain -----------------------------------------------------
+
+
+@check("report_chain", """
+WITH reports AS (
+  SELECT o_orderkey AS k, CAST(o_custkey AS VARCHAR) AS custkey, o_orderstatus, o_orderkey % 3 <> 2 AS first_day, o_orderkey % 3 = 0 AS renewed FROM orders WHERE o_orderkey % 3 > 0 OR o_orderkey % 2 = 0),
+days AS (SELECT *, CASE WHEN first_day AND NOT renewed THEN 1 ELSE 2 END AS seen FROM reports)
+SELECT 'R' || CAST(k AS VARCHAR) AS order_id, 'D' || drug AS drug_name, 'G' || custkey AS gene_symbol, CASE WHEN seen = 1 THEN 'one' ELSE 'two' END AS phenotype_text, seen AS fetched_on
+FROM days, (VALUES ('a'), ('b')) v(drug)
+""")
+def _chain(t):
+    """Two days of a report status: new reports are fetched, renewed ones again, others not; the second day is tried twice."""
+    orders = t["orders"].filter("o_orderkey % 3 > 0 OR o_orderkey % 2 = 0")
+    key = F.col("o_orderkey")
+    path = F.concat(F.lit("out/"), key.cast("string"), F.lit("/ind.json"))
+    prefix = f"s3://{B.pgx_output}/"
+
+    def status(today):
+        """Reports of the first day, and on the second new ones and those with a new date."""
+        date = F.when(F.lit(today == 2) & ((key % 3 == 2) | (key % 3 == 0)), "2025-01-02").otherwise("2025-01-01")
+        rows = orders.filter((key % 3 != 2) | F.lit(today == 2))
+        return rows.select(F.concat(F.lit(prefix), path).alias("report_path_ind"), date.cast("timestamp").alias("ind_report_creation_date")).unionByName(
+            rows.limit(5).select(F.lit("nan").alias("report_path_ind"), date.cast("timestamp").alias("ind_report_creation_date"))
+        )
+
+    def contents(today):
+        def rec(drug):
+            return F.struct(
+                F.lit(f"D{drug}").alias("drug_name"), F.concat(F.lit("G"), F.col("o_custkey").cast("string")).alias("gene_symbol"),
+                F.lit(today).alias("phenotype_text"),
+            )
+
+        report = F.struct(
+            F.struct(F.concat(F.lit("R"), key.cast("string")).alias("order_id"), F.lit("h").alias("ordered_by")).alias("order_details"),
+            F.struct(F.lit("m").alias("test_method")).alias("sample_details"), F.array(rec("a"), rec("b")).alias("clinical_recommendations"),
+        )
+        files = orders.select(path.alias("path"), F.to_json(report).alias("content"))
+        return lambda due: files.join(due.select("path"), "path", "left_semi")
+
+    details, state = report_chain.detail_table(t.spark, scratch(t), 4), report_chain.state_table(t.spark, scratch(t), 4)
+    done = [
+        report_chain.run_chain(status(day), "2024-10-01", contents(word), details, state, run)
+        for day, word, run in ((1, "one", "d1"), (2, "two", "d2"), (2, "three", "d2-again"))
+    ]
+    if done != [True, True, False]:
+        raise AssertionError(done)
+    fetched = state.read().select("path", F.dayofmonth("fetched_version").alias("fetched_on"))
+    number = F.regexp_extract("order_id", r"\d+", 0)
+    rows = details.read().withColumn("path", F.concat(F.lit("out/"), number, F.lit("/ind.json"))).join(fetched, "path")
+    return rows.select("order_id", "drug_name", "gene_symbol", "phenotype_text", "fetched_on")

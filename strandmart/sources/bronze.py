@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -26,7 +28,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _csv(spark: SparkSession, multi_line: bool = True):
-    """Reader of CSV with a header; without ``multi_line`` large files are split over tasks."""
+    """Reader of CSV with a header.
+
+    Without ``multi_line`` large files are split over tasks, but no field may hold a line break; ``big_csv`` splits such files too.
+    """
     return (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
@@ -50,23 +55,61 @@ def read_bronze(spark: SparkSession, path: str, ds: str, columns: Sequence[str],
     return _read_glob(spark, f"{path}/{ds}.csv", columns, multi_line)
 
 
-def _headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header line, found in one distributed pass."""
-    lines = spark.read.text(list(files)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    heads = lines.filter("block = 0").groupBy("file").agg(F.min(F.struct("row", "value")).alias("first"))
-    by_header = heads.groupBy(F.ltrim(F.col("first.value"), F.lit("\ufeff")).alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files"))
-    found = {}
-    for row in sorted(by_header.collect(), key=lambda r: r["files"]):  # one row for each distinct header
-        names = tuple(next(csv.reader([row["header"]]), ()))
-        if names:
-            found.setdefault(names, []).extend(row["files"])
-    return found
+#: Lines of a file's beginning in which its header is looked for first; twice as many each time while a field is still open.
+HEADER_LINES = 64
 
 
-def _list(spark: SparkSession, pattern: str) -> list[str]:
+def column_names(header: str) -> tuple[str, ...]:
+    """Names of a header record: a repeated name gets ``.1``, ``.2`` …, an empty one its place."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader(io.StringIO(header, newline="")), ())):
+        name = name or f"Unnamed: {i}"
+        free, k = name, 0
+        while free in names:
+            k += 1
+            free = f"{name}.{k}"
+        names.append(free)
+    return tuple(names)
+
+
+def header_groups(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """Files grouped by their header record, found in a distributed pass; a quoted name may go over several lines."""
+    if not files:
+        return {}
+    lines = spark.read.option("lineSep", "\n").text(list(files)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ).filter("block = 0")
+    heads = lines.groupBy("file").agg(F.min(F.struct("row", "value")).alias("first")).select("file", "first.*")
+    is_whole = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 0
+    clean = F.rtrim(F.ltrim(F.col("value"), F.lit("\ufeff")), F.lit("\r")).alias("header")
+    grouped = heads.select("file", "row", is_whole.alias("whole"), clean).groupBy("header", "whole").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    found: dict[str, list[str]] = {}
+    open_files = []
+    for row in sorted(grouped.collect(), key=lambda r: r["files"]):  # one row for each distinct header
+        if row["whole"]:
+            found.setdefault(row["header"], []).extend(row["files"])
+        else:
+            open_files += row["files"]
+    reach = HEADER_LINES
+    while open_files:
+        first = heads.filter(F.col("file").isin(open_files)).select(F.col("file").alias("f"), F.col("row").alias("from"))
+        near = lines.join(first, F.col("file") == F.col("f")).filter(F.col("row") < F.col("from") + reach)
+        texts = near.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("row", "value")))["value"].alias("lines")).collect()
+        open_files = []
+        for row in texts:  # ``reach`` lines of each of the few files whose first line ends inside a name
+            quotes = list(accumulate(line.count('"') for line in row["lines"]))
+            end = next((k for k, n in enumerate(quotes) if n % 2 == 0), None)
+            if end is None and len(row["lines"]) == reach:
+                open_files.append(row["file"])
+            else:
+                header = "\n".join(row["lines"][: len(quotes) if end is None else end + 1])
+                found.setdefault(header.lstrip("\ufeff").rstrip("\r"), []).append(row["file"])
+        reach *= 2
+    return {header: sorted(names) for header, names in found.items() if column_names(header)}
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(jvm_path)
@@ -92,13 +135,14 @@ def read_bronze_all(
 
 
 def _read_glob(spark: SparkSession, pattern: str, columns: Sequence[str] | None, multi_line: bool) -> DataFrame | None:
-    files = _list(spark, pattern)
-    groups = _headers(spark, files) if files else {}
+    files = list_files(spark, pattern)
+    groups = header_groups(spark, files)
     if not groups:
         return None if columns is None else spark.createDataFrame([], text_schema(columns))
     frames = []
-    for header, names in groups.items():
-        frame = _csv(spark, multi_line).schema(text_schema(header)).csv(names)
+    for record, names in groups.items():
+        header = column_names(record)
+        frame = _csv(spark, multi_line or "\n" in record).schema(text_schema(header)).csv(names)
         if columns is not None and tuple(columns) != header:
             frame = frame.select(*(F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns))
         # of several scans the file of a row must be a column of its own: a union has no file metadata

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmart.functions.rules import sample_and_run_from_path
-from strandmart.functions.text import clean_null, first_rule, part
+from strandmart.functions.text import first_rule, part
 from strandmart.operators.joins import left_on, override, prefix_join
 from strandmart.settings import Buckets
 
@@ -254,15 +254,3 @@ def pgx_status(
         "report_path_ind", "ind_report_creation_date", "report_path_eng", "eng_report_creation_date",
         "pipeline_version",
     )
-
-
-def reports_to_fetch(status: DataFrame, ds, buckets: Buckets = Buckets()) -> DataFrame:
-    """Keys of the reports newer than the date."""
-    path = clean_null("report_path_ind")
-    return (
-        status.filter((F.col("ind_report_creation_date") > F.lit(ds)) & path.isNotNull())
-        .select(F.replace(path, F.lit(f"s3://{buckets.pgx_output}/"), F.lit("")).alias("path"))
-        .distinct()
-    )
-
-

@@ -41,18 +41,19 @@ REPORT_COLUMNS = [
 ]
 
 
-def explode_reports(reports: DataFrame) -> DataFrame:
-    """One row per recommendation with the order, sample and version of its report."""
-    parsed = reports.select(F.from_json("content", REPORT).alias("r"))
+def explode_reports(reports: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per recommendation with the order, sample and version of its report, and columns of the report to keep."""
+    parsed = reports.select(*keep, F.from_json("content", REPORT).alias("r"))
     rows = parsed.select(
+        *keep,
         F.col("r.order_details.order_id").alias("order_id"),
         F.col("r.order_details.ordered_by").alias("hubs"),
         F.col("r.sample_details.test_method").alias("test_method"),
         F.coalesce("r.version", F.lit("")).alias("version"),
         F.explode("r.clinical_recommendations").alias("rec"),
     )
-    flat = rows.select("order_id", "hubs", "test_method", "version", "rec.*")
-    return flat.select(*REPORT_COLUMNS).withColumn("rec_category", F.col("rec_category").try_cast("smallint"))
+    flat = rows.select(*keep, "order_id", "hubs", "test_method", "version", "rec.*")
+    return flat.select(*keep, *REPORT_COLUMNS).withColumn("rec_category", F.col("rec_category").try_cast("smallint"))
 
 
 def report_versions(reports: DataFrame) -> DataFrame:

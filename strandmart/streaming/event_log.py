@@ -31,15 +31,18 @@ def append_log(df: DataFrame, path: str, run: str) -> None:
     )
 
 
-def load_landed(spark: SparkSession, landing: str, path: str, checkpoint: str) -> None:
-    """All files not loaded yet, then stop."""
+def load_landed(spark: SparkSession, landing: str, path: str, checkpoint: str, name: str = "landed") -> None:
+    """All files not loaded yet, then stop.
+
+    Each batch is a run of the log, named by its number: the stream and ``append_log`` share one layout, and a batch that is tried again
+    after a failure replaces itself.
+    """
     landed = (
         spark.readStream.schema(text_schema(LOG_COLUMNS)).option("header", True)
         .option("multiLine", True).option("escape", '"').csv(landing)
     )
     query = (
-        shape_log(landed).writeStream.format("parquet").outputMode("append")
-        .partitionBy("log_date").option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        landed.writeStream.foreachBatch(lambda batch, number: append_log(batch, path, f"{name}-{number}"))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
