@@ -9,7 +9,8 @@ bound, and swaps the halves; every round is invertible, so the rounds permute al
 round and half.
 
 Defined results: a null text stays null; text without personal data is unchanged; repeated rows are treated one by one; an empty table gives
-an empty one; other columns stay as they are.  Dates outside 1800 to 2199 and numbers that fail their validation are left.  In dates with slashes the
+an empty one; other columns stay as they are.  Dates outside 1800 to 2199, local parts over 64 characters and numbers that fail their
+validation are left.  In dates with slashes the
 month comes first.
 """
 
@@ -21,8 +22,11 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KINDS = ("email", "card", "ssn", "phone", "ipv4", "date")
 
-# The formats.  The order decides where two begin at one place.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# The formats.  The order decides where two begin at one place.  Groups repeat at most three times: Java matches a
+# repeated group that may give way by recursion, and a long text of many repeats would exhaust the stack.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}"
+#: The longest local part that mail addresses may have; longer ones are none.
+LOCAL_CHARS = 64
 CARD = (
     r"(?<![0-9A-Za-z])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}(?: [0-9]{4}){3}|[2-6][0-9]{3}(?:-[0-9]{4}){3}"
     r"|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
@@ -181,7 +185,7 @@ def email(found: Column, key: str) -> Column:
         return F.struct(acc["b"].alias("a"), _shifted(acc["a"], digest).alias("b"))
 
     made = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda acc: F.concat(acc["a"], acc["b"]))
-    return F.concat(made, F.lit("@"), F.substring_index(found, "@", -1))
+    return F.when(F.length(name) <= LOCAL_CHARS, F.concat(made, F.lit("@"), F.substring_index(found, "@", -1)))
 
 
 def kind_of(found: Column) -> Column:
@@ -210,7 +214,7 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found_col:
 
     The values are for audits; drop the column before the texts leave.  A column of that name in ``docs`` gives way.
     """
-    text = F.col(f"__row.{text_col}")
+    text = F.col(f"__row.`{text_col}`")
     docs = docs.drop(found_col)
     whole = docs.select(F.struct("*").alias("__row"))
     matches = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
