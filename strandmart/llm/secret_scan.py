@@ -43,6 +43,13 @@ DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 SEPARATORS = re.compile(r"[+/_=-]+")
 PART = re.compile(r"([A-Za-z]*)[0-9]{0,4}|[0-9]+")
+TIME = re.compile(r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[Tt_-]?[0-9]{2}-?[0-9]{2}(-?[0-9]{2})?([Zz]|[+-][0-9]{2,4})?")
+# Names in front of public numbers and digests; ISBN and ISSN may end in an X.
+NUMBERED = re.compile(r"(isbn|issn|ean|gtin|upc|doi|pmid|orcid|iso|rfc|cve|sku|din|iban)([0-9X_/-]*[0-9][0-9X_/-]*)", re.IGNORECASE)
+NAMED_DIGEST = re.compile(r"(md5|sha1|sha256|sha384|sha512)[-=]([0-9A-Za-z+/_-]{22,128}={0,2})", re.IGNORECASE)
+#: Distinct characters up to which a long run is no random string (bases of DNA, rules, repeated letters), and the share of neighbours in a row that makes an alphabet.
+FEW_CHARS, IN_A_ROW = 5, 0.8
+WORDS = re.compile(r"[A-Za-z]{2,}")
 
 
 class Span(NamedTuple):
@@ -78,12 +85,33 @@ def is_word(letters: str, encoding: tiktoken.Encoding) -> bool:
     return n <= 1 or len(letters) > RANDOM_RATIO * n
 
 
+def is_alphabet(run: str) -> bool:
+    """Whether most characters follow the one before them, up or down."""
+    steps = [ord(b) - ord(a) for a, b in zip(run, run[1:], strict=False)]
+    return max(steps.count(1), steps.count(-1)) >= IN_A_ROW * len(steps)
+
+
+def holds_prose(run: str, encoding: tiktoken.Encoding) -> bool:
+    """Whether a run is Base64 of plain words with blanks between them."""
+    body = run.rstrip("=")
+    if len(body) % 4 == 1 or any(c in body for c in "_-="):
+        return False
+    raw = base64.b64decode(body + "=" * (-len(body) % 4))
+    if not raw.isascii() or b" " not in raw:
+        return False
+    text = raw.decode("ascii")
+    found = WORDS.findall(text)
+    return text.isprintable() and sum(map(len, found)) >= 0.7 * len(text) and all(is_word(w, encoding) for w in found)
+
+
 def known(run: str, encoding: tiktoken.Encoding) -> bool:
-    """Digests, UUIDs, numbers, and names of several parts that are words (with up to four digits) or numbers."""
+    """Digests, UUIDs, times, numbers with or without their name, alphabets, runs of few characters, prose in Base64, and names of several parts that are words (with up to four digits) or numbers."""
     if len(run) in DIGEST_CHARS and DIGEST.fullmatch(run):
         return True
     if not any(c.isalpha() for c in run) or UUID.fullmatch(run):
         return True
+    if TIME.fullmatch(run) or NUMBERED.fullmatch(run) or NAMED_DIGEST.fullmatch(run) or len(set(run)) <= FEW_CHARS or is_alphabet(run) or holds_prose(run, encoding):
+        return True
     parts = [PART.fullmatch(p) for p in SEPARATORS.split(run) if p]
     return all(parts) and all(is_word(m[1], encoding) for m in parts if m[1])
 

@@ -177,3 +177,66 @@ def test_leak_without_its_rarest_word_at_two_corpus_sizes(spark):
         rows = [(k, " ".join([*draw(60), *(items[k][:20] + ["other"] + items[k][20:] if k < 10 else []), *draw(60)])) for k in range(n)]
         got = decontaminate.contaminated(documents(spark, rows), bench).collect()
         assert {(r.doc_id, r.item_id) for r in got} == {(k, k) for k in range(10)}
+
+
+def test_very_long_texts_of_every_kind_get_pseudonyms(spark):
+    n = 1_000_000
+    long = {
+        1: "x@" + "a." * (n // 2) + "com", 2: "x@" + "a" * n, 3: "a" * n + "@b.com", 4: "4111 " * (n // 5), 5: "123-45-" * (n // 7), 6: "1." * (n // 2), 7: "(555) " * (n // 6), 8: "2020-01-" * (n // 8),
+        9: "a@" * (n // 2), 10: "me@site.org " + "z" * n, 11: "x@a..com y@b.c-d.org. " * 1000,
+    }
+    docs = spark.createDataFrame(list(long.items()), "doc_id long, `my.text` string")
+    made = {r.doc_id: r["my.text"] for r in pii.pseudonymised(docs, "k", text_col="my.text").collect()}
+    assert all(len(made[k]) == len(v) for k, v in long.items())
+    assert made[1].endswith("a.com") and made[1] != long[1] or made[1][1:] == long[1][1:]
+    assert made[3] == long[3] and not made[10].startswith("me@") and made[10][2:] == long[10][2:]
+
+
+def test_pseudonyms_equal_a_second_writing_of_the_patterns(spark):
+    email = re.compile(r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", re.ASCII)
+    ssn = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+    rng = random.Random(12)
+    bits = ["ann@site.org", "bob.b+c@mail.a-b.co", "@x.y", "a@b", "123-45-6789", "666-12-1234", "900-11-1111", "000-11-1111", "10.0.0.1", "word", ".", ",", "12"]
+    docs = [(k, " ".join(rng.choices(bits, k=12))) for k in range(200)]
+    made = {r.doc_id: r for r in pii.pseudonymised(spark.createDataFrame(docs, "doc_id long, text string"), "k").collect()}
+    for k, text in docs:
+        found = [(x.kind, x.value) for x in made[k].pii]
+        assert [v for kind, v in found if kind == "email"] == email.findall(text)
+        assert [v for kind, v in found if kind == "ssn"] == ssn.findall(text)
+        put = text
+        for x in made[k].pii:
+            assert x.pseudonym != x.value or x.kind == "email" and len(x.value.split("@")[0]) < 2
+            put = put.replace(x.value, "\0" + x.pseudonym + "\0") if x.value in put else put
+        assert put.replace("\0", "") == made[k].text or len({v for _, v in found}) < len(found)
+
+
+def test_identifiers_are_no_secrets():
+    encoding = secret_scan.ranks(RANKS, public_tokenizers.PATTERN)
+    clean = (
+        "2024-01-01T00-00-00 20240101T000000Z ISBN-978-3-16-148410-0 978-3-16-148410-X abcdefghijklmnopqrstuvwxyz ZYXWVUTSRQPONMLKJIHGFEDCBA GATTACAGATTACAGATTACA "
+        "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU= xXxXxXxXxXxXxXxXxX VGhlIGhvdXNlIG9mIHRoZSBtYW4gaXMgaW4gdGhlIGNpdHk= CVE-2024-12345 0123456789 550e8400-e29b-41d4-a716-446655440000"
+    ).split()
+    assert [(c, secret_scan.spans(c, encoding)) for c in clean if any(s.kind == "random" for s in secret_scan.spans(c, encoding))] == []
+    rng = random.Random(3)
+    for letters, length, least in (("abcdefghijklmnopqrstuvwxyz", 24, 0.9), ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 0.9), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32, 0.9)):
+        made = ["".join(rng.choices(letters, k=length)) for _ in range(500)]
+        assert sum(bool(secret_scan.spans(f"see {x} now", encoding)) for x in made) >= least * len(made)
+
+
+def test_base_spans_equal_a_second_writing():
+    encoding = secret_scan.ranks(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(9)
+    bits = ["password", "ApiKey", "api_key", "Secret", "token", "=", ":", " ", '"', "'", "AKIA", "ABC9", "0f", "deadbeef", "x_", "ü", "+/", "-"]
+
+    def brute(text):
+        at, out = 0, []
+        while m := re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?[ ]*[:=][ ]*[\"']?([A-Za-z0-9+/_.=-]+)").search(text, at):
+            out += [("assign", m.start(), m.end())] if len(m[1]) >= 12 else []
+            at = m.end()
+        out += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        out += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        return sorted(out, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+    for _ in range(3000):
+        text = "".join(rng.choices(bits, k=rng.randint(1, 14)))
+        assert [(s.kind, s.start, s.end) for s in secret_scan.spans(text, encoding) if s.kind in secret_scan.BASE_KINDS] == brute(text), text
