@@ -27,13 +27,23 @@ TRAIN_PAGES = 1200
 #: Characters of pages whose nodes are scored together.
 GROUP_CHARS = 2_000_000
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|title|noscript|template|svg|math|iframe|textarea|select)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
-    r"|<[!?/][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
+# Quantifiers are possessive, so a tag is read once, forwards.  A quote that is never closed is a character like others, and a tag whose quotes hide all
+# that could end it is reported as broken: from there on tags end at the next ">", whatever the quotes.
+_RAW = "script|style|title|noscript|template|svg|math|iframe|textarea|select"
+_QUOTED = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+"""
+
+
+def _tokens(attributes: str, otherwise: str) -> re.Pattern:
+    return re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        rf"|<(?P<raw>{_RAW})\b{attributes}>.*?(?:</(?P=raw)\s*>|\Z)"
+        rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?:(?P<attributes>{attributes})>{otherwise})"
+        r"|<[!?/][^>]*>",
+        re.DOTALL | re.IGNORECASE,
+    )
+
+
+TOKEN, BROKEN_TOKEN = _tokens(_QUOTED, "|(?P<broken>)"), _tokens("[^>]*+", "")
 NAMES = re.compile(r"""(?:^|[\s"'])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 ATTRIBUTE_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 PUNCTUATION = re.compile(r"[.,;:!?]")
@@ -84,6 +94,16 @@ class Page:
         self._linked = self._in_link = 0
         self._read(source or "")
         self._flush()
+        self._open_forms()
+
+    def _open_forms(self) -> None:
+        """A form that holds at least half of the page's text is a container like others, as on pages that are one form."""
+        size = [len(t) for t in self.text]
+        for k in range(len(size) - 1, 0, -1):
+            size[self.parent[k]] += size[k]
+        for k, tag in enumerate(self.tag):
+            if tag == TAG_INDEX["form"] and 2 * size[k] >= size[0]:
+                self.tag[k], self.words[k] = TAG_INDEX["div"], 0
 
     def _node(self, tag: int, words: int, text: str = "", links: int = 0) -> int:
         self.parent.append(self._stack[-1][1])
@@ -121,7 +141,7 @@ class Page:
 
     def _read(self, source: str) -> None:
         at = 0
-        for m in TOKEN.finditer(source):
+        for m in _marks(source):
             if m.start() > at:
                 self._say(source[at : m.start()])
             at = m.end()
@@ -162,6 +182,16 @@ class Page:
             self._say(source[at:])
 
 
+def _marks(source: str):
+    """Tags, comments and raw elements; behind the last ">" there are none."""
+    last = source.rfind(">") + 1
+    for m in TOKEN.finditer(source, 0, last):
+        if "broken" in m.groupdict() and m["broken"] is not None:
+            yield from BROKEN_TOKEN.finditer(source, m.start(), last)
+            return
+        yield m
+
+
 FEATURES = 17 + 2 * (N_TAGS + 2) + 2 * N_WORDS
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -128,3 +129,21 @@ def test_url_words_of_the_table_are_in_the_lexicon(spark):
     assert model.split("velvetlantern") == ["velvet", "lantern"] and model.split("hazelvelvetcasino") == ["hazel", "velvet", "casino"]
     got = {r.page_id: r.score for r in url_filter.judged(urls).collect()}
     assert got[100] > url_filter.START and got[99] > url_filter.START
+
+
+def test_broken_tags_take_linear_time(trees):
+    for n, least in ((20_000, 0), (200_000, 0)):
+        for source in ("<i c='x " * n, "<i c='x " * n + ">", "<i c='x " * n + "'>'", "<a '\"" * n + ">x", "<" * n, "<script " * n):
+            start = time.perf_counter()
+            html_text.Page(source)
+            assert time.perf_counter() - start < 5
+    page = html_text.Page("<p title='a > b'>one <b class=\"q\">two</b></p><a href=\"three>four</a><p>five")
+    assert [t for t in page.text if t] == ["one two", "four", "five"]
+
+
+def test_a_page_that_is_one_form(trees):
+    sentence = "The council met on Monday, and after a long debate it agreed on the plan for the new bridge over the river. "
+    article = "".join(f"<p>{k}. {sentence * 3}</p>" for k in range(6))
+    inner = f"<nav><ul><li><a href=/>Home</a></li><li><a href=/a>About</a></li></ul></nav><article><h1>A bridge for the town</h1>{article}</article><form class=search><input><button>Go now</button></form><footer><p>Copyright 2024</p></footer>"
+    plain, whole = (html_text.main_texts([f"<html><body>{x}</body></html>"], trees)[0] for x in (inner, f"<form id=aspnetForm action=/>{inner}</form>"))
+    assert whole == plain and sentence.strip() in whole and "Go now" not in whole and "Home" not in whole
