@@ -147,3 +147,32 @@ def test_a_page_that_is_one_form(trees):
     inner = f"<nav><ul><li><a href=/>Home</a></li><li><a href=/a>About</a></li></ul></nav><article><h1>A bridge for the town</h1>{article}</article><form class=search><input><button>Go now</button></form><footer><p>Copyright 2024</p></footer>"
     plain, whole = (html_text.main_texts([f"<html><body>{x}</body></html>"], trees)[0] for x in (inner, f"<form id=aspnetForm action=/>{inner}</form>"))
     assert whole == plain and sentence.strip() in whole and "Go now" not in whole and "Home" not in whole
+
+
+def test_table_verdicts_equal_a_model_of_the_whole_lexicon(spark):
+    rng = random.Random(5)
+    plain = ["velvet", "lantern", "hazel", "union", "essex", "sexton", "news", "casino", "pills", "library", "free", "zzgq"]
+    rows = [(k, f"https://{''.join(rng.choices(plain, k=rng.randint(1, 3)))}.example.com/{rng.choice(plain)}/{''.join(rng.choices(plain, k=2))}?q", rng.choice(plain)) for k in range(400)]
+    rows += [(None, None, None), (3, "https://" + "casino" * 300 + "/", ""), (3, rows[3][1], "")]
+    urls = spark.createDataFrame(rows, "page_id long, url string, host string")
+    model = url_filter.Model(url_filter.word_counts(urls, text_cols=("host",)))
+    got = url_filter.judged(urls, text_cols=("host",)).collect()
+    assert sorted(str((r.page_id, r.host, round(r.score, 6))) for r in got) == sorted(str((k, url_filter.parts(u)[0], round(model.score(*url_filter.parts(u)), 6))) for k, u, _ in rows)
+    assert {r.verdict for r in got} == {"allow", "block"} and all((r.verdict == "block") == (r.score > 0) for r in got)
+
+
+def test_names_that_are_not_in_the_list():
+    """Names of sites outside the labelled ones, beside common words that a table would bring."""
+    blocked = (
+        "bestviagrashop hotsinglesnearyou gamblingking totowin freemoviestorrent casinoroyale megaslots onlinebettingtips cheapcialis nudewebcams keygenpro pokerstarswin "
+        "instantloansnow sexchat fakerolex bitcoindoublerpro phishingkitonline xxxtubetop escortcity lotterynow viagraworld torrentking casinolab bettingstars rolexreplicashop"
+    ).split()
+    allowed = (
+        "citylibrary schoolmathclub sciencejournal mountainhikers riverphotos countycouncil kidslearningcenter bikeshopberlin historyarchive opensourcetools cookingschool "
+        "footballnews greengarden hotelparis chemistrylab railwaymuseum parishchurch universitypress weathermaps publichealth starhotel bigshop essexunion sussexcollege winterphotos"
+    ).split()
+    common = "best shop hot near you king free movies online tips cheap pro stars now paris city math river photos kids center berlin world big star new top mega royale essex sussex winter".split()
+    model = url_filter.Model({w: 50 for w in common})
+    found = [model.score(f"www.{n}.net", "/") > 0 for n in (*blocked, *allowed)]
+    assert sum(found[: len(blocked)]) >= 0.8 * len(blocked), [n for n, x in zip(blocked, found, strict=False) if not x]
+    assert not any(found[len(blocked) :]), [n for n, x in zip(allowed, found[len(blocked) :], strict=True) if x]
