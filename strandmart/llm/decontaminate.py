@@ -8,8 +8,9 @@
 5. The longest common subsequence of words and the words of the answer decide; it is computed where the words that a candidate
    region shares with the item, in any order, are enough for it.
 
-The benchmark is the query set: it is read in blocks of ``BLOCK_ITEMS`` items, so what each task gets has a bound.  All documents are
-searched whole, and no number of candidates is limited.
+The benchmark is the query set: it is read in blocks of about ``BLOCK_ITEMS`` distinct texts and ``BLOCK_WINDOWS`` windows, so what each task gets has a
+bound whatever the items' lengths; equal texts are searched once and their ids joined back.  All documents are searched whole, and no number of
+candidates is limited.
 
 Defined results: null texts count as empty ones and match nothing; an item without a word matches nothing; repeated rows give
 repeated results; empty tables give an empty result; only ids and texts are read.
@@ -29,8 +30,10 @@ from pyspark.sql import functions as F
 
 from strandmart.llm.tables import written
 
-#: Items searched together, rank of the latent space, and terms whose sums travel together.
-BLOCK_ITEMS, RANK, TERM_BLOCK = 2000, 64, 256
+#: Items and windows of items searched together, rank of the latent space, and terms whose sums travel together.
+BLOCK_ITEMS, BLOCK_WINDOWS, RANK, TERM_BLOCK = 2000, 16_000, 64, 256
+#: Windows of documents and of items whose cosines are computed together.
+TILE_WINDOWS, TILE_QUERIES = 4096, 4096
 #: Terms in more than this share of the half windows are left out of the vectors, unless they are among an item's rarest.
 FREQUENT, RAREST = 0.02, 8
 #: Words of half a window; windows are two halves and start at each half.
@@ -140,6 +143,20 @@ def _groups(batches, width: str):
         yield ids, codes
 
 
+class WordCounts:
+    """How often each item has each code, by search among the pairs that there are."""
+
+    def __init__(self, codes: list[np.ndarray], size: int) -> None:
+        self.size = size
+        pairs = np.concatenate([k * size + c for k, c in enumerate(codes)])
+        self.pairs, self.counts = np.unique(pairs, return_counts=True)
+
+    def of(self, item: np.ndarray, code: np.ndarray) -> np.ndarray:
+        wanted = item * self.size + code
+        place = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[place] == wanted, self.counts[place], 0)
+
+
 class Search:
     """One block of items against all documents."""
 
@@ -237,9 +254,7 @@ class Search:
         queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
         first = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(items.codes)))))
         lengths = np.array([len(c) for c in items.codes])
-        has = np.zeros((len(items.codes), size + 1), np.uint16)
-        for k, c in enumerate(items.codes):
-            has[k] = np.minimum(np.bincount(c, minlength=size + 1), 2**16 - 1)
+        has = WordCounts(items.codes, size + 1)
         least = COSINE * np.sqrt(np.minimum(1, lengths / (2 * HALF)))
         shared = self.coded.sparkSession.sparkContext.broadcast(
             (basis, queries.T.copy(), owner[a], (a - first[owner[a]]) * HALF, least[owner[a]].astype(np.float32), has, lengths, items)
@@ -255,14 +270,18 @@ class Search:
                 halves = _projected(rows, basis, used)
                 begins = np.concatenate(([0], np.cumsum([-(-len(c) // HALF) for c in codes])))
                 best: dict[tuple[int, int], tuple] = {}
-                for k in range(0, len(a), CHUNK):
-                    x, y = a[k : k + CHUNK], b[k : k + CHUNK]
+                for k in range(0, len(a), TILE_WINDOWS):
+                    x, y = a[k : k + TILE_WINDOWS], b[k : k + TILE_WINDOWS]
                     made = np.where((x != y)[:, None], halves[x] + halves[y], halves[x])
                     made /= np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)
-                    cosine = made @ queries
-                    w, q = np.nonzero(cosine >= least)
-                    for p in range(0, len(w), CHUNK):
-                        _decide(x[w[p : p + CHUNK]], q[p : p + CHUNK], cosine[w[p : p + CHUNK], q[p : p + CHUNK]], rows.ravel(), texts, begins, codes, item_of, offset, has, lengths, items, best)
+                    for j in range(0, queries.shape[1], TILE_QUERIES):
+                        cosine = made @ queries[:, j : j + TILE_QUERIES]
+                        w, q = np.nonzero(cosine >= least[j : j + TILE_QUERIES])
+                        # regions together are as wide as the longest item
+                        step = max(1, CHUNK * 4 * HALF // int(lengths.max() + 4 * HALF))
+                        for p in range(0, len(w), step):
+                            near, query = w[p : p + step], q[p : p + step]
+                            _decide(x[near], query + j, cosine[near, query], rows.ravel(), texts, begins, codes, item_of, offset, has, lengths, items, best)
                 if best:
                     pairs = sorted(best.items())
                     columns = [
@@ -287,12 +306,12 @@ def _decide(half, query, cosine, flat, texts, begins, codes, item_of, offset, ha
     item, text, low, high, begin, cosine = item[keys], text[keys], low[keys], high[keys], begin[keys], cosine[keys]
     places = low[:, None] + np.arange(int(span.max()))
     inside = places < high[:, None]
-    regions = np.sort(np.where(inside, flat[np.minimum(places, len(flat) - 1)], has.shape[1] - 1), axis=1)
+    regions = np.sort(np.where(inside, flat[np.minimum(places, len(flat) - 1)], has.size - 1), axis=1)
     fresh = np.concatenate((np.ones((len(regions), 1), bool), regions[:, 1:] != regions[:, :-1]), axis=1)
     # no common subsequence is longer than the words shared in any order, each as often as both have it
     y, x = np.nonzero(fresh)
     at = y * regions.shape[1] + x
-    times = np.minimum(np.diff(np.append(at, regions.size)), has[item[y], regions[y, x]])
+    times = np.minimum(np.diff(np.append(at, regions.size)), has.of(item[y], regions[y, x]))
     held = np.bincount(y, weights=times, minlength=len(regions))
     needed = np.where(lengths[item] <= SHORT_WORDS, SHORT, WITH_ANSWER)
     for k in np.flatnonzero(held / lengths[item] >= needed):
@@ -334,20 +353,26 @@ def contaminated(
 ) -> DataFrame:
     """One row for each document and benchmark item that it holds: cosine, share of common words, answer, first word.
 
-    Item ids must be integers or strings.
+    Items of one text are one item to the search, and each of their ids has its rows.
     """
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("words"))
-    blocks = max(1, math.ceil(items.count() / BLOCK_ITEMS))
+    items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text}`").alias("words")).where("words is not null")
+    keyed = items.withColumn("key", F.sha2("words", 256))
+    distinct = written(keyed.groupBy("key").agg(F.first("words").alias("words")), "items")
+    windows = F.sum(F.ceil(F.size(F.split("words", r"[\W_]+")) / HALF)).alias("windows")
+    size = distinct.agg(F.count("*").alias("items"), windows).first()
+    blocks = max(1, math.ceil(size["items"] / BLOCK_ITEMS), math.ceil((size["windows"] or 0) / BLOCK_WINDOWS))
     found = []
     for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == k).collect()  # about BLOCK_ITEMS items
+        rows = distinct.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).collect()  # about BLOCK_ITEMS texts of BLOCK_WINDOWS windows
         block = read_items([tuple(r) for r in rows])
         if not block.ids:
             continue
         coded = written(_coded(docs, block.vocabulary, id_col, text_col), "coded")
         found.append(Search(coded, block, id_col).found())
     if found:
-        return reduce(DataFrame.unionByName, found)
+        ids = keyed.select(F.col("key").alias("_key"), F.col("item").alias("_item"))
+        joined = reduce(DataFrame.unionByName, found).join(ids, F.col("item_id") == F.col("_key"))
+        return joined.select(id_col, F.col("_item").alias("item_id"), "cosine", "common", "answer", "start_word")
     kind = docs.schema[id_col].dataType.simpleString()
     item_kind = benchmark.schema[item_col].dataType.simpleString()
     return docs.sparkSession.createDataFrame([], f"`{id_col}` {kind}, item_id {item_kind}, cosine double, common double, answer boolean, start_word long")

@@ -240,3 +240,46 @@ def test_base_spans_equal_a_second_writing():
     for _ in range(3000):
         text = "".join(rng.choices(bits, k=rng.randint(1, 14)))
         assert [(s.kind, s.start, s.end) for s in secret_scan.spans(text, encoding) if s.kind in secret_scan.BASE_KINDS] == brute(text), text
+
+
+def test_contaminated_equals_all_pairs(spark, monkeypatch):
+    """Every document against every item by the longest common subsequence over all regions, without the latent search."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 12)  # several blocks
+    monkeypatch.setattr(decontaminate, "TILE_QUERIES", 3)
+    monkeypatch.setattr(decontaminate, "TILE_WINDOWS", 5)
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 7))) for _ in range(2000)]
+    draw = lambda n: rng.choices(words, k=n)
+    items = [draw(rng.choice([14, 30, 60, 200])) for _ in range(16)]
+    rows = []
+    for k in range(80):
+        text = draw(rng.randint(20, 120))
+        if k % 3 == 0:
+            leak = list(items[k % 16])
+            for _ in range(rng.choice([0, 1, len(leak) // 12, len(leak) // 2])):
+                leak[rng.randrange(len(leak))] = rng.choice(words)
+            at = rng.randint(0, len(text))
+            text[at:at] = leak
+        rows.append((k, " ".join(text)))
+    bench = spark.createDataFrame([(f"i{k}", " ".join(i)) for k, i in enumerate(items)] + [("again", " ".join(items[3])), (None, " ".join(items[6])), ("none", None)], "item_id string, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark, rows), bench).collect()}
+    want = set()
+    for k, text in rows:
+        for j, item in enumerate(items):
+            n, found = len(item), text.split()
+            share = max((brute_lcs(item, found[a : a + n + 64]) for a in range(0, max(1, len(found) - n), 16)), default=0) / n
+            if share >= (0.9 if n <= 12 else 0.65):
+                want |= {(k, name) for name in (f"i{j}", *(["again"] if j == 3 else []), *([None] if j == 6 else []))}
+    # the answer, half of which must be there, is the whole item here: one sentence
+    assert got == want and len(want) > 15
+
+
+def test_long_and_repeated_items(spark):
+    rng = random.Random(16)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(5000)]
+    long = [" ".join(rng.choices(words, k=3000)) for _ in range(6)]
+    short = " ".join(rng.choices(words, k=30))
+    bench = spark.createDataFrame([(k, t) for k, t in enumerate(long)] + [(100 + k, short) for k in range(3000)], "item_id long, text string")
+    docs = documents(spark, [(1, f"{short} {long[2]} end"), (2, " ".join(rng.choices(words, k=500))), (3, short)])
+    got = decontaminate.contaminated(docs, bench).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("item_id").alias("low")).collect()
+    assert {(r.doc_id, r.n, r.low) for r in got} == {(1, 3001, 2), (3, 3000, 100)}
