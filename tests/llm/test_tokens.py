@@ -1,6 +1,7 @@
 """Byte-pair encoding, token files and their round trips, against the tokenizers library."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -82,3 +83,28 @@ def test_token_files_read_back(spark, tmp_path):
     assert len(whole["value"]) == want[0][2] and whole["value"][-1] == 0
     empty = token_files.write_tokens(documents(spark).limit(0), BYTE_PATH, str(tmp_path / "none"))
     assert token_files.read_tokens(empty, str(tmp_path / "none")).count() == 0
+
+
+def test_starts_do_not_depend_on_the_partitioning(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 2, None]), rng.choice(["a b", "c d e", "same text", None, "x" * rng.randint(1, 9)])) for _ in range(400)] + [(2, "hot text")] * 300
+    seen = []
+    for k, parts in enumerate((1, 3, 7)):
+        docs = spark.createDataFrame(rng.sample(rows, len(rows)), "doc_id long, text string").repartition(parts)
+        folder = str(tmp_path / f"t{k}")
+        manifest = token_files.write_tokens(docs, BYTE_PATH, folder, shards=parts + 4)
+        assert manifest.agg({"n_docs": "max"}).first()[0] < 400  # the hot text is in several shards
+        seen.append(sorted(map(str, (tuple(r) for r in token_files.read_tokens(manifest, folder, token_files.crc32).collect()))))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 700
+
+
+def test_pieces_equal_the_library(monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN_PIECES", 300)
+    monkeypatch.setattr(token_files, "JOINED_WORDS", 7)
+    rng = random.Random(8)
+    bits = [" word", " Straße", "don't", " I'll", "12", " 345", "\n\n", "  ", " ", "ﬁne", " ½", "。", " Ελλάδα", " ǅ", "́", " áb", "<|endoftext|>", "#!", " " * 5, "\t"]
+    model = token_files.Pieces(BYTE_PATH)
+    for _ in range(60):
+        texts = ["".join(rng.choice(bits) + rng.choice(["", " " + "".join(rng.choices("abcdé", k=4))]) for _ in range(rng.randint(0, 60))) for _ in range(4)]
+        want = [LIBRARY[BYTE_PATH].encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, f"<u{model.width}").tolist() for x in model.encode_many(texts)] == want
