@@ -192,12 +192,18 @@ FROM customer
 """
 
 
+# Golden values, by the forms that PEOPLE gives to a customer's number; not from the engine's tables.
 @check("hospital_rules", f"""
 SELECT c_custkey,
-  {cases([(f"regexp_matches(email, {q(p)})", q(n or SITE)) for p, n in rules.EMAIL_SITES], "'Unknown'")} AS by_email,
-  {cases([(f"code = {q(k)}", q(v)) for k, v in rules.HOSPITAL_CODES.items()])} AS by_code,
-  {cases([(f"biobank ILIKE {q('%' + p + '%')}", q(n)) for p, n in rules.BIOBANK_SITES], "biobank")} AS by_biobank,
-  {cases([(f"upper_name = {q(h.upper())}", q(h)) for h in rules.UPPER_HOSPITALS])} AS by_name,
+  CASE CAST(c_custkey % 13 AS INT) WHEN 0 THEN 'RS PON Prof. Dr. dr. Mahar Mardjono' WHEN 1 THEN 'RSUP Dr. Sardjito' WHEN 2 THEN 'RS Dr. Cipto Mangunkusumo'
+    WHEN 3 THEN 'PKIAN RSAB Harapan Kita' WHEN 4 THEN 'RS Kanker Dharmais' WHEN 5 THEN 'RSPJD Harapan Kita' WHEN 6 THEN {q(SITE)} WHEN 7 THEN 'RSUP Prof. Dr. IGNG Ngoerah Denpasar'
+    WHEN 8 THEN 'RSPI Prof. Dr. Sulianti Saroso' WHEN 9 THEN 'RSUP Persahabatan' WHEN 10 THEN {q(SITE)} ELSE 'Unknown' END AS by_email,
+  CASE CAST(c_custkey % 8 AS INT) WHEN 0 THEN 'RS Kanker Dharmais' WHEN 1 THEN 'RSUP Persahabatan' WHEN 2 THEN 'RS PON Prof. Dr. dr. Mahar Mardjono'
+    WHEN 3 THEN 'RSUP Prof. Dr. IGNG Ngoerah Denpasar' WHEN 4 THEN 'RSUP Dr. Sardjito' WHEN 5 THEN 'RSPI Prof. Dr. Sulianti Saroso' WHEN 6 THEN 'RS Dr. Cipto Mangunkusumo' END AS by_code,
+  CASE CAST(c_custkey % 9 AS INT) WHEN 0 THEN 'RS Dr. Cipto Mangunkusumo' WHEN 1 THEN 'RSPI Prof. Dr. Sulianti Saroso' WHEN 2 THEN 'RSUP Dr. Sardjito'
+    WHEN 3 THEN 'RS PON Prof. Dr. dr. Mahar Mardjono' WHEN 4 THEN 'RSUP Persahabatan' WHEN 5 THEN 'RS Kanker Dharmais' WHEN 6 THEN 'RSUP Prof. Dr. IGNG Ngoerah Denpasar'
+    ELSE biobank END AS by_biobank,
+  CASE WHEN c_custkey % 3 = 0 THEN 'RS Kanker Dharmais' END AS by_name,
   regexp_replace(regexp_replace(biobank, 'Biobank ', ''), '; .+', '') AS first_site
 FROM ({PEOPLE})
 """)
@@ -231,10 +237,10 @@ def _participants(t):
     )
 
 
-@check("recruitment_targets", f"""
-SELECT c_custkey, target FROM (
-  SELECT c_custkey, {cases([(f"regexp_matches(email, {q(p)})", q(n or SITE)) for p, n in rules.EMAIL_SITES], "'Unknown'")} AS site FROM ({PEOPLE}))
-LEFT JOIN (VALUES {", ".join(f"({q(n or SITE)}, {v})" for n, v in rules.TARGETS)}) v(name, target) ON site = name
+@check("recruitment_targets", """
+SELECT c_custkey, CASE CAST(c_custkey % 13 AS INT) WHEN 0 THEN 1950 WHEN 1 THEN 900 WHEN 2 THEN 3800 WHEN 3 THEN 1500 WHEN 4 THEN 4800 WHEN 5 THEN 1000
+  WHEN 6 THEN 2468 WHEN 7 THEN 1400 WHEN 8 THEN 1250 WHEN 9 THEN 1250 WHEN 10 THEN 2468 END AS target
+FROM customer
 """)
 def _targets(t):
     from strandmart.plans.staging.demography import with_target

@@ -1,5 +1,6 @@
 """Silver clean-ups, on raw frames derived from the test tables."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from strandmart.checks.registry import check, day, stamp
 from strandmart.checks.rule_checks import RUNS
 from strandmart.plans import silver
 from strandmart.plans.silver import SPECS
+from strandmart.session import shared_folder
 from strandmart.settings import Buckets
 
 B = Buckets()
@@ -364,14 +366,16 @@ def _documents(t):
 GROUP_A, GROUP_B = "Formulir-Rekrutmen_Registrasi", "Spesifik-Penyakit-Examination--x"
 
 
-@check("silver_flatten_documents", f"""
+FLATTENED = """
 WITH base AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, 'AAA' || CAST(o_custkey AS VARCHAR) AS id_subject,
     CASE WHEN o_orderkey % 2 = 0 THEN 'phenovar_docs_rekrutmen_registrasi_s' ELSE 'phenovar_docs_exam-x_s' END AS form_table FROM orders WHERE o_orderkey % 10 <> 9)
 SELECT form_table, id_subject, CAST(o_orderkey AS VARCHAR) AS version, 'Section|' || 'Variable ' || CAST(o_orderkey % 25 AS VARCHAR) AS path, o_orderstatus AS value FROM base
 UNION ALL SELECT form_table, id_subject, CAST(o_orderkey AS VARCHAR), 'Koleksi.Tipe', o_orderpriority FROM base
 UNION ALL SELECT form_table, id_subject, CAST(o_orderkey AS VARCHAR), 'Nomor EC', 'EC1' FROM base WHERE o_orderkey % 2 = 0
-""")
-def _flatten(t):
+"""
+
+
+def _flattened(t):
     """Questionnaires as Python-literal text: ids become names, help texts go, registry answers stay in one group."""
     uuid = F.format_string("%08d-aaaa-bbbb-cccc-ddddeeeeffff", F.col("o_orderkey") % 25)
     group = F.when(F.col("o_orderkey") % 2 == 0, GROUP_A).otherwise(GROUP_B)
@@ -390,8 +394,20 @@ def _flatten(t):
         F.format_string("%08d-aaaa-bbbb-cccc-ddddeeeeffff", F.col("n_nationkey")).alias("id"),
         F.concat(F.lit(" Variable "), F.col("n_nationkey").cast("string"), F.lit(" ")).alias("name"),
     )
-    out = silver.flatten_documents(rows, variables)
-    return out.select(silver.group_table("form_group").alias("form_table"), "id_subject", "version", "path", "value")
+    return silver.flatten_documents(rows, variables)
+
+
+@check("silver_flatten_documents", FLATTENED)
+def _flatten(t):
+    return _flattened(t).select(silver.group_table("form_group").alias("form_table"), "id_subject", "version", "path", "value")
+
+
+@check("documents_by_form", FLATTENED)
+def _written(t):
+    """The long answers as one folder for each form group, read back."""
+    root = f"{shared_folder(t.spark)}/forms-{uuid.uuid4().hex}"
+    silver.write_documents(_flattened(t), root)
+    return t.spark.read.option("inferSchema", False).parquet(root).select("form_table", "id_subject", "version", "path", "value")
 
 
 @check("silver_biosamples", "SELECT o_orderkey AS id, o_custkey AS id_patient, o_orderstatus AS biosample_status, o_orderpriority AS origin_code_repository FROM orders")

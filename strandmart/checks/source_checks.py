@@ -96,6 +96,32 @@ def _split(t):
     return read.select("id", "note", (F.col(bronze.ROW_ORDER) == F.struct(*[F.lit(x).alias(n) for n, x in last.asDict().items()])).cast("int").alias("is_last"))
 
 
+@check("bronze_day", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority AS note, CAST(NULL AS VARCHAR) AS absent FROM orders WHERE o_orderstatus = 'O'")
+def _bronze_day(t):
+    """The file of one date, named by it, next to one of another date; a column that it lacks is null, and a date without a file is empty."""
+    root = scratch(t)
+    texts = t["orders"].filter("o_orderstatus <> 'P'").groupBy(F.col("o_orderstatus").alias("file")).agg(
+        F.concat(F.lit("note,o_orderkey\n"), F.array_join(F.collect_list(F.concat_ws(",", "o_orderpriority", F.col("o_orderkey").cast("string"))), "\n")).alias("value")
+    )
+    _csv_files(t, texts, f"{root}/all")
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for status, ds in (("O", "2025-01-01"), ("F", "2025-01-02")):
+        files.rename(files.globStatus(path(f"{root}/all/file={status}/*.csv"))[0].getPath(), path(f"{root}/{ds}.csv"))
+    names = ["o_orderkey", "note", "absent"]
+    return bronze.read_bronze(t.spark, root, "2025-01-01", names).unionByName(bronze.read_bronze(t.spark, root, "2030-01-01", names)).select(*names)
+
+
+@check("full_refresh", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'O'")
+def _refresh(t):
+    """A table written twice holds the second writing only."""
+    root = scratch(t)
+    rows = t["orders"].select("o_orderkey", "o_orderstatus")
+    for kept in (F.col("o_orderstatus") == "O", F.col("o_orderstatus") != "O"):
+        tables.full_refresh(rows.filter(kept), root)
+    return t.spark.read.parquet(root)
+
+
 @check("row_order", """
 SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1
 """)
@@ -553,6 +579,33 @@ def _summary(t):
     return reports.parse_summary(files).select("prefix", "started_at", "instrument", "id_flowcell", "position")
 
 
+@check("ont_chain", """
+SELECT 'L' || k AS id_library, 's3://b/L' || k || '/s/bam_pass/C' || k || '_t/' AS bam_folder, 'C' || k || '_t' AS alias, 'C' || k AS id_repository, total_bases, bam_size, date_upload,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'i' || o_orderstatus END AS instrument
+FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k, CASE WHEN o_orderstatus = 'O' THEN CAST(o_custkey AS BIGINT) END AS total_bases, CAST(10 + o_custkey AS BIGINT) AS bam_size,
+  strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS date_upload FROM orders)
+""")
+def _ont_chain(t):
+    """Reports of some runs, empty ones of others, folders for the rest; folder sizes and summaries joined to all."""
+    status, key = F.col("o_orderstatus"), F.col("o_orderkey").cast("string")
+    prefix = F.concat(F.lit("L"), key, F.lit("/s/"))
+    barcode = F.concat(F.lit("C"), key, F.lit("_t"))
+    entry = F.to_json(F.array(F.struct(barcode.alias("barcode"), F.col("o_custkey").cast("bigint").alias("total_bases"), F.lit(50).cast("bigint").alias("passed_bases_percent"))))
+    html = F.concat(F.lit('<script>{"barcode_reads": '), F.when(status == "O", entry).otherwise("[]"), F.lit("}</script>"))
+    files = t["orders"].filter(status != "P").select(F.concat(prefix, F.lit("report_1.html")).alias("key"), html.alias("content"))
+    objects = [("/a.bam", F.lit(10), F.col("o_orderdate"), barcode), ("/b.bam", F.col("o_custkey"), F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), barcode),
+               ("/c.bam", F.lit(7), F.col("o_orderdate"), F.lit("barcode01")), ("/d.bam", F.lit(7), F.col("o_orderdate"), F.lit("Unclassified"))]
+    inventory = None
+    for name, size, date, folder in objects:
+        part = t["orders"].select(F.concat(prefix, F.lit("bam_pass/"), folder, F.lit(name)).alias("key"), size.cast("bigint").alias("size"), date.cast("timestamp").alias("last_modified"))
+        inventory = part if inventory is None else inventory.unionByName(part)
+    summaries = t["orders"].filter("o_orderkey % 2 = 0").select(
+        F.concat(prefix, F.lit("final_summary_x.txt")).alias("key"), F.concat(F.lit("instrument=i"), status, F.lit("\n")).alias("content")
+    )
+    out = reports.ont_samples(reports.ont_barcodes(files, inventory), reports.parse_summary(summaries), inventory, "b")
+    return out.select("id_library", "bam_folder", "alias", "id_repository", F.col("total_bases").cast("bigint").alias("total_bases"), F.col("bam_size").cast("bigint").alias("bam_size"), "date_upload", "instrument")
+
+
 @check("log_lines", """
 SELECT conv_id, turn, CAST(len(string_split(text, chr(10))) AS BIGINT) AS lines,
   CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[0-9]'))) AS BIGINT) AS numbered
@@ -674,6 +727,35 @@ def _sheets(t):
     )
 
 
+@check("sheets_others", """
+SELECT 'A' || CAST(o_orderkey AS VARCHAR) AS code_repository, 'ILLUMINA' AS platform, round(o_totalprice, 2) AS volume_remain, strftime(o_orderdate, '%Y-%m-%d') AS delivery_date,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M') AS extraction_date, strftime(o_orderdate, '%Y-%m-%d') AS finish, o_orderstatus AS sequencing_status FROM orders
+UNION ALL SELECT 'B' || CAST(o_orderkey AS VARCHAR), 'MGI', round(o_totalprice, 2), NULL, strftime(o_orderdate, '%Y-%m-%d') || ' 08:30', strftime(o_orderdate, '%Y-%m-%d'), o_orderstatus FROM orders
+UNION ALL SELECT 'C' || CAST(o_orderkey AS VARCHAR), 'MGI', round(o_totalprice, 2), NULL, strftime(o_orderdate, '%Y-%m-%d') || ' 08:30', strftime(o_orderdate, '%Y-%m-%d'), o_orderstatus FROM orders
+UNION ALL SELECT 'D' || CAST(o_orderkey AS VARCHAR), 'MGI', round(o_totalprice, 2), NULL, strftime(o_orderdate, '%Y-%m-%d') || ' 08:30', strftime(o_orderdate, '%Y-%m-%d'), o_orderstatus FROM orders
+""")
+def _other_sheets(t):
+    """The other four sheets, each with its own positions and date formats."""
+    def wide(width, mark, code, filled):
+        key = F.concat(F.lit(mark), F.col("o_orderkey").cast("string"))
+        return t["orders"].select(*[(key if i == code else filled.get(i, F.lit("-"))).alias(f"c{i}") for i in range(width)])
+
+    volume, status = F.col("o_totalprice").cast("string"), F.col("o_orderstatus")
+    dashed, slashed = F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "yyyy/MM/dd")
+    timed, spaced = F.date_format("o_orderdate", "yyMMdd';08:30'"), F.date_format("o_orderdate", "yyMMdd'; 08:30'")
+    made = [
+        ("illumina_2025", wide(74, "A", 5, {9: volume, 10: dashed, 15: slashed, 71: slashed, 73: status})),
+        ("mgi_2024", wide(79, "B", 2, {7: volume, 11: timed, 69: dashed, 78: status})),
+        ("mgi_2025", wide(62, "C", 4, {8: volume, 10: spaced, 59: dashed, 61: status})),
+        ("mgi_2025_from_ont", wide(63, "D", 4, {8: volume, 10: spaced, 60: dashed, 62: status})),
+    ]
+    out = sheets.sheets_union([(rows, sheets.SHEETS[name]) for name, rows in made])
+    return out.select(
+        "code_repository", "platform", cents("volume_remain").alias("volume_remain"), day("delivery_date").alias("delivery_date"),
+        F.date_format("extraction_date", "yyyy-MM-dd HH:mm").alias("extraction_date"), day("sequencing_finish_date").alias("finish"), "sequencing_status",
+    )
+
+
 @check("any_recent", "SELECT 1 AS found FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' LIMIT 1")
 def _any(t):
     objects = t["events"].select(F.col("event_type").alias("key"), F.col("ts").alias("last_modified"))

@@ -124,6 +124,15 @@ def barcodes_from_folders(inventory: DataFrame, reported: DataFrame) -> DataFram
     return rows.join(reported.select("prefix").distinct(), "prefix", "left_anti")
 
 
+def ont_barcodes(reports: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Barcodes of all runs: those of the reports, and for runs without a usable report the alignment folders, whose bases are unknown."""
+    reported = parse_html_reports(reports)
+    kinds = dict(reported.dtypes)
+    unknown = {c: F.lit(None).cast(kinds[c]) for c in ("total_bases", "passed_bases_percent")}
+    folders = barcodes_from_folders(inventory, reported).withColumns({"key": F.col("prefix"), **unknown})
+    return reported.unionByName(_barcode_fields(folders).select(*reported.columns))
+
+
 def _barcode_fields(rows: DataFrame) -> DataFrame:
     bases, percent = F.col("total_bases"), F.col("passed_bases_percent")
     passed = F.when((bases != 0) & (percent != 0), F.floor(bases * (percent / 100)))
