@@ -22,18 +22,22 @@ import math
 import re
 from dataclasses import dataclass
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandmart.llm.bpe import is_latin
 from strandmart.llm.tables import written
 
 #: Items and windows of items searched together, rank of the latent space, and terms whose sums travel together.
 BLOCK_ITEMS, BLOCK_WINDOWS, RANK, TERM_BLOCK = 2000, 16_000, 64, 256
 #: Windows of documents and of items whose cosines are computed together.
-TILE_WINDOWS, TILE_QUERIES = 4096, 4096
+TILE_WINDOWS, TILE_QUERIES = 8192, 4096
+#: Bits of the hashes of (item, code) that are mapped.
+HELD_BITS = 21
 #: Terms in more than this share of the half windows are left out of the vectors, unless they are among an item's rarest.
 FREQUENT, RAREST = 0.02, 8
 #: Words of half a window; windows are two halves and start at each half.
@@ -45,10 +49,13 @@ COSINE, WITHOUT_ANSWER, WITH_ANSWER, SHORT_WORDS, SHORT = 0.5, 0.8, 0.65, 12, 0.
 CHUNK, CODED = 8192, 400_000
 
 WORD = re.compile(r"[^\W_]+")
+#: The same for Latin-1 texts, as a plain set of characters.
+LATIN_WORD = re.compile("[" + re.escape("".join(c for c in map(chr, range(256)) if WORD.match(c))) + "]+")
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    low = text.lower() if text else ""
+    return (LATIN_WORD if is_latin(low) else WORD).findall(low)
 
 
 @dataclass
@@ -86,7 +93,8 @@ def _coded(docs: DataFrame, vocabulary: dict[str, int], id_col: str, text_col: s
     def code(batches):
         get, other = shared.value.get, len(shared.value)
         for batch in batches:
-            out = [np.array([get(w, other) for w in words(t.as_py())], width).tobytes() for t in batch.column(1)]
+            found = (words(t.as_py()) for t in batch.column(1))
+            out = [np.fromiter(map(get, w, repeat(other)), width, len(w)).tobytes() for w in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], [id_col, "codes"])
 
     return slim.mapInArrow(code, f"`{id_col}` {kind}, codes binary")
@@ -144,17 +152,26 @@ def _groups(batches, width: str):
 
 
 class WordCounts:
-    """How often each item has each code, by search among the pairs that there are."""
+    """How often each item has each code, by search among the pairs that there are; a map of their hashes answers for most that there are not."""
 
     def __init__(self, codes: list[np.ndarray], size: int) -> None:
         self.size = size
         pairs = np.concatenate([k * size + c for k, c in enumerate(codes)])
         self.pairs, self.counts = np.unique(pairs, return_counts=True)
+        self.held = np.zeros(2**HELD_BITS, bool)
+        self.held[self._hash(self.pairs)] = True
+
+    @staticmethod
+    def _hash(pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HELD_BITS)
 
     def of(self, item: np.ndarray, code: np.ndarray) -> np.ndarray:
         wanted = item * self.size + code
-        place = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-        return np.where(self.pairs[place] == wanted, self.counts[place], 0)
+        out = np.zeros(len(wanted), np.int64)
+        near = np.flatnonzero(self.held[self._hash(wanted)])
+        place = np.minimum(np.searchsorted(self.pairs, wanted[near]), len(self.pairs) - 1)
+        out[near] = np.where(self.pairs[place] == wanted[near], self.counts[place], 0)
+        return out
 
 
 class Search:
@@ -277,8 +294,8 @@ class Search:
                     for j in range(0, queries.shape[1], TILE_QUERIES):
                         cosine = made @ queries[:, j : j + TILE_QUERIES]
                         w, q = np.nonzero(cosine >= least[j : j + TILE_QUERIES])
-                        # regions together are as wide as the longest item
-                        step = max(1, CHUNK * 4 * HALF // int(lengths.max() + 4 * HALF))
+                        # a region is as wide as the longest item, so long items take fewer regions at once
+                        step = max(1, CHUNK * 8 * HALF // int(lengths.max() + 4 * HALF))
                         for p in range(0, len(w), step):
                             near, query = w[p : p + step], q[p : p + step]
                             _decide(x[near], query + j, cosine[near, query], rows.ravel(), texts, begins, codes, item_of, offset, has, lengths, items, best)

@@ -283,3 +283,9 @@ def test_long_and_repeated_items(spark):
     docs = documents(spark, [(1, f"{short} {long[2]} end"), (2, " ".join(rng.choices(words, k=500))), (3, short)])
     got = decontaminate.contaminated(docs, bench).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("item_id").alias("low")).collect()
     assert {(r.doc_id, r.n, r.low) for r in got} == {(1, 3001, 2), (3, 3000, 100)}
+
+
+def test_words_are_the_same_by_either_pattern():
+    for text in ("Ünïcödé wörds_and 12½ ª² x", "Ελλάδα and ümlaut_x", "", None, " _ ", "".join(map(chr, range(1, 700)))):
+        assert decontaminate.words(text) == re.findall(r"[^\W_]+", (text or "").lower())
+    assert decontaminate.words("".join(map(chr, range(1, 256)))) == re.findall(r"[^\W_]+", "".join(map(chr, range(1, 256))).lower())
