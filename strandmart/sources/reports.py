@@ -6,13 +6,15 @@ parallel and one file never meets another.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmart.functions.dates import parse_nanos
 from strandmart.functions.text import capture_or_null, part
+from strandmart.session import shared_folder
 
 
 def read_whole(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -204,32 +206,28 @@ SESSION = (
 def _recent_sessions(sessions: DataFrame, ds) -> DataFrame:
     changed = F.coalesce(parse_nanos("DateModified"), parse_nanos("DateCreated"))
     kept = F.col("Name").contains("BCLConvert") & F.col("Id").isNotNull() & (changed >= F.lit(ds).cast("timestamp"))
-    items = F.filter("Properties.Items", lambda i: i.Name.isNotNull())
-    # The last of equal names wins, as in a dictionary.
-    pairs = F.aggregate(
-        items,
-        F.from_json(F.lit("{}"), "map<string,string>"),
-        lambda acc, i: F.map_concat(
-            F.map_filter(acc, lambda k, v: k != i.Name), F.create_map(i.Name, i.Content)
-        ),
-    )
-    runs = F.filter("Properties.Items", lambda i: i.Name == "Input.Runs")
-    return sessions.filter(kept).select(
+    runs = F.filter("items", lambda i: i.Name == "Input.Runs")
+    return sessions.filter(kept).withColumn("items", F.col("Properties.Items")).select(
         F.col("Id").alias("session_id"), F.col("Name").alias("session_name"),
         F.col("DateCreated").alias("date_created"), F.col("DateModified").alias("date_modified"),
         F.col("ExecutionStatus").alias("execution_status"), F.col("HrefIcaAnalysis").alias("ica_link"),
-        pairs.alias("properties"),
-        F.try_element_at(runs, F.lit(-1)).getField("RunItems").alias("run_items"),
+        "items", F.try_element_at(runs, F.lit(-1)).getField("RunItems").alias("run_items"),
     )
 
 
+def _property(name: str) -> Column:
+    """Content of the last item of a name: the last of equal names wins, as in a dictionary."""
+    return F.try_element_at(F.filter("items", lambda i: i.Name == name), F.lit(-1)).getField("Content")
+
+
 def sessions_to_runs(sessions: DataFrame, ds) -> DataFrame:
     """Run rows of conversion sessions changed since the cut-off."""
-    rows = _recent_sessions(sessions, ds).withColumn("run", F.explode("run_items"))
+    shared = ["session_id", "session_name", "date_created", "date_modified", "execution_status", "ica_link", "ica_project_id", "workflow_reference"]
+    rows = _recent_sessions(sessions, ds).withColumns(
+        {"ica_project_id": _property("ICA.ProjectId"), "workflow_reference": _property("ICA.WorkflowSessionUserReference")}
+    ).select(*shared, F.explode("run_items").alias("run"))
     return rows.select(
-        "session_id", "session_name", "date_created", "date_modified", "execution_status", "ica_link",
-        F.col("properties")["ICA.ProjectId"].alias("ica_project_id"),
-        F.col("properties")["ICA.WorkflowSessionUserReference"].alias("workflow_reference"),
+        *shared,
         F.col("run.Id").alias("run_id"), F.col("run.Name").alias("run_name"),
         F.col("run.SequencingStats.PercentGtQ30").alias("percent_gt_q30"),
         F.col("run.FlowcellBarcode").alias("flowcell_barcode"),
@@ -265,14 +263,59 @@ def _first_mentions(names: DataFrame, pieces: DataFrame, texts: DataFrame) -> Da
     return found.unionByName(odd.select("log", "name", (F.size(F.split(before, GENERATED)) - 1).alias("piece")))
 
 
+#: Characters to go through, names times length, up to which a log's names are looked up in its own row.
+ROW_WORK = 4_000_000
+
+
+def _row_yields() -> Column:
+    """Yields of a short log: name, id, yield and generated sample for each yield line."""
+    lines = F.filter(F.split("content", r"\r\n|\r|\n"), lambda line: line.rlike(YIELD_LINE))
+    pieces = F.split("content", GENERATED)
+
+    def generated(name):
+        holding = F.array_position(F.transform(pieces, lambda p: F.contains(p, name)), True)
+        before = F.substr(F.col("content"), F.lit(1), F.position(name, "content") - 1)
+        piece = F.when(name.rlike(WORD), holding).otherwise(F.size(F.split(before, GENERATED)))
+        return F.regexp_extract(F.get(pieces, F.when(piece > 0, piece).cast("int")), r"^\d+", 0)
+
+    def fields(line):
+        name, ident, bps = (F.regexp_extract(line, YIELD_LINE, k) for k in (1, 2, 3))
+        return F.struct(name.alias("name"), ident.alias("biosample_id"), bps.alias("bps"), generated(name).alias("generated_sample_id"))
+
+    return F.transform(lines, fields)
+
+
 def parse_yield_log(logs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Biosample yield rows of session log text (``content``).
 
-    The generated sample is the first one reported after the first mention of the biosample, anywhere later in the text.  A text is cut into
-    lines and into pieces between generated samples once; yields, first mentions and ids then meet in joins, so that
+    The generated sample is the first one reported after the first mention of the biosample, anywhere later in the text.  A log of
+    few names is parsed in its own row.  For the others the work would grow with the square of the log: see ``_long_logs``.  The rows are
+    written once, short logs parsed and long ones as they are, so the input is read once and short logs are never shuffled.
+    """
+    spark = logs.sparkSession
+    names = F.size(F.split("content", "Computed yield for biosample '")) - 1
+    is_short = names.cast("bigint") * F.length("content") <= ROW_WORK
+    folder = f"{shared_folder(spark)}/logs-{uuid.uuid4().hex}"
+    logs.filter(F.col("content").isNotNull()).select(
+        *keep, F.when(is_short, _row_yields()).alias("_yields"), F.when(~is_short, F.col("content")).alias("content")
+    ).write.parquet(folder)
+    staged = spark.read.parquet(folder)
+    parsed = staged.select(*keep, F.explode("_yields").alias("y")).select(*keep, "y.*")
+    long = staged.filter(F.col("content").isNotNull()).drop("_yields")
+    if not long.isEmpty():
+        parsed = parsed.unionByName(_long_logs(long, keep))
+    return parsed.select(
+        *keep, F.col("name").alias("biosample_name"), "biosample_id", F.col("bps").try_cast("bigint").alias("computed_yield_bps"), "generated_sample_id"
+    )
+
+
+def _long_logs(logs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Yields of long logs.
+
+    A text is cut into lines and into pieces between generated samples once; yields, first mentions and ids then meet in joins, so that
     time follows the length of the log and no row carries the whole text.
     """
-    keyed = logs.filter(F.col("content").isNotNull()).withColumn("log", F.sha2("content", 256))
+    keyed = logs.withColumn("log", F.sha2("content", 256))
     texts = keyed.select("log", "content").dropDuplicates(["log"])
     lines = texts.select("log", F.explode(F.split("content", r"\r\n|\r|\n")).alias("line")).filter(F.col("line").rlike(YIELD_LINE))
     found = [F.regexp_extract("line", YIELD_LINE, k) for k in (1, 2, 3)]
@@ -283,18 +326,15 @@ def parse_yield_log(logs: DataFrame, keep: Sequence[str]) -> DataFrame:
         "log", (F.col("piece") - 1).alias("piece"), F.regexp_extract("text", r"^\d+", 0).alias("generated_sample_id")
     )
     parsed = yields.join(first, ["log", "name"], "left").join(ids, ["log", "piece"], "left")
-    return keyed.drop("content").join(parsed, "log").select(
-        *keep, F.col("name").alias("biosample_name"), "biosample_id", F.col("bps").try_cast("bigint").alias("computed_yield_bps"), "generated_sample_id"
-    )
+    return keyed.drop("content").join(parsed, "log").select(*keep, "name", "biosample_id", "bps", "generated_sample_id")
 
 
 def sessions_to_biosamples(sessions: DataFrame, ds) -> DataFrame:
-    """Yield rows per run of each recent session."""
-    rows = _recent_sessions(sessions, ds).withColumn("run", F.explode("run_items"))
-    rows = rows.select(
-        "session_id", "session_name", "date_created", F.col("run.Name").alias("run_name"),
-        F.col("run.ExperimentName").alias("experiment_name"), F.col("run.DateCreated").alias("run_date_created"),
-        F.col("properties")["Logs.Tail"].alias("content"),
-    )
-    keep = ["session_id", "session_name", "date_created", "run_name", "experiment_name", "run_date_created"]
-    return parse_yield_log(rows, keep)
+    """Yield rows per run of each recent session; a session's log is parsed once, whatever its runs."""
+    runs = F.transform("run_items", lambda r: F.struct(r.Name.alias("run_name"), r.ExperimentName.alias("experiment_name"), r.DateCreated.alias("run_date_created")))
+    shared = ["session_id", "session_name", "date_created"]
+    rows = _recent_sessions(sessions, ds).filter(F.size("run_items") > 0)
+    rows = rows.select(*shared, runs.alias("runs"), _property("Logs.Tail").alias("content"))
+    found = ["biosample_name", "biosample_id", "computed_yield_bps", "generated_sample_id"]
+    parsed = parse_yield_log(rows, [*shared, "runs"]).select(*shared, *found, F.explode("runs").alias("run"))
+    return parsed.select(*shared, "run.*", *found)
