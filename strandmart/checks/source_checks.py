@@ -662,7 +662,8 @@ def _sessions(t):
             F.struct(items.alias("Items")).alias("Properties"),
         )
     )
-    parsed = F.from_json(text, reports.SESSION).alias("s")
+    # a generator: later filters and columns read the parsed text instead of parsing it once more each
+    parsed = F.explode(F.array(F.from_json(text, reports.SESSION))).alias("s")
     return rows.select(parsed).select("s.*")
 
 
