@@ -16,7 +16,7 @@ from strandmart.operators.aggregates import concat_distinct, distinct_text, sort
 from strandmart.operators.joins import anti_null_safe, anti_on, left_on, lookup, semi_on
 from strandmart.operators.ranking import latest_by
 from strandmart.operators.shape import union_padded
-from strandmart.plans.steps import once
+from strandmart.plans.steps import numbered, once
 from strandmart.settings import Settings
 
 # Form names and answer paths.
@@ -126,7 +126,7 @@ def registry_b_types(tables) -> DataFrame:
 PERSON = {
     "regina_id_subject": "string", "phenovar_id_subject": "string", "birth_date": "date", "sex": "string",
     "province": "string", "creation_date": "timestamp", "nomor_ec": "string", "judul_penelitian": "string",
-    "participant_type": "string", "duplicate_name_nik_id_subject": "string",
+    "participant_type": "string", "_duplicate": "bigint",
 }
 
 
@@ -178,8 +178,20 @@ def same_name_and_id(people: DataFrame) -> DataFrame:
     return groups.filter("ct > 1").drop("ct")
 
 
-def all_persons(tables) -> DataFrame:
-    """Both registries; a subject that moved counts once, under the older registry."""
+def duplicate_texts(tables, people: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``full_name``, ``nik`` and ``_duplicate``, and the text of each ``_duplicate``: numbers in the order of the texts.
+
+    All members of a group have the group's whole text, so rows that carried it would grow with the square of the group.  They
+    carry its number, which compares and ties as the text does, and get the text when nothing is left to sort or shuffle.
+    """
+    groups = once(tables, "same_name_and_id", same_name_and_id(people))
+    column = "duplicate_name_nik_id_subject"
+    texts = numbered(tables, "duplicate_texts", groups.select(column).distinct().orderBy(column), "_duplicate")
+    return left_on(groups, texts, {column: column}, ["_duplicate"]).select("full_name", "nik", "_duplicate"), texts
+
+
+def all_persons(tables) -> tuple[DataFrame, DataFrame]:
+    """Both registries, a subject that moved counts once, under the older registry; and the texts of ``_duplicate``."""
     a, b = registry_a_persons(tables), once(tables, "registry_b", registry_b_persons(tables))
     merged = left_on(
         a, b, {"phenovar_id_subject": "phenovar_id_subject"},
@@ -193,15 +205,14 @@ def all_persons(tables) -> DataFrame:
     only_b = anti_on(b, moved_subjects(tables), "phenovar_id_subject", "phenovar_id_subject")
     only_b = left_on(only_b, registry_b_types(tables), {"phenovar_id_subject": "id_subject"}, ["participant_type"])
     only_b = once(tables, "only_registry_b", only_b)
-    only_b = left_on(
-        only_b, same_name_and_id(only_b), {"nik": "nik", "full_name": "full_name"}, ["duplicate_name_nik_id_subject"]
-    )
-    return union_padded([merged, only_b], PERSON).distinct()
+    groups, texts = duplicate_texts(tables, only_b)
+    only_b = left_on(only_b, groups, {"nik": "nik", "full_name": "full_name"}, ["_duplicate"])
+    return union_padded([merged, only_b], PERSON).distinct(), texts
 
 
-def subjects(tables) -> DataFrame:
-    """Subjects with age, exclusion and all their clearances as one text."""
-    people = all_persons(tables)
+def subjects(tables) -> tuple[DataFrame, DataFrame]:
+    """Subjects with age, exclusion and all their clearances as one text; and the texts of ``_duplicate``."""
+    people, texts = all_persons(tables)
     # An exclusion may name either id: two joins on unique keys instead of a join with OR.
     reasons = once(tables, "exclusions", tables["demography_exclusion"].groupBy("id_subject").agg(F.min("reason").alias("reason")))
     for i, column in enumerate(("regina_id_subject", "phenovar_id_subject")):
@@ -220,12 +231,13 @@ def subjects(tables) -> DataFrame:
         "id_subject regina_id_subject phenovar_id_subject sex province age_at_recruitment creation_date "
         "participant_type is_excluded"
     ).split()
-    return people.groupBy(*keys).agg(
+    out = people.groupBy(*keys).agg(
         F.min("exclusion_reason").alias("exclusion_reason"),
-        F.min("duplicate_name_nik_id_subject").alias("duplicate_name_nik_id_subject"),
+        F.min("_duplicate").alias("_duplicate"),
         distinct_text("nomor_ec", "; ").alias("nomor_ec"),
         distinct_text("judul_penelitian", "; ").alias("judul_penelitian"),
     ).withColumnRenamed("participant_type", "registry_participant_type")
+    return out, texts
 
 
 # --- biobank --------------------------------------------------------------
@@ -312,8 +324,9 @@ def run(tables, settings: Settings) -> DataFrame:
     """``tables['gold_qc']`` is the snapshot of the previous run."""
     biobank = once(tables, "biobank_subjects", biobank_subjects(specimens(tables)))
     by_subject = {"id_subject": "id_subject"}
+    people, texts = subjects(tables)
     out = left_on(
-        subjects(tables), sites(tables, biobank), by_subject,
+        people, sites(tables, biobank), by_subject,
         {"hospital_name": "hospital_name", "has_tiered_digital_consent": "has_tiered_digital_consent",
          "is_excluded": "_site_excluded"},
     )
@@ -326,7 +339,7 @@ def run(tables, settings: Settings) -> DataFrame:
 
     no, zero = F.lit(False), F.lit(0).cast("bigint")
     out = out.select(
-        "id_subject", "regina_id_subject", "phenovar_id_subject", "duplicate_name_nik_id_subject", "hospital_name",
+        "id_subject", "regina_id_subject", "phenovar_id_subject", "_duplicate", "hospital_name",
         "sex", rules.province_name("province").alias("province"), "age_at_recruitment", "creation_date",
         "registry_participant_type", "biobank_participant_type",
         rules.participant_type(
@@ -344,6 +357,9 @@ def run(tables, settings: Settings) -> DataFrame:
     first = latest_by(out, ["id_subject", "hospital_name", "nomor_ec"], [F.asc_nulls_first("creation_date")])
     provinces = tables["provinsi"].select(F.upper("name").alias("_name"), "iso_name")
     first = lookup(first, provinces, {"province": "_name"}, {"iso_name": "_iso"})
-    return first.withColumn("province_iso_code", rules.province_iso("_iso")).drop("_iso")
+    first = first.withColumn("province_iso_code", rules.province_iso("_iso")).drop("_iso")
+    text = "duplicate_name_nik_id_subject"
+    final = left_on(first, texts, {"_duplicate": "_duplicate"}, {text: text})
+    return final.select(*[text if c == "_duplicate" else c for c in first.columns])
 
 
