@@ -36,13 +36,14 @@ def run(tables):
 
     by_id = {"id_repository": "id_repository"}
     out = left_on(newest, best_qc, {"run_name": "run_name"}, QC)
-    out = left_on(out, yields, by_id, ["yield", "yield_q30"])
-    out = left_on(out, sample_fixes(tables, "Illumina"), by_id, {"new_repository": "_sample_fix"})
+    # joins of one key stand together, so that the wide rows are shuffled once for each key
     out = left_on(
         out, run_fixes(tables, "Illumina"), {"run_name": "run_name"},
         {"new_repository": "_run_fix", "new_cram": "_cram", "new_cram_size": "_cram_size",
          "new_vcf": "_vcf", "new_vcf_size": "_vcf_size"},
     )
+    out = left_on(out, yields, by_id, ["yield", "yield_q30"])
+    out = left_on(out, sample_fixes(tables, "Illumina"), by_id, {"new_repository": "_sample_fix"})
     out = left_on(
         out, tables["staging_fix_ski_id_repo"], {"id_repository": "new_origin_code_repository"},
         {"code_repository": "_alias"},
