@@ -72,19 +72,23 @@ def _headers(t):
     return rows.toDF("o_orderkey", "note", "note_1", "two_lines", "unnamed", *rows.columns[5:]).select("o_orderkey", "note", "note_1", "two_lines", "unnamed")
 
 
+#: Records of one file, which one task sorts and writes.
+FILE_RECORDS = 1_000_000
+
+
 @check("split_files", """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority || chr(10) || 'a "word", ' || repeat(chr(10), CAST(o_orderkey % 4 AS INTEGER)) || o_orderstatus AS note,
   CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 1 ELSE 0 END AS is_last
 FROM orders
 """)
 def _split(t):
-    """One file with line breaks, quotes and commas in its fields, read in blocks of 8,000 bytes; the rows keep their order."""
-    root = scratch(t)
+    """Files of about a million records with line breaks, quotes and commas in their fields, read in blocks of 8,000 bytes; the rows keep their order."""
+    root, orders = scratch(t), t["orders"].count()
     note = F.concat("o_orderpriority", F.lit('\na "word", '), F.repeat(F.lit("\n"), (F.col("o_orderkey") % 4).cast("int")), "o_orderstatus")
-    rows = t["orders"].select(F.col("o_orderkey").cast("string").alias("id"), note.alias("note"), "o_orderkey").repartitionByRange(1, "o_orderkey")
+    rows = t["orders"].select(F.col("o_orderkey").cast("string").alias("id"), note.alias("note"), "o_orderkey").repartitionByRange(1 + orders // FILE_RECORDS, "o_orderkey")
     rows.sortWithinPartitions("o_orderkey").select("id", "note").write.option("header", True).option("escape", '"').csv(root)
     size = t.spark.conf.get("spark.sql.files.maxPartitionBytes")
-    t.spark.conf.set("spark.sql.files.maxPartitionBytes", max(8_000, t["orders"].count() // 4))
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", max(8_000, orders // 4))
     try:
         read = big_csv.read_bronze_large(t.spark, root, "", ["id", "note"])
         # written while the setting holds

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from strandmart.checks import source_checks
 from strandmart.checks.registry import Inputs
-from strandmart.plans.staging import demography
+from strandmart.checks.warehouse import DerivedTables
+from strandmart.operators.joins import _prefixes, prefix_join
+from strandmart.plans.gold import transfer_report
+from strandmart.plans.staging import demography, illumina_secondary
 from strandmart.session import TASK_BYTES, bound_tasks
 from strandmart.sources import reports
 from strandmart.sources.indexed import IndexedTable
+from tests.conftest import DATA
 
 
 def plan(df, kind="executedPlan"):
@@ -99,3 +103,37 @@ def test_a_sessions_log_is_parsed_once_for_all_its_runs(spark, monkeypatch):
     monkeypatch.setattr(reports, "parse_yield_log", lambda logs, keep: seen.append(logs.count()) or parse(logs, keep))
     out = reports.sessions_to_biosamples(spark.createDataFrame(rows, kind), "2024-01-01")
     assert seen == [1] and sorted(r.run_name for r in out.collect()) == sorted(f"r{k}" for k in range(50))
+
+
+def test_names_make_prefixes_only_where_an_id_can_end(spark):
+    ids = spark.createDataFrame([("C1.",), ("C12345.",), ("C123",), ("",), (None,)], "id string")
+    names = spark.createDataFrame([("C1.x_555zz",), ("C12345.a",), ("C123",), ("C1",), ("",), (None,)], "n string")
+    assert sorted(r["_prefix"] for r in _prefixes(ids, names, "id", "n").collect()) == ["C1.", "C12345.", "C123", "C123"]
+    assert sorted(tuple(r) for r in prefix_join(ids, names, "id", "n").collect()) == [("C1.", "C1.x_555zz"), ("C123", "C123"), ("C123", "C12345.a"), ("C12345.", "C12345.a")]
+
+
+def test_a_split_file_holds_a_bounded_number_of_records(inputs, tmp_path, monkeypatch):
+    monkeypatch.setattr(source_checks, "FILE_RECORDS", 10)
+    monkeypatch.setattr(source_checks, "scratch", lambda t: f"{tmp_path}/split")
+    rows = source_checks._split(inputs).collect()
+    assert len(glob.glob(f"{tmp_path}/split/*.csv")) > 1
+    assert sorted(int(r.id) for r in rows) == list(range(40)) and [r.id for r in rows if r.is_last] == ["39"]
+
+
+def test_joins_of_one_key_share_a_shuffle(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        tables = DerivedTables(Inputs(spark, DATA))
+        shuffles = plan(illumina_secondary.run(tables)).split("+- == Initial Plan ==")[0].count("Exchange hashpartitioning")
+    finally:
+        spark.conf.set(key, before)
+    assert shuffles <= 10, shuffles
+
+
+def test_transfers_meet_samples_that_have_their_patients(spark):
+    tables = DerivedTables(Inputs(spark, DATA))
+    transfer_report.run(tables)
+    assert {"samples", "transfers"} == set(tables.steps.plans)
+    assert plan(tables.steps.plans["transfers"], "optimizedPlan").count("Join LeftOuter") == 1
