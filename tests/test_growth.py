@@ -108,7 +108,7 @@ def test_a_sessions_log_is_parsed_once_for_all_its_runs(spark, monkeypatch):
 def test_names_make_prefixes_only_where_an_id_can_end(spark):
     ids = spark.createDataFrame([("C1.",), ("C12345.",), ("C123",), ("",), (None,)], "id string")
     names = spark.createDataFrame([("C1.x_555zz",), ("C12345.a",), ("C123",), ("C1",), ("",), (None,)], "n string")
-    assert sorted(r["_prefix"] for r in _prefixes(ids, names, "id", "n").collect()) == ["C1.", "C12345.", "C123", "C123"]
+    assert sorted(r["_prefix"] for r in _prefixes(ids, names, "id", "n").collect()) == ["C1.", "C123", "C123", "C12345."]
     assert sorted(tuple(r) for r in prefix_join(ids, names, "id", "n").collect()) == [("C1.", "C1.x_555zz"), ("C123", "C123"), ("C123", "C12345.a"), ("C12345.", "C12345.a")]
 
 
