@@ -6,6 +6,7 @@ from strandmart.checks.registry import cents, check
 from strandmart.checks.relational import MERGED, TARGET, _batch
 from strandmart.checks.source_checks import LOADED, loaded, scratch
 from strandmart.plans.upserts import SPECS, apply_upsert
+from strandmart.session import fit_tasks
 from strandmart.sources.indexed import IndexedTable
 
 # Golden values, written from the loaders' statements, not from the engine's table: key | columns that a match leaves as they are |
@@ -120,6 +121,7 @@ def _oracle(text):
 def _family(text):
     def build(t):
         """Two halves of the orders, the second sent twice, merged by each specification of the family."""
+        fit_tasks(t.spark, t.size("orders"))
         made = None
         for name, keys, _, stamp in _golden(text):
             old, new = (t.sql(side) for side in _sides(keys, stamp))

@@ -4,18 +4,20 @@ import glob
 import random
 from datetime import datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from strandmart.checks import source_checks
-from strandmart.checks.registry import Inputs
+from strandmart.checks.registry import ORACLES, QUERIES, Inputs
 from strandmart.checks.warehouse import DerivedTables
 from strandmart.operators.joins import _prefixes, prefix_join
 from strandmart.plans.gold import transfer_report
 from strandmart.plans.staging import demography, illumina_secondary
-from strandmart.session import TASK_BYTES, bound_tasks
+from strandmart.session import DEALT, MOST_DEALT, PIECE, SCAN, TASK_BYTES, bound_tasks, fit_tasks
 from strandmart.sources import reports
 from strandmart.sources.indexed import IndexedTable
+from tests.compare import compare
 from tests.conftest import DATA
 
 
@@ -77,6 +79,53 @@ def test_tasks_are_bounded_and_smaller_settings_stay(spark):
             spark.conf.set(key, value)
 
 
+def test_the_number_of_tasks_follows_the_input_of_one_query(spark):
+    keys = (SCAN, PIECE, DEALT, "spark.sql.shuffle.partitions")
+    before = {key: spark.conf.get(key, None) for key in keys}
+    at = lambda key: spark.conf.get(key, None)
+    try:
+        for own in (None, "50"):
+            spark.conf.set(DEALT, own) if own else spark.conf.unset(DEALT)
+            bound_tasks(spark)
+            scan = at(SCAN)
+            for size, dealt in ((0, own), (4 << 20, own), ((400 << 20) + 1, "101"), (1 << 60, str(MOST_DEALT)), (40 << 20, str(MOST_DEALT))):
+                fit_tasks(spark, size)
+                assert at(DEALT) == dealt and at(SCAN) == "8m"
+            bound_tasks(spark)
+            assert at(DEALT) == own and at(SCAN) == scan == TASK_BYTES[SCAN]
+        spark.conf.unset(DEALT)
+        spark.conf.set("spark.sql.shuffle.partitions", "5000")
+        spark.conf.set(SCAN, "1m")
+        fit_tasks(spark, 1 << 60)
+        assert at(DEALT) is None and at(SCAN) == "1m"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("name", ["upserts_registry"])
+def test_upserts_of_a_larger_table_have_more_tasks_not_larger_ones(spark, tmp_path, name):
+    orders, rng, con = 30_000, random.Random(5), duckdb.connect()
+    folder, own = str(tmp_path), {PIECE: "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    # ids with gaps; no null or repeated ones, as the oracle's full join holds none
+    spark.createDataFrame([(k, rng.random()) for k in rng.sample(range(10**6), orders)], "o_orderkey long, o_totalprice double").write.parquet(f"{folder}/orders.parquet")
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{folder}/orders.parquet/*.parquet')")
+    before = {key: spark.conf.get(key, None) for key in own}
+    try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
+        rows, problem = compare(spark, con, folder, name, QUERIES[name], ORACLES[name])
+        part = QUERIES[name](spark, folder).select(F.spark_partition_id().alias("p")).groupBy("p").count()
+        largest = part.agg(F.max("count")).first()[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+        bound_tasks(spark)
+    assert not problem and rows > orders
+    # two thirds of the orders are a target; the session deals them to four partitions
+    assert largest < orders * 2 / 3 / 16, largest
+
+
 def test_short_logs_are_not_shuffled_and_long_ones_give_the_same(spark, monkeypatch):
     texts = ["Computed yield for biosample 'B1' (Id: 1): 2 Bps\nGenerated new Sample: 8", "x 'two words'\nComputed yield for biosample 'two words' (Id: 3): 4 Bps\r\nGenerated new Sample: 5\nGenerated new Sample: 6",
              "Computed yield for biosample 'Sample' (Id: 1): 99999999999999999999 Bps\nGenerated new Sample: 5\nComputed yield for biosample 'Sample' (Id: 2): 1 Bps", "", None, "end"]
