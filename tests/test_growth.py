@@ -103,7 +103,7 @@ def test_the_number_of_tasks_follows_the_input_of_one_query(spark):
             spark.conf.set(key, value) if value else spark.conf.unset(key)
 
 
-@pytest.mark.parametrize("name", ["upserts_registry"])
+@pytest.mark.parametrize("name", ["upserts_registry", "upserts_registry_forms"])
 def test_upserts_of_a_larger_table_have_more_tasks_not_larger_ones(spark, tmp_path, name):
     orders, rng, con = 30_000, random.Random(5), duckdb.connect()
     folder, own = str(tmp_path), {PIECE: "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b", "spark.sql.autoBroadcastJoinThreshold": "-1"}
