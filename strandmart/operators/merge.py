@@ -7,7 +7,7 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandmart.operators.ranking import latest_by
+from strandmart.operators.ranking import dealt, latest_by
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -76,11 +76,12 @@ def upsert(
     batch, and new keys are found by an anti join against the target keys the
     batch touches, which are few.  Each time the batch is the side Spark may
     broadcast after measuring it.  Of the batch's rows with one key the last in
-    ``order`` counts.  ``stamp`` is set on matched rows only.
+    ``order`` counts.  ``stamp`` is set on matched rows only.  The source is
+    dealt anew before it is sorted for that.
 
     This plan reads and returns the whole target; ``IndexedTable`` rewrites only the parts that a batch touches.
     """
-    batch, missing = as_batch(source, dict(target.dtypes), keys, order)
+    batch, missing = as_batch(dealt(source), dict(target.dtypes), keys, order)
     return merged(target, batch, keys, {*keys, *keep, *missing}, stamp)
 
 

@@ -12,6 +12,8 @@ from strandmart.checks import source_checks
 from strandmart.checks.registry import ORACLES, QUERIES, Inputs
 from strandmart.checks.warehouse import DerivedTables
 from strandmart.operators.joins import _prefixes, prefix_join
+from strandmart.operators.merge import upsert
+from strandmart.operators.ranking import dealt
 from strandmart.plans.gold import transfer_report
 from strandmart.plans.staging import demography, illumina_secondary
 from strandmart.session import DEALT, MOST_DEALT, PIECE, SCAN, TASK_BYTES, bound_tasks, fit_tasks
@@ -103,6 +105,37 @@ def test_the_number_of_tasks_follows_the_input_of_one_query(spark):
             spark.conf.set(key, value) if value else spark.conf.unset(key)
 
 
+def test_pieces_grow_before_a_shuffle_holds_its_rows_in_memory(spark):
+    before = {key: spark.conf.get(key, None) for key in (SCAN, PIECE, DEALT)}
+    try:
+        bound_tasks(spark)
+        for size, number in ((800, 200), (2400, 200), (3200, 200), (3600, 225)):
+            fit_tasks(spark, size << 20)
+            assert spark.conf.get(DEALT) == str(number)
+            bound_tasks(spark)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def test_an_upserts_batch_is_dealt_before_it_is_sorted(spark):
+    # one task has all rows, half of one key, a third of them equal
+    rows = [(k % 300 if k % 2 else 7, None if k % 3 else 1, f"v{k % 5}") for k in range(6000)]
+    batch = spark.createDataFrame(rows, "id long, n int, v string").coalesce(1)
+    target = spark.createDataFrame([(7, "old"), (9, "old"), (1000, "old"), (None, "old")], "id long, v string")
+    out = upsert(target, batch, ["id"], (), ["n", "v"])
+    below = [x.split("hashpartitioning(")[1] for x in plan(out, "sparkPlan").splitlines() if "REPARTITION_BY_COL" in x or "RepartitionByExpression" in x or "hashpartitioning" in x]
+    assert below and all("_task" in x for x in below), plan(out, "sparkPlan")
+    sizes = [len(p) for p in dealt(batch).rdd.glom().collect()]
+    assert sum(sizes) == 6000 and dealt(batch).columns == batch.columns
+    best = {}
+    for i, n, v in rows:
+        best[i] = max(best.get(i, (-1, "")), (n or 0, v))
+    want = {**{i: v for i, (_, v) in best.items()}, 1000: "old", None: "old"}
+    got = out.collect()
+    assert {r.id: r.v for r in got} == want and len(got) == len(want)
+
+
 @pytest.mark.parametrize("name", ["upserts_registry", "upserts_registry_forms"])
 def test_upserts_of_a_larger_table_have_more_tasks_not_larger_ones(spark, tmp_path, name):
     orders, rng, con = 30_000, random.Random(5), duckdb.connect()
