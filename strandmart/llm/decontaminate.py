@@ -26,6 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +35,8 @@ from strandmart.llm.tables import written
 
 #: Items and windows of items searched together, rank of the latent space, and terms whose sums travel together.
 BLOCK_ITEMS, BLOCK_WINDOWS, RANK, TERM_BLOCK = 2000, 16_000, 64, 256
-#: Windows of documents and of items whose cosines are computed together.
-TILE_WINDOWS, TILE_QUERIES = 8192, 4096
+#: Windows of documents and of items whose candidates are found together, and windows whose cosines are compared together.
+TILE_WINDOWS, TILE_QUERIES, TILE_COSINES = 8192, 4096, 512
 #: Bits of the hashes of (item, code) that are mapped.
 HELD_BITS = 21
 #: Terms in more than this share of the half windows are left out of the vectors, unless they are among an item's rarest.
@@ -46,11 +47,17 @@ HALF = 16
 #: and shares of the item's words in the common subsequence.
 COSINE, WITHOUT_ANSWER, WITH_ANSWER, SHORT_WORDS, SHORT = 0.5, 0.8, 0.65, 12, 0.9
 #: Half windows projected together, and words of documents coded together.
-CHUNK, CODED = 8192, 400_000
+CHUNK, CODED = 2048, 400_000
+#: Cells of the words of candidate regions that are compared together.
+REGION_CELLS = 2**20
+#: Codes of a half window that are added one after the other.
+PLAIN = 8
 
 WORD = re.compile(r"[^\W_]+")
 #: The same for Latin-1 texts, as a plain set of characters.
 LATIN_WORD = re.compile("[" + re.escape("".join(c for c in map(chr, range(256)) if WORD.match(c))) + "]+")
+#: And as bytes: lower case for the characters of words, a space for any other.
+LATIN_BYTES = bytes(ord(c.lower()) if WORD.match(c) else 32 for c in map(chr, range(256)))
 
 
 def words(text: str | None) -> list[str]:
@@ -83,6 +90,37 @@ def read_items(rows: list) -> Items:
     return Items(ids, codes, answers, vocabulary)
 
 
+class Coder:
+    """Codes of a text's words; Latin-1 texts are cut and looked up many at a time."""
+
+    def __init__(self, vocabulary: dict[str, int], width: str) -> None:
+        self.vocabulary, self.width, self.other = vocabulary, width, len(vocabulary)
+        latin = [w for w in vocabulary if is_latin(w)]
+        self.latin = pa.array([w.encode("latin-1") for w in latin], pa.binary())
+        self.codes = np.array([*(vocabulary[w] for w in latin), self.other], width)
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        out, places, lines = [b""] * len(texts), [], []
+        for k, text in enumerate(texts):
+            try:
+                line = text.encode("latin-1").translate(LATIN_BYTES).strip() if text else b""
+            except UnicodeEncodeError:
+                found = words(text)
+                out[k] = np.fromiter(map(self.vocabulary.get, found, repeat(self.other)), self.width, len(found)).tobytes()
+                continue
+            if line:
+                places.append(k)
+                lines.append(line)
+        # bytes as text for the kernel, which looks for ASCII white space only
+        lists = pc.ascii_split_whitespace(pa.array(lines, pa.binary()).view(pa.string()))
+        places_of = pc.index_in(lists.values.view(pa.binary()), value_set=self.latin)
+        codes = self.codes[places_of.fill_null(len(self.latin)).to_numpy()]
+        ends = lists.offsets.to_numpy()
+        for k, a, b in zip(places, ends[:-1], ends[1:], strict=True):
+            out[k] = codes[a:b].tobytes()
+        return out
+
+
 def _coded(docs: DataFrame, vocabulary: dict[str, int], id_col: str, text_col: str) -> DataFrame:
     """``id_col`` and the code of each word as bytes; the vocabulary's size stands for any other word."""
     slim = docs.select(id_col, text_col)
@@ -91,11 +129,9 @@ def _coded(docs: DataFrame, vocabulary: dict[str, int], id_col: str, text_col: s
     width = "<u2" if len(vocabulary) < 2**16 else "<u4"
 
     def code(batches):
-        get, other = shared.value.get, len(shared.value)
+        coder = Coder(shared.value, width)
         for batch in batches:
-            found = (words(t.as_py()) for t in batch.column(1))
-            out = [np.fromiter(map(get, w, repeat(other)), width, len(w)).tobytes() for w in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], [id_col, "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coder.of(batch.column(1).to_pylist()), pa.binary())], [id_col, "codes"])
 
     return slim.mapInArrow(code, f"`{id_col}` {kind}, codes binary")
 
@@ -118,10 +154,29 @@ def _projected(rows: np.ndarray, basis: np.ndarray, used: np.ndarray) -> np.ndar
         part = rows[k : k + CHUNK]
         known = used[part]
         counts = known.sum(axis=1)
-        taken = basis[part[known]]
-        starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        sums = np.add.reduceat(np.concatenate((taken, np.zeros((1, basis.shape[1]), np.float32))), starts, axis=0)
-        out[k : k + CHUNK] = np.where((counts > 0)[:, None], sums, 0)
+        codes, order = part[known], np.argsort(-counts, kind="stable")
+        starts = (np.cumsum(counts) - counts)[order]
+        # The rows with most codes stand first, so those with a code at a place are a run.  The first code is added last, as numpy
+        # does; rows of more than PLAIN codes, where numpy adds in another order, are left to it.
+        longer = np.searchsorted(-counts[order], -np.arange(HALF))
+        sums = np.zeros((len(part), basis.shape[1]), np.float32)
+        many = longer[PLAIN]
+        for j in [*range(1, min(PLAIN, int(counts.max()))), 0]:
+            n = max(many, longer[j])
+            sums[many:n] += basis.take(codes.take(starts[many:n] + j), axis=0)
+        if many:
+            long = order[:many]
+            begins = np.cumsum(counts[long]) - counts[long]
+            sums[:many] = np.add.reduceat(basis[part[long][known[long]]], begins, axis=0)
+        out[k + order] = sums
+    return out
+
+
+def _sums(made: np.ndarray, places: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``made`` at runs of ``places``, column by column: a column stays in the processor's cache."""
+    out = np.empty((len(starts), made.shape[1]), made.dtype)
+    for k, column in enumerate(np.ascontiguousarray(made.T)):
+        out[:, k] = np.add.reduceat(column.take(places), starts)
     return out
 
 
@@ -198,7 +253,7 @@ class Search:
             for _, codes in _groups(batches, width):
                 rows, _ = _halves(codes, size)
                 n += len(rows)
-                rows = np.sort(rows, axis=1)
+                rows = np.sort(rows.astype(width), axis=1)
                 first = np.concatenate((np.ones((len(rows), 1), bool), rows[:, 1:] != rows[:, :-1]), axis=1)
                 found += np.bincount(rows[first], minlength=size + 1)
             terms = np.append(np.flatnonzero(found[:size]), size)
@@ -233,7 +288,7 @@ class Search:
                 terms = rows.ravel()[order]
                 starts = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1]))) if len(terms) else []
                 if len(terms):
-                    total[terms[starts]] += np.add.reduceat(made[order // HALF], starts, axis=0)
+                    total[terms[starts]] += _sums(made, order // HALF, starts)
             total *= weights[:-1, None]
             for k in range(0, size, TERM_BLOCK):
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([total[k : k + TERM_BLOCK].tobytes()])], ["block", "sums"])
@@ -292,13 +347,12 @@ class Search:
                     made = np.where((x != y)[:, None], halves[x] + halves[y], halves[x])
                     made /= np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)
                     for j in range(0, queries.shape[1], TILE_QUERIES):
-                        cosine = made @ queries[:, j : j + TILE_QUERIES]
-                        w, q = np.nonzero(cosine >= least[j : j + TILE_QUERIES])
+                        w, q, cosine = _near(made, queries[:, j : j + TILE_QUERIES], least[j : j + TILE_QUERIES])
                         # a region is as wide as the longest item, so long items take fewer regions at once
-                        step = max(1, CHUNK * 8 * HALF // int(lengths.max() + 4 * HALF))
+                        step = max(1, REGION_CELLS // int(lengths.max() + 4 * HALF))
                         for p in range(0, len(w), step):
                             near, query = w[p : p + step], q[p : p + step]
-                            _decide(x[near], query + j, cosine[near, query], rows.ravel(), texts, begins, codes, item_of, offset, has, lengths, items, best)
+                            _decide(x[near], query + j, cosine[p : p + step], rows.ravel(), texts, begins, codes, item_of, offset, has, lengths, items, best)
                 if best:
                     pairs = sorted(best.items())
                     columns = [
@@ -311,6 +365,16 @@ class Search:
         return self.coded.mapInArrow(search, f"`{id_col}` {key}, item_id {item_kind}, cosine double, common double, answer boolean, start_word long")
 
 
+def _near(made: np.ndarray, queries: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows and queries at or above the least cosine, and their cosines; few windows at a time are compared, in the cache."""
+    cosine, found = made @ queries, []
+    for k in range(0, len(made), TILE_COSINES):
+        at = np.flatnonzero(cosine[k : k + TILE_COSINES] >= least)
+        found.append(k * queries.shape[1] + at)
+    at = np.concatenate(found)
+    return at // queries.shape[1], at % queries.shape[1], cosine.ravel()[at]
+
+
 def _decide(half, query, cosine, flat, texts, begins, codes, item_of, offset, has, lengths, items, best) -> None:
     """Keep the candidates whose region holds the item's words in order, and its answer."""
     item, text = item_of[query], texts[half]

@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -289,3 +290,35 @@ def test_words_are_the_same_by_either_pattern():
     for text in ("Ünïcödé wörds_and 12½ ª² x", "Ελλάδα and ümlaut_x", "", None, " _ ", "".join(map(chr, range(1, 700)))):
         assert decontaminate.words(text) == re.findall(r"[^\W_]+", (text or "").lower())
     assert decontaminate.words("".join(map(chr, range(1, 256)))) == re.findall(r"[^\W_]+", "".join(map(chr, range(1, 256))).lower())
+
+
+def test_latin_texts_are_coded_without_a_search_for_each(monkeypatch):
+    chars = "".join(map(chr, range(1, 256)))
+    texts = [None, "", " ", "_-", "One two_three, one", "  lead\x85trail\xa0", chars, "Kelvin one", "Stra\xdfe ẞ one", "一 one İ", "one\x00two", "Ÿ \xff ONE"]
+    vocabulary = {w: k for k, w in enumerate(["one", "一", "two", "stra\xdfe", "\xff", "kelvin", "trail", "\xb2\xb3"])}
+    for width in ("<u2", "<u4"):
+        got = decontaminate.Coder(vocabulary, width).of(texts)
+        assert [np.frombuffer(x, width).tolist() for x in got] == [[vocabulary.get(w, 8) for w in decontaminate.words(t)] for t in texts]
+    assert decontaminate.Coder({"一": 0}, "<u2").of(["a 一", "b"]) == [b"\1\0\0\0", b"\1\0"]
+    assert decontaminate.Coder(vocabulary, "<u2").of([]) == [] and decontaminate.Coder(vocabulary, "<u2").of([None]) == [b""]
+    monkeypatch.setattr(decontaminate, "words", None)
+    decontaminate.Coder(vocabulary, "<u2").of([chars, "One", None])
+
+
+def test_sums_of_codes_and_near_windows_equal_plain_ones(monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHUNK", 7)
+    monkeypatch.setattr(decontaminate, "TILE_COSINES", 4)
+    rng = np.random.default_rng(3)
+    rows, basis = rng.integers(0, 31, (50, decontaminate.HALF)), rng.standard_normal((31, 5)).astype(np.float32)
+    for share in (0, 0.2, 0.6, 1):
+        used = rng.random(31) < share
+        plain = np.where(used[rows][:, :, None], basis[rows].astype(float), 0).sum(axis=1)
+        made = decontaminate._projected(rows, basis, used)
+        assert made.dtype == np.float32 and np.allclose(made, plain, atol=1e-5)
+    places, starts = rng.integers(0, 50, 200), np.array([0, 1, 60, 199])
+    assert (decontaminate._sums(made, places, starts) == np.add.reduceat(made[places], starts, axis=0)).all()
+    queries, least = rng.standard_normal((5, 6)).astype(np.float32), np.linspace(0, 3, 6, dtype=np.float32)
+    cosine = made @ queries
+    w, q = np.nonzero(cosine >= least)
+    a, b, c = decontaminate._near(made, queries, least)
+    assert (a == w).all() and (b == q).all() and np.allclose(c, cosine[w, q], atol=1e-5) and 0 < len(w) < 300
