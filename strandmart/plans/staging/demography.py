@@ -17,6 +17,7 @@ from strandmart.operators.joins import anti_null_safe, anti_on, left_on, lookup,
 from strandmart.operators.ranking import latest_by
 from strandmart.operators.shape import union_padded
 from strandmart.plans.steps import numbered, once
+from strandmart.session import hold_texts
 from strandmart.settings import Settings
 
 # Form names and answer paths.
@@ -37,6 +38,9 @@ TRIAL_SUBJECTS = (
 )
 OTHER_SITE_SUBJECT = "AAA01156"
 LEADING_BLANKS = r"(^[ ]+)|[\t\n\x0B\f]+"
+# Rows of a group are dealt to a part for each so many characters of its text, and to so many parts at most.
+PART_TEXT = 1 << 16
+MOST_PARTS = 64
 
 
 # --- clearances and participant types ------------------------------------
@@ -190,6 +194,24 @@ def duplicate_texts(tables, people: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left_on(groups, texts, {column: column}, ["_duplicate"]).select("full_name", "nik", "_duplicate"), texts
 
 
+def with_texts(tables, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows with their group's text, those of a group side by side.
+
+    A file that holds a text on row after row stores it once; dealt by anything else, each file would hold all texts again and again.
+    A large group, and the rows without one, lie in several parts, so no task has them whole.
+    """
+    text = "duplicate_name_nik_id_subject"
+    hold_texts(rows.sparkSession, text)
+    parts = F.least(F.lit(MOST_PARTS), F.floor(F.length(text) / PART_TEXT).cast("int") + 1)
+    long = once(tables, "long_texts", texts.select("_duplicate", parts.alias("_parts")).filter("_parts > 1"))
+    rows = left_on(rows, long, {"_duplicate": "_duplicate"}, ["_parts"])
+    of = F.when(F.col("_duplicate").isNull(), MOST_PARTS).otherwise(F.coalesce("_parts", F.lit(1)))
+    rows = rows.withColumn("_part", F.pmod(F.hash("id_subject"), of)).drop("_parts")
+    rows = rows.repartition("_duplicate", "_part").sortWithinPartitions("_duplicate", "_part")
+    copies = texts.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return left_on(rows, copies, {"_duplicate": "_duplicate", "_part": "_part"}, [text]).drop("_part")
+
+
 def all_persons(tables) -> tuple[DataFrame, DataFrame]:
     """Both registries, a subject that moved counts once, under the older registry; and the texts of ``_duplicate``."""
     a, b = registry_a_persons(tables), once(tables, "registry_b", registry_b_persons(tables))
@@ -358,8 +380,7 @@ def run(tables, settings: Settings) -> DataFrame:
     provinces = tables["provinsi"].select(F.upper("name").alias("_name"), "iso_name")
     first = lookup(first, provinces, {"province": "_name"}, {"iso_name": "_iso"})
     first = first.withColumn("province_iso_code", rules.province_iso("_iso")).drop("_iso")
-    text = "duplicate_name_nik_id_subject"
-    final = left_on(first, texts, {"_duplicate": "_duplicate"}, {text: text})
-    return final.select(*[text if c == "_duplicate" else c for c in first.columns])
+    final = with_texts(tables, first, texts)
+    return final.select(*["duplicate_name_nik_id_subject" if c == "_duplicate" else c for c in first.columns])
 
 

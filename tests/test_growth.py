@@ -1,11 +1,13 @@
 """What a task holds, a row carries or a shuffle moves must not grow faster than the input."""
 
 import glob
+import os
 import random
 from datetime import datetime
 
 import duckdb
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from strandmart.checks import source_checks
@@ -16,7 +18,7 @@ from strandmart.operators.merge import upsert
 from strandmart.operators.ranking import dealt
 from strandmart.plans.gold import transfer_report
 from strandmart.plans.staging import demography, illumina_secondary
-from strandmart.session import DEALT, MOST_DEALT, PIECE, SCAN, TASK_BYTES, bound_tasks, fit_tasks
+from strandmart.session import DEALT, DICTIONARY, MOST_DEALT, PIECE, SCAN, STATISTICS, TASK_BYTES, bound_tasks, fit_tasks
 from strandmart.sources import reports
 from strandmart.sources.indexed import IndexedTable
 from tests.compare import compare
@@ -55,6 +57,43 @@ def test_members_carry_a_number_and_not_the_text_of_their_group(spark):
     assert got == {(r.full_name, r.nik): r.duplicate_name_nik_id_subject for r in demography.same_name_and_id(people).collect()}
 
 
+def test_a_groups_text_is_written_once_for_many_rows(spark, tmp_path):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, rng = spark.conf.get(key), random.Random(6)
+    long = {k: ",".join(str(rng.random()) for _ in range(10_000)) for k in range(10)}
+    texts = spark.createDataFrame([*long.items(), (10, "a,b")], "_duplicate long, duplicate_name_nik_id_subject string")
+    members = [(f"AAA{k}", k % 13 if k % 13 < 11 else None) for k in range(1300)] + [("AAA0", 0), (None, 1)]
+    rows = spark.createDataFrame(rng.sample(members, len(members)), "id_subject string, _duplicate long")
+    try:
+        for n, most in enumerate((before, "-1")):
+            spark.conf.set(key, most)
+            demography.with_texts({}, rows, texts).write.parquet(f"{tmp_path}/{n}")
+            got = spark.read.parquet(f"{tmp_path}/{n}").select("id_subject", "_duplicate", F.md5("duplicate_name_nik_id_subject").alias("md5")).collect()
+            md5 = {r["_duplicate"]: r.md5 for r in texts.select("_duplicate", F.md5("duplicate_name_nik_id_subject").alias("md5")).collect()}
+            assert sorted(map(str, got)) == sorted(str(Row(id_subject=i, _duplicate=k, md5=md5.get(k))) for i, k in members)
+            size = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/{n}/*.parquet"))
+            # a thousand rows have a long text; a text has three or four parts
+            assert size < 5 * sum(map(len, long.values())), size
+    finally:
+        spark.conf.set(key, before)
+        bound_tasks(spark)
+    assert spark.conf.get(DICTIONARY, None) is None and not [k for k in spark.conf.getAll if k.startswith(STATISTICS)]
+
+
+def test_rows_of_a_large_group_lie_in_several_tasks(spark):
+    texts = spark.createDataFrame([(0, "x" * (demography.PART_TEXT * 9)), (1, "y,z")], "_duplicate long, duplicate_name_nik_id_subject string")
+    rows = spark.range(1200).select(F.concat(F.lit("AAA"), "id").alias("id_subject"), F.when(F.col("id") < 500, 0).when(F.col("id") < 502, 1).alias("_duplicate"))
+    parts, key = demography.with_texts({}, rows, texts), "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        tasks = {r["_duplicate"]: r.n for r in parts.groupBy("_duplicate", F.spark_partition_id().alias("p")).count().groupBy("_duplicate").agg(F.count("p").alias("n")).collect()}
+    finally:
+        spark.conf.set(key, before)
+        bound_tasks(spark)
+    assert tasks[0] > 1 and tasks[None] > 1 and tasks[1] == 1
+
+
 def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key)
