@@ -1,5 +1,8 @@
 """The sample report, with all quality labels."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandmart.functions import qc_rules
@@ -28,30 +31,40 @@ SECONDARY = {
 def secondary(tables):
     """Newest analysis per sample and platform, all platforms in one table.
 
-    One ranking over the union, on the keys of the later join, so that the join
-    needs no further shuffle of this side.
+    Rows are dealt by sample before they are ranked, a platform at a time.  The group limit that would go before a shuffle sorts a scan's
+    task, which is a whole row group: millions of wide rows spill, and a sample has few analyses, so the limit drops few.  Ids that have
+    no place in the report, which may have very many analyses, leave first.
     """
-    parts = []
+    keys, parts = ["id_repository", "sequencer"], []
     for platform, name in PLATFORMS:
         have = [c for c in SHARED if c in tables[name].columns]
-        parts.append(tables[name].select("id_repository", F.lit(platform).alias("sequencer"), *have))
-    return latest_by(union_padded(parts, SECONDARY), ["id_repository", "sequencer"], ["date_start"])
+        rows = tables[name].select("id_repository", F.lit(platform).alias("sequencer"), *have).filter(~is_control_sample("id_repository"))
+        parts.append(latest_by(union_padded([rows], SECONDARY).repartition("id_repository"), keys, ["date_start"]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def unified(tables):
     """Samples with biobank, registry and the analysis of their own platform."""
     samples = tables["staging_seq"].filter(F.col("sequencer").isNotNull() & ~is_control_sample("id_repository"))
     samples = samples.withColumnsRenamed({"id_index": "id_index_zlims", "id_library": "_library"})
+    # The subject joins the narrow biobank rows, not the samples that carry them.
+    biobank = left_on(
+        tables["staging_simbiox_biosamples_patients"].select(
+            "code_repository", "id_patient", "id_mpi", "id_subject", "biobank_nama", "registry_sex", "patient_categ"
+        ),
+        tables["staging_demography"], {"id_subject": "id_subject"}, ["is_excluded"],
+    )
     samples = left_on(
-        samples, tables["staging_simbiox_biosamples_patients"], {"id_repository": "code_repository"},
+        samples, biobank, {"id_repository": "code_repository"},
         {"id_patient": "id_patient", "id_mpi": "id_mpi", "id_subject": "id_subject",
-         "biobank_nama": "origin_biobank", "registry_sex": "sex", "patient_categ": "patient_categ"},
+         "biobank_nama": "origin_biobank", "registry_sex": "sex", "patient_categ": "patient_categ", "is_excluded": "is_excluded"},
     )
-    samples = left_on(samples, tables["staging_demography"], {"id_subject": "id_subject"}, ["is_excluded"])
-    # A sample has one platform, so one join on (sample, platform) replaces a join per platform.
-    on = {"id_repository": "id_repository", "sequencer": "sequencer"}
+    # A sample has one platform, so one join replaces a join per platform.  Both sides lie by sample already; the platform, of which a
+    # sample has a few, is not a key of the join, or both would be shuffled again.
     renamed = {"median_coverage": "coverage", "id_batch": "_batch", "date_start": "date_secondary"}
-    out = left_on(samples, secondary(tables), on, {c: renamed.get(c, c) for c in SHARED})
+    newest = secondary(tables).withColumnsRenamed({"id_repository": "_id", "sequencer": "_platform", **renamed})
+    same = (samples["id_repository"] == newest["_id"]) & F.array_contains(F.array("_platform"), F.col("sequencer"))
+    out = samples.join(newest, same, "left").drop("_id", "_platform")
     library = F.coalesce(
         blank_to_null("_library"), F.when(F.col("sequencer") == "Illumina", F.col("_batch"))
     )

@@ -16,7 +16,7 @@ from strandmart.checks.warehouse import DerivedTables
 from strandmart.operators.joins import _prefixes, prefix_join
 from strandmart.operators.merge import upsert
 from strandmart.operators.ranking import dealt
-from strandmart.plans.gold import transfer_report
+from strandmart.plans.gold import sample_qc, transfer_report
 from strandmart.plans.staging import demography, illumina_secondary
 from strandmart.session import DEALT, DICTIONARY, MOST_DEALT, PIECE, SCAN, STATISTICS, TASK_BYTES, bound_tasks, fit_tasks
 from strandmart.sources import reports
@@ -253,6 +253,45 @@ def test_joins_of_one_key_share_a_shuffle(spark):
     assert shuffles <= 10, shuffles
 
 
+def test_analyses_are_not_sorted_before_they_are_dealt(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        lines = plan(sample_qc.unified(DerivedTables(Inputs(spark, DATA)))).split("+- == Initial Plan ==")[0].splitlines()
+    finally:
+        spark.conf.set(key, before)
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    dealt = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    # a shuffle for each platform, the samples, the biobank rows, and two for the subjects: none for what was joined already
+    assert len(dealt) == 7, "\n".join(lines)
+    for i in dealt:
+        inside = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+        below = "\n".join(lines[i:inside])
+        assert "WindowGroupLimit" not in below and ("Sort [" not in below or "Join" in below), below
+
+
+def test_a_sample_takes_the_newest_analysis_of_its_own_platform(spark):
+    at = lambda d: datetime(2025, 1, d)
+    shared = "id_repository string, run_name string, date_start timestamp, median_coverage double"
+    rows = {
+        "staging_illumina_sec": [("S1", "i1", at(1), 1.0), ("S1", "i3", at(3), 2.0), ("S1", "i2", at(2), 3.0), ("S2", "i4", None, 4.0), (None, "i5", at(9), 5.0), ("Control1", "i6", at(9), 6.0)],
+        "staging_mgi_sec": [("S1", "m1", at(5), 7.0), ("S2", "m2", at(1), 8.0), ("S2", "m3", at(1), 8.0), ("S2", "m0", None, 9.0)],
+        "staging_ont_sec": [("S1", "o1", at(9), 10.0)],
+    }
+    tables = {name: spark.createDataFrame(r, shared).withColumns({"ploidy_estimation": F.lit("XX"), "id_batch": F.lit("B")}) for name, r in rows.items()}
+    seq = [("S1", "Illumina"), ("S1", "Illumina"), ("S1", "MGI"), ("S2", "MGI"), ("S2", "Other"), ("S3", "ONT"), (None, "ONT"), ("Control1", "Illumina"), ("S2", None)]
+    tables["staging_seq"] = spark.createDataFrame([(*r, None, None) for r in seq], "id_repository string, sequencer string, id_library string, id_index double")
+    people = [("S1", "P1", "AAA1", "MALE"), ("S2", "P2", None, "MALE"), ("S2", "P3", "AAA3", "MALE"), (None, "P4", "AAA1", "MALE")]
+    tables["staging_simbiox_biosamples_patients"] = spark.createDataFrame(people, "code_repository string, id_patient string, id_subject string, registry_sex string").withColumns({"id_mpi": F.lit("m"), "biobank_nama": F.lit("b"), "patient_categ": F.lit("p")})
+    tables["staging_demography"] = spark.createDataFrame([("AAA1", True), ("AAA3", False), ("AAA3", True), (None, True)], "id_subject string, is_excluded boolean")
+    got = [(r.id_repository, r.sequencer, r.run_name, r.id_patient, r.is_excluded) for r in sample_qc.unified(tables).collect()]
+    two = [("P2", None), ("P3", False), ("P3", True)]
+    want = [("S1", "Illumina", "i3", "P1", True)] * 2 + [("S1", "MGI", "m1", "P1", True), ("S3", "ONT", None, None, None)]
+    want += [("S2", "MGI", "m2", *p) for p in two] + [("S2", "Other", None, *p) for p in two]
+    assert sorted(map(str, got)) in (sorted(map(str, want)), sorted(map(str, want + [(None, "ONT", None, None, None)])))
+
+
 def test_transfers_meet_samples_that_have_their_patients(spark):
     tables = DerivedTables(Inputs(spark, DATA))
     transfer_report.run(tables)
